@@ -22,6 +22,15 @@ def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.where(~q), flagged.where(q)
 
 
+def _arrival_branches(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(one row per id among rows with an id and a time, rows without either)."""
+    keyed = F.col("event_id").isNotNull() & F.col("timestamp").isNotNull()
+    unique = dedup_by_key(
+        events.where(keyed), ["event_id"], order_by=["timestamp"], keep_null_keys=False
+    )
+    return unique, events.where(~keyed)
+
+
 def dedup_arrivals(events: DataFrame) -> DataFrame:
     """Batch form of the stream's de-duplication.
 
@@ -29,11 +38,8 @@ def dedup_arrivals(events: DataFrame) -> DataFrame:
     time are never merged (they fail a rule and are all quarantined), exactly
     as the streaming job treats them.
     """
-    keyed = F.col("event_id").isNotNull() & F.col("timestamp").isNotNull()
-    unique = dedup_by_key(
-        events.where(keyed), ["event_id"], order_by=["timestamp"], keep_null_keys=False
-    )
-    return unique.unionByName(events.where(~keyed))
+    unique, unkeyed = _arrival_branches(events)
+    return unique.unionByName(unkeyed)
 
 
 def ingest_events_batch(events: DataFrame) -> DataFrame:
@@ -41,6 +47,19 @@ def ingest_events_batch(events: DataFrame) -> DataFrame:
     return with_quality_flags(dedup_arrivals(events))
 
 
+def ingest_events_split(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine) of ``ingest_events_batch``, planned per branch.
+
+    A row without an id or a time fails a rule, so good rows come from the
+    de-duplicated branch alone: the good output keeps that branch's hash
+    partitioning on event_id, and a later de-duplication or aggregation on
+    event_id needs no new shuffle.
+    """
+    unique, unkeyed = _arrival_branches(events)
+    good, bad = split(with_quality_flags(unique))
+    return good, bad.unionByName(with_quality_flags(unkeyed))
+
+
 def verdict_counts(flagged: DataFrame) -> DataFrame:
     """Rows per verdict, with how many rows fail each rule."""
     names = rules.RULE_NAMES

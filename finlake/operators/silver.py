@@ -96,8 +96,9 @@ def usage_events_clean(
 
     De-duplication runs before the joins (fewer rows to join, and a duplicate
     dimension row cannot multiply events); the dimensions are cleaned here.
+    Good events always have an id (the first rule), so no NULL-key branch.
     """
-    unique = dedup_by_key(good_events, ["event_id"], order_by=["timestamp"])
+    unique = dedup_by_key(good_events, ["event_id"], order_by=["timestamp"], keep_null_keys=False)
     enriched = enrich_events(unique, orgs_clean(orgs), resources_clean(resources))
     return derive_event_columns(enriched)
 

@@ -81,7 +81,7 @@ def events_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_good(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.split(events_flagged(spark, sf_dir))[0]
+    return quality.ingest_events_split(fixtures.usage_events_raw(spark, sf_dir))[0]
 
 
 def events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
