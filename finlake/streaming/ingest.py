@@ -43,8 +43,9 @@ def read_event_stream(
     max_files_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Files arriving in ``source``, read with a fixed schema, plus the file path."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    """Files arriving in ``source`` (sub-folders included), read with a fixed
+    schema, plus the path of the file each row came from."""
+    reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     for k, v in (options or {}).items():
