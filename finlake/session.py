@@ -30,11 +30,15 @@ RECOMMENDED_CONF: dict[str, str] = {
 }
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "finlake",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    rocksdb_state: bool = False,
 ) -> SparkSession:
     """Create (or reuse) a session with the recommended settings.
 
@@ -47,6 +51,9 @@ def build_session(
     conf = dict(RECOMMENDED_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if rocksdb_state:
+        # Streaming state on local disk in RocksDB instead of the JVM heap.
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -132,3 +132,13 @@ def run_ingest_once(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
     if q.exception() is not None:
         raise q.exception()
     return q
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows the stateful operator dropped as later than the watermark, over the
+    progress reports the query still holds (zero unless ``bounded=True``)."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.stateOperators or []:
+            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
+    return total

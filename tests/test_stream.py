@@ -55,3 +55,24 @@ def test_bounded_mode_runs(spark, sf_dir):
     ingest_events(spark, paths, bounded=True)
     good = lake.read_bronze_events(spark, paths.bronze_events)
     assert good.count() == good.select("event_id").distinct().count() > 0
+
+
+def test_dropped_by_watermark_and_rocksdb(spark, sf_dir):
+    from finlake.session import ROCKSDB_PROVIDER
+    from finlake.streaming.ingest import dropped_by_watermark, run_ingest_once
+
+    paths = LakePaths(run_dir(spark, "t-stream4"))
+    landing.write_jsonl(fixtures.usage_events_raw(spark, sf_dir), paths.landing_stream)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        q = run_ingest_once(spark, paths.landing_stream, paths.bronze_events, paths.quarantine,
+                            paths.stream_checkpoint)
+    finally:
+        if old:
+            spark.conf.set(key, old)
+        else:
+            spark.conf.unset(key)
+    assert dropped_by_watermark(q) == 0
+    assert lake.read_bronze_events(spark, paths.bronze_events).count() > 0
