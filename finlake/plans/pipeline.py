@@ -25,6 +25,7 @@ from finlake.functions.constants import (
     MART_REVENUE_MONTH_LABEL,
 )
 from finlake.operators import marts, silver
+from finlake.plans.parallel import run_parallel
 from finlake.sources import fixtures, landing, lake, serving
 from finlake.streaming import ingest
 
@@ -79,8 +80,14 @@ BATCH_INPUTS = ("customers_orgs", "resources", "billing_monthly", "support_ticke
 
 def stage_batch_landing(spark: SparkSession, sf_dir: str, paths: LakePaths) -> None:
     """One CSV table per batch input, derived from the driver's tables."""
-    for name in BATCH_INPUTS:
-        landing.write_csv_table(fixtures.BUILDERS[name](spark, sf_dir), paths.landing, f"{name}.csv")
+    run_parallel(
+        {
+            name: lambda name=name: landing.write_csv_table(
+                fixtures.BUILDERS[name](spark, sf_dir), paths.landing, f"{name}.csv"
+            )
+            for name in BATCH_INPUTS
+        }
+    )
 
 
 def stage_event_landing(spark: SparkSession, sf_dir: str, paths: LakePaths) -> None:
@@ -100,8 +107,12 @@ def stage_landing(spark: SparkSession, sf_dir: str, paths: LakePaths) -> None:
 def ingest_batch(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) -> list[str]:
     """Every landing CSV into bronze, one ``source_file`` partition each."""
     tables = landing.read_landing(spark, paths.landing, run_ts)
-    for df in tables.values():
-        lake.write_bronze_batch(df, paths.bronze_batch)
+    run_parallel(
+        {
+            name: lambda name=name, df=df: lake.write_bronze_batch(df, paths.bronze_batch, name)
+            for name, df in tables.items()
+        }
+    )
     return list(tables)
 
 
@@ -128,29 +139,37 @@ def build_silver(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) ->
     """Billing, tickets, clean events (by usage day) and the daily rollup.
 
     The rollup reads the events just written, so both tables agree on which
-    copy of an event survived.
+    copy of an event survived. Independent tables are written side by side.
     """
-    bill = silver.billing_usd(bronze_table(spark, paths, "billing_monthly.csv"))
-    lake.write_table(bill, paths.silver("billing_monthly_clean"))
-
-    tickets = silver.tickets_clean(bronze_table(spark, paths, "support_tickets.csv"))
-    lake.write_table(tickets, paths.silver("support_tickets_clean"))
-
-    good = lake.read_bronze_events(spark, paths.bronze_events).drop("batch_id", "date")
-    clean = silver.usage_events_clean(
-        good,
-        bronze_table(spark, paths, "customers_orgs.csv"),
-        bronze_table(spark, paths, "resources.csv"),
-    )
-    lake.write_table(clean, paths.silver("usage_events_clean"), ["usage_date"])
 
-    written = spark.read.parquet(paths.silver("usage_events_clean"))
-    daily = silver.daily_usage(written, run_ts)
-    lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
+    def billing() -> None:
+        bill = silver.billing_usd(bronze_table(spark, paths, "billing_monthly.csv"))
+        lake.write_table(bill, paths.silver("billing_monthly_clean"))
+
+    def tickets() -> None:
+        t = silver.tickets_clean(bronze_table(spark, paths, "support_tickets.csv"))
+        lake.write_table(t, paths.silver("support_tickets_clean"))
+
+    def events() -> None:
+        good = lake.read_bronze_events(spark, paths.bronze_events).drop("batch_id", "date")
+        clean = silver.usage_events_clean(
+            good,
+            bronze_table(spark, paths, "customers_orgs.csv"),
+            bronze_table(spark, paths, "resources.csv"),
+        )
+        lake.write_table(clean, paths.silver("usage_events_clean"), ["usage_date"])
+        written = spark.read.parquet(paths.silver("usage_events_clean"))
+        daily = silver.daily_usage(written, run_ts)
+        lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
 
     # Pass-through copy of every batch table, for readers of the silver layer.
-    for name in landing.discover_batch_files(spark, paths.landing):
-        lake.write_table(bronze_table(spark, paths, name), paths.silver("batch_data"), ["source_file"])
+    copies = {
+        f"copy:{name}": lambda name=name: lake.write_source_partition(
+            bronze_table(spark, paths, name), paths.silver("batch_data"), name
+        )
+        for name in landing.discover_batch_files(spark, paths.landing)
+    }
+    run_parallel({"billing": billing, "tickets": tickets, "events": events, **copies})
 
 
 # ------------------------------------------------------------------ gold
@@ -170,11 +189,15 @@ def build_marts(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
         MART_GENAI_DAILY: (marts.genai_tokens_cost_daily(events), None),
         MART_GENAI_DAILY_BY_ORG: (marts.genai_tokens_cost_daily_by_org(events), None),
     }
-    written = {}
-    for name, (df, part) in out.items():
-        lake.write_table(df, paths.gold(name), part, replace_all=True)
-        written[name] = paths.gold(name)
-    return written
+    run_parallel(
+        {
+            name: lambda name=name, df=df, part=part: lake.write_table(
+                df, paths.gold(name), part, replace_all=True
+            )
+            for name, (df, part) in out.items()
+        }
+    )
+    return {name: paths.gold(name) for name in out}
 
 
 # ------------------------------------------------------------------ serving
@@ -190,8 +213,14 @@ def publish_all(spark: SparkSession, paths: LakePaths) -> list[str]:
         MART_GENAI_DAILY,
         MART_GENAI_DAILY_BY_ORG,
     ]
-    for name in names:
-        serving.publish(spark.read.parquet(paths.gold(name)), paths.serving, name)
+    run_parallel(
+        {
+            name: lambda name=name: serving.publish(
+                spark.read.parquet(paths.gold(name)), paths.serving, name
+            )
+            for name in names
+        }
+    )
     return names
 
 

@@ -46,9 +46,20 @@ def write_table(
     w.parquet(path)
 
 
-def write_bronze_batch(df: DataFrame, bronze_batch: str) -> None:
+def write_source_partition(df: DataFrame, root: str, file_name: str) -> None:
+    """One table into its own ``source_file=<name>`` folder of a shared area.
+
+    The folder is replaced as a whole (a rerun leaves one copy), and tables go
+    to separate folders, so several tables can be written at the same time.
+    Readers see the usual partition layout (``read_source_partition``).
+    """
+    body = df.drop(SOURCE_FILE) if SOURCE_FILE in df.columns else df
+    body.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{SOURCE_FILE}={file_name}")
+
+
+def write_bronze_batch(df: DataFrame, bronze_batch: str, file_name: str) -> None:
     """A landing table into the bronze batch area, one partition per source file."""
-    write_table(df, bronze_batch, [SOURCE_FILE])
+    write_source_partition(df, bronze_batch, file_name)
 
 
 def read_source_partition(
