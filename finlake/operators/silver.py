@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions.measures import carbon_kept, exact_sum, genai_tokens_kept, metric_columns
 from finlake.operators.dedup import dedup_by_key, distinct_rows
+from finlake.operators.joins import HOT_ROWS, salted_left_join
 
 USAGE_KEY = ["org_id", "service", "usage_date"]
 RESOURCE_KEY = ["org_id", "resource_id", "region", "service"]
@@ -64,17 +65,19 @@ def resources_clean(resources: DataFrame) -> DataFrame:
     return dedup_by_key(r, RESOURCE_KEY, keep_null_keys=False)
 
 
-def enrich_events(events: DataFrame, orgs: DataFrame, resources: DataFrame) -> DataFrame:
+def enrich_events(
+    events: DataFrame, orgs: DataFrame, resources: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Events LEFT JOIN organisations (org_id) LEFT JOIN resources (four keys).
 
     Both dimensions are unique on their join keys (cleaned above), so the joins
-    never add rows. No broadcast hint: AQE broadcasts a side whose measured
-    size is under the threshold and otherwise keeps the sort-merge join, whose
-    skewed partitions (a hot org) it splits.
+    never add rows. No broadcast hint: AQE broadcasts a dimension whose
+    measured size is under the threshold; otherwise the join is a sort-merge
+    join on (key, salt) in which a hot organisation or resource is spread over
+    several tasks (``finlake.operators.joins``).
     """
-    return events.join(orgs, on="org_id", how="left").join(
-        resources, on=RESOURCE_KEY, how="left"
-    )
+    with_orgs = salted_left_join(events, orgs, ["org_id"], hot_rows)
+    return salted_left_join(with_orgs, resources, RESOURCE_KEY, hot_rows)
 
 
 def derive_event_columns(events: DataFrame) -> DataFrame:
@@ -89,18 +92,27 @@ def derive_event_columns(events: DataFrame) -> DataFrame:
     )
 
 
+def usage_events_base(good_events: DataFrame) -> DataFrame:
+    """Good events, one per id, with derived columns (no dimension columns).
+
+    Good events always have an id (the first rule), so no NULL-key branch.
+    Enough for every rollup: none needs an organisation or resource column.
+    """
+    unique = dedup_by_key(good_events, ["event_id"], order_by=["timestamp"], keep_null_keys=False)
+    return derive_event_columns(unique)
+
+
 def usage_events_clean(
-    good_events: DataFrame, orgs: DataFrame, resources: DataFrame
+    good_events: DataFrame, orgs: DataFrame, resources: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Good events, one per id, enriched and with derived columns.
+    """Good events, one per id, with derived columns, enriched by both dimensions.
 
     De-duplication runs before the joins (fewer rows to join, and a duplicate
     dimension row cannot multiply events); the dimensions are cleaned here.
-    Good events always have an id (the first rule), so no NULL-key branch.
     """
-    unique = dedup_by_key(good_events, ["event_id"], order_by=["timestamp"], keep_null_keys=False)
-    enriched = enrich_events(unique, orgs_clean(orgs), resources_clean(resources))
-    return derive_event_columns(enriched)
+    return enrich_events(
+        usage_events_base(good_events), orgs_clean(orgs), resources_clean(resources), hot_rows
+    )
 
 
 def daily_usage(events_clean: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:

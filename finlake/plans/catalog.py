@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions import rules
 from finlake.operators import audit, lookups, marts, quality, silver
+from finlake.operators.joins import salted_left_join
 from finlake.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,8 +93,13 @@ def events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events without dimension columns: what every rollup reads."""
+    return silver.usage_events_base(events_good(spark, sf_dir))
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.daily_usage(events_clean(spark, sf_dir))
+    return silver.daily_usage(events_base(spark, sf_dir))
 
 
 def billing_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +112,7 @@ def tickets_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The gold marts by published name (without the run stamp)."""
-    clean = events_clean(spark, sf_dir)
+    clean = events_base(spark, sf_dir)
     bill = billing_silver(spark, sf_dir)
     return {
         "org_daily_usage_by_service": marts.org_daily_usage_by_service(
@@ -176,13 +182,13 @@ def q_silver_metric_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_join_events_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     orgs = silver.orgs_clean(fixtures.customers_orgs(spark, sf_dir))
     ev = events_good(spark, sf_dir).select("event_id", "org_id")
-    return ev.join(orgs, on="org_id", how="left")
+    return salted_left_join(ev, orgs, ["org_id"])
 
 
 def q_join_events_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = silver.resources_clean(fixtures.resources(spark, sf_dir))
     ev = events_good(spark, sf_dir).select("event_id", *silver.RESOURCE_KEY)
-    return ev.join(res, on=silver.RESOURCE_KEY, how="left")
+    return salted_left_join(ev, res, silver.RESOURCE_KEY)
 
 
 def q_silver_usage_events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,11 +216,11 @@ def q_mart_revenue_by_org_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mart_genai_tokens_cost_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.genai_tokens_cost_daily(events_clean(spark, sf_dir))
+    return marts.genai_tokens_cost_daily(events_base(spark, sf_dir))
 
 
 def q_mart_genai_tokens_cost_daily_by_org(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.genai_tokens_cost_daily_by_org(events_clean(spark, sf_dir))
+    return marts.genai_tokens_cost_daily_by_org(events_base(spark, sf_dir))
 
 
 def q_lookup_costs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +244,7 @@ def q_lookup_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lookup_genai_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.genai_tokens_cost_daily_by_org(events_clean(spark, sf_dir))
+    mart = marts.genai_tokens_cost_daily_by_org(events_base(spark, sf_dir))
     return lookups.lookup_genai_tokens(mart, LOOKUP_ORG, LOOKUP_START, LOOKUP_END)
 
 

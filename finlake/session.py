@@ -67,16 +67,25 @@ def shared_dir(spark: SparkSession) -> str:
     our own created and registered, so later calls agree on it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _classic_context(spark)
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="finlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def _classic_context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect raises on sparkContext
+        return None
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder for one run of a job."""
     return f"{shared_dir(spark)}/finlake-runs/{label}-{uuid.uuid4().hex[:12]}"
