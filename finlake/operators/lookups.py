@@ -51,7 +51,7 @@ def lookup_costs_daily(
         conds.append(F.col("org_id") == F.lit(org))
     if services is not None:
         conds.append(F.col("service").isin(list(services)))
-    return org_daily_usage.where(_and(conds))
+    return org_daily_usage.where(_and(conds)).orderBy("usage_date", "org_id", "service")
 
 
 def lookup_top_revenue_months(revenue_label: DataFrame, org: str | None, n: int) -> DataFrame:
@@ -63,8 +63,8 @@ def lookup_top_revenue_months(revenue_label: DataFrame, org: str | None, n: int)
 def lookup_sla_evolution(
     critical_daily: DataFrame, start: str | dt.date | None, end: str | dt.date | None
 ) -> DataFrame:
-    """Critical-ticket SLA rows between two days, inclusive."""
-    return critical_daily.where(_and(_between("date", start, end)))
+    """Critical-ticket SLA rows between two days, inclusive, by day."""
+    return critical_daily.where(_and(_between("date", start, end))).orderBy("date")
 
 
 def lookup_monthly_revenue(
@@ -78,7 +78,7 @@ def lookup_monthly_revenue(
         conds.append(F.col("month") == F.lit(dt.date(year, month, 1)))
     elif year is not None:
         conds += _between("month", dt.date(year, 1, 1), dt.date(year, 12, 31))
-    return revenue_month.where(_and(conds))
+    return revenue_month.where(_and(conds)).orderBy("month", "org_id")
 
 
 def lookup_genai_tokens(
@@ -87,11 +87,11 @@ def lookup_genai_tokens(
     start: str | dt.date | None = None,
     end: str | dt.date | None = None,
 ) -> DataFrame:
-    """GenAI tokens and cost per day of an organisation, dates inclusive."""
+    """GenAI tokens and cost per day of an organisation, dates inclusive, by day."""
     conds = _between("usage_date", start, end)
     if org is not None:
         conds.append(F.col("org_id") == F.lit(org))
-    return genai_by_org.where(_and(conds))
+    return genai_by_org.where(_and(conds)).orderBy("usage_date", "org_id")
 
 
 def top_services(
