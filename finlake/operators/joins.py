@@ -39,11 +39,20 @@ def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Dat
 
 
 def salted_left_join(
-    facts: DataFrame, dim: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS
+    facts: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """``facts LEFT JOIN dim USING (keys)``, with hot keys split over several tasks."""
+    """``facts LEFT JOIN dim USING (keys)``, with hot keys split over several tasks.
+
+    ``hot`` may be given when the hot keys were counted on an earlier form of
+    the facts with the same rows (for example before another left join on a
+    unique key), so the facts are not evaluated once more just to count them.
+    """
     # At most rows/hot_rows entries: a proven bound, so it is broadcast.
-    hot = F.broadcast(hot_keys(facts, keys, hot_rows))
+    hot = F.broadcast(hot if hot is not None else hot_keys(facts, keys, hot_rows))
     fact_cols = facts.columns
     salted_facts = facts.join(hot, keys, "left").withColumn(
         _SALT,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions.measures import carbon_kept, exact_sum, genai_tokens_kept, metric_columns
 from finlake.operators.dedup import dedup_by_key, distinct_rows
-from finlake.operators.joins import HOT_ROWS, salted_left_join
+from finlake.operators.joins import HOT_ROWS, hot_keys, salted_left_join
 
 USAGE_KEY = ["org_id", "service", "usage_date"]
 RESOURCE_KEY = ["org_id", "resource_id", "region", "service"]
@@ -76,8 +76,11 @@ def enrich_events(
     join on (key, salt) in which a hot organisation or resource is spread over
     several tasks (``finlake.operators.joins``).
     """
+    # The org join neither adds nor drops rows, so the hot resource keys can be
+    # counted on the events themselves rather than on the joined rows.
+    hot_res = hot_keys(events, RESOURCE_KEY, hot_rows)
     with_orgs = salted_left_join(events, orgs, ["org_id"], hot_rows)
-    return salted_left_join(with_orgs, resources, RESOURCE_KEY, hot_rows)
+    return salted_left_join(with_orgs, resources, RESOURCE_KEY, hot_rows, hot=hot_res)
 
 
 def derive_event_columns(events: DataFrame) -> DataFrame:
