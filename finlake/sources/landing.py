@@ -51,13 +51,27 @@ def read_batch_table(
 ) -> DataFrame:
     """One landing CSV with provenance: ``ingest_ts`` (the run time) and ``source_file``.
 
-    Known tables are read with their schema; an unknown one falls back to
-    header-based inference (one extra pass over that file).
+    A known table's columns are matched to its schema *by header name* (a
+    schema given to the CSV reader is applied by position, so a file with its
+    columns in another order would be read wrongly without any error). Values
+    are converted with ``try_cast``: a malformed value becomes NULL instead of
+    failing the job. Columns the schema does not name are kept as text; a
+    column the file lacks is NULL. An unknown table falls back to header-based
+    inference (one extra pass over that file).
     """
     schema = schema or schemas.BATCH_TABLES.get(file_name)
+    path = f"{landing.rstrip('/')}/{file_name}"
     reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    df = reader.csv(f"{landing.rstrip('/')}/{file_name}")
+    if schema is None:
+        df = reader.option("inferSchema", "true").csv(path)
+    else:
+        text = reader.csv(path)  # every column a string, named by the header
+        known = [
+            (F.col(f.name).try_cast(f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
+        extra = [c for c in text.columns if c not in schema.fieldNames()]
+        df = text.select(*known, *extra)
     stamp = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.current_timestamp()
     return df.withColumns({"ingest_ts": stamp, "source_file": F.lit(file_name)})
 

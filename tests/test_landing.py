@@ -36,3 +36,22 @@ def test_unknown_table_is_inferred(spark):
     df = landing.read_batch_table(spark, root, "extra.csv", run_ts=RUN)
     assert dict(df.dtypes)["n"] == "int" and dict(df.dtypes)["x"] == "double"
     assert df.first().source_file == "extra.csv"
+
+
+def test_columns_matched_by_name_and_bad_values_null(spark):
+    root = run_dir(spark, "t-order")
+    # columns in another order than the schema, one malformed date, one extra column
+    rows = [("1.25", "o1", "2024-01-01", "i1", "10.5", "x", "", "2.0"),
+            ("0.5", "o2", "not-a-date", "i2", "20.0", "y", "1.0", "")]
+    cols = "exchange_rate_to_usd string, org_id string, month string, invoice_id string, " \
+           "subtotal string, note string, credits string, taxes string"
+    spark.createDataFrame(rows, cols).coalesce(1).write.option("header", "true").csv(
+        root + "/billing_monthly.csv")
+    df = landing.read_batch_table(spark, root, "billing_monthly.csv", run_ts=RUN)
+    got = {r.invoice_id: r for r in df.collect()}
+    assert got["i1"].org_id == "o1" and got["i1"].subtotal == 10.5
+    assert got["i1"].exchange_rate_to_usd == 1.25 and got["i1"].month == dt.date(2024, 1, 1)
+    assert got["i1"].credits is None and got["i1"].taxes == 2.0
+    assert got["i2"].month is None  # malformed: NULL, the job does not fail
+    assert got["i2"].note == "y"  # a column the schema does not name is kept
+    assert dict(df.dtypes)["subtotal"] == "double"
