@@ -123,7 +123,7 @@ def mart_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             tickets_silver(spark, sf_dir)
         ),
         "revenue_by_org_month_usd": marts.revenue_by_org_month(bill),
-        "genai_tokens_cost_daily": marts.genai_tokens_cost_daily(clean),
+        "genai_tokens_cost_daily": marts.genai_tokens_cost_daily(silver.daily_usage(clean)),
     }
 
 
@@ -216,11 +216,11 @@ def q_mart_revenue_by_org_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mart_genai_tokens_cost_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.genai_tokens_cost_daily(events_base(spark, sf_dir))
+    return marts.genai_tokens_cost_daily(daily(spark, sf_dir))
 
 
 def q_mart_genai_tokens_cost_daily_by_org(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.genai_tokens_cost_daily_by_org(events_base(spark, sf_dir))
+    return marts.genai_tokens_cost_daily_by_org(daily(spark, sf_dir))
 
 
 def q_lookup_costs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +244,7 @@ def q_lookup_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lookup_genai_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = marts.genai_tokens_cost_daily_by_org(events_base(spark, sf_dir))
+    mart = marts.genai_tokens_cost_daily_by_org(daily(spark, sf_dir))
     return lookups.lookup_genai_tokens(mart, LOOKUP_ORG, LOOKUP_START, LOOKUP_END)
 
 

@@ -14,7 +14,9 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from finlake.functions.constants import (
     MART_CRITICAL_TICKETS,
@@ -25,6 +27,7 @@ from finlake.functions.constants import (
     MART_REVENUE_MONTH_LABEL,
 )
 from finlake.operators import marts, silver
+from finlake.operators.dedup import dedup_by_key
 from finlake.plans.parallel import run_parallel
 from finlake.sources import fixtures, landing, lake, serving
 from finlake.streaming import ingest
@@ -135,11 +138,17 @@ def bronze_table(spark: SparkSession, paths: LakePaths, file_name: str) -> DataF
     return lake.read_source_partition(spark, paths.bronze_batch, file_name)
 
 
-def build_silver(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) -> None:
+def build_silver(
+    spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, incremental: bool = True
+) -> None:
     """Billing, tickets, clean events (by usage day) and the daily rollup.
 
-    The rollup reads the events just written, so both tables agree on which
-    copy of an event survived. Independent tables are written side by side.
+    Events: with ``incremental`` only the stream's micro-batches not processed
+    yet are read, and only the usage days they touch are rewritten
+    (``update_events``); otherwise every day is rebuilt from all of bronze.
+    The rollup always reads the events just written, so both tables agree on
+    which copy of an event survived. Independent tables are written side by
+    side.
     """
 
     def billing() -> None:
@@ -151,16 +160,7 @@ def build_silver(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) ->
         lake.write_table(t, paths.silver("support_tickets_clean"))
 
     def events() -> None:
-        good = lake.read_bronze_events(spark, paths.bronze_events).drop("batch_id", "date")
-        clean = silver.usage_events_clean(
-            good,
-            bronze_table(spark, paths, "customers_orgs.csv"),
-            bronze_table(spark, paths, "resources.csv"),
-        )
-        lake.write_table(clean, paths.silver("usage_events_clean"), ["usage_date"])
-        written = spark.read.parquet(paths.silver("usage_events_clean"))
-        daily = silver.daily_usage(written, run_ts)
-        lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
+        update_events(spark, paths, run_ts, incremental)
 
     # Pass-through copy of every batch table, for readers of the silver layer.
     copies = {
@@ -172,6 +172,80 @@ def build_silver(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) ->
     run_parallel({"billing": billing, "tickets": tickets, "events": events, **copies})
 
 
+PROGRESS_SCHEMA = "last_batch_id long, run_ts timestamp"
+
+
+def _last_batch(spark: SparkSession, paths: LakePaths) -> int:
+    """The last micro-batch already in silver (-1 before the first run)."""
+    try:
+        row = spark.read.schema(PROGRESS_SCHEMA).parquet(paths.silver("_progress")).first()
+    except AnalysisException:  # no progress written yet
+        return -1
+    return -1 if row is None or row.last_batch_id is None else int(row.last_batch_id)
+
+
+def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # the table does not exist yet
+        return None
+
+
+def update_events(
+    spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, incremental: bool = True
+) -> int:
+    """Bring silver events and the daily rollup up to date with bronze.
+
+    1. Read the micro-batches after the recorded one (``batch_id`` is a
+       partition column, so older batches are not even listed).
+    2. Clean and enrich them; find the usage days they touch (one row per
+       calendar day, so the day list is small and is broadcast).
+    3. Merge them with the silver rows already stored for those days (the
+       days are partitions of silver, so only they are read), de-duplicate,
+       and cut the lineage with ``checkpoint()`` in the shared checkpoint
+       folder, since the same partitions are about to be overwritten.
+    4. Overwrite those days of the events, then of the rollup, and only then
+       record the batch: a run that fails midway is simply redone.
+
+    With the stream's default (exact) de-duplication an id is in bronze only
+    once, so this equals a rebuild from all of bronze. Returns the number of
+    new bronze rows.
+    """
+    done = _last_batch(spark, paths) if incremental else -1
+    bronze = lake.read_bronze_events(spark, paths.bronze_events)
+    new = bronze.where(F.col("batch_id") > F.lit(done))
+    top = new.agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    if top.b is None:
+        return 0
+    fresh = silver.usage_events_clean(
+        new.drop("batch_id", "date"),
+        bronze_table(spark, paths, "customers_orgs.csv"),
+        bronze_table(spark, paths, "resources.csv"),
+    )
+    stored = _read_if_exists(spark, paths.silver("usage_events_clean")) if done >= 0 else None
+    if stored is None:
+        merged = fresh  # nothing stored is read, so nothing to cut from
+    else:
+        days = F.broadcast(fresh.select("usage_date").distinct())
+        old = stored.join(days, "usage_date", "left_semi")
+        merged = dedup_by_key(
+            old.unionByName(fresh, allowMissingColumns=True),
+            ["event_id"],
+            order_by=["timestamp"],
+            keep_null_keys=False,
+        ).checkpoint()  # reliable, in spark.checkpoint.dir
+    lake.write_table(merged, paths.silver("usage_events_clean"), ["usage_date"])
+
+    written = spark.read.parquet(paths.silver("usage_events_clean"))
+    touched = F.broadcast(merged.select("usage_date").distinct())
+    daily = silver.daily_usage(written.join(touched, "usage_date", "left_semi"), run_ts)
+    lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
+
+    progress = spark.createDataFrame([(int(top.b), run_ts)], PROGRESS_SCHEMA)
+    progress.write.mode("overwrite").parquet(paths.silver("_progress"))
+    return int(top.n)
+
+
 # ------------------------------------------------------------------ gold
 
 
@@ -180,14 +254,13 @@ def build_marts(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
     daily = spark.read.parquet(paths.silver("daily_usage"))
     bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
     tickets = spark.read.parquet(paths.silver("support_tickets_clean"))
-    events = spark.read.parquet(paths.silver("usage_events_clean"))
     out = {
         MART_ORG_DAILY_USAGE: (marts.org_daily_usage_by_service(daily), ["usage_date"]),
         MART_REVENUE_MONTH_LABEL: (marts.revenue_by_org_month_label(bill), None),
         MART_CRITICAL_TICKETS: (marts.critical_tickets_sla_daily(tickets), None),
         MART_REVENUE_MONTH: (marts.revenue_by_org_month(bill), None),
-        MART_GENAI_DAILY: (marts.genai_tokens_cost_daily(events), None),
-        MART_GENAI_DAILY_BY_ORG: (marts.genai_tokens_cost_daily_by_org(events), None),
+        MART_GENAI_DAILY: (marts.genai_tokens_cost_daily(daily), None),
+        MART_GENAI_DAILY_BY_ORG: (marts.genai_tokens_cost_daily_by_org(daily), None),
     }
     run_parallel(
         {

@@ -61,3 +61,29 @@ def test_rerun_changes_nothing(spark, sf_dir, lake_paths):
     assert lake.read_bronze_events(spark, lake_paths.bronze_events).count() == n_bronze
     after = _rows(serving.read_published(spark, lake_paths.serving, MART_ORG_DAILY_USAGE))
     assert before == after
+
+
+def test_incremental_silver_equals_one_batch(spark, sf_dir):
+    from finlake.operators import silver
+    from finlake.plans import pipeline as P
+    from finlake.sources import landing
+
+    paths = LakePaths(run_dir(spark, "t-incr"))
+    P.stage_batch_landing(spark, sf_dir, paths)
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    early = raw.where(F.col("timestamp") < F.lit(dt.datetime(2024, 1, 15)))
+    landing.write_jsonl(early, paths.landing_stream + "/drop1")
+    run_all(spark, paths, RUN)
+    n1 = spark.read.parquet(paths.silver("usage_events_clean")).count()
+    landing.write_jsonl(raw, paths.landing_stream + "/drop2")  # replays drop 1, adds the rest
+    run_all(spark, paths, RUN)
+    clean = spark.read.parquet(paths.silver("usage_events_clean"))
+    assert clean.count() > n1
+
+    good = quality.ingest_events_split(raw)[0]
+    expected = silver.usage_events_clean(
+        good, fixtures.customers_orgs(spark, sf_dir), fixtures.resources(spark, sf_dir))
+    cols = ["event_id", "org_id", "service", "usage_date", "cost_usd_increment", "org_name", "quota"]
+    assert _rows(clean.select(*cols)) == _rows(expected.select(*cols))
+    daily = spark.read.parquet(paths.silver("daily_usage")).drop("last_updated")
+    assert _rows(daily) == _rows(silver.daily_usage(silver.usage_events_base(good)))
