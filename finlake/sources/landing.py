@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,18 +25,24 @@ TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 def discover_batch_files(spark: SparkSession, landing: str) -> list[str]:
     """Names of the ``*.csv`` entries directly under ``landing`` (suffix match).
 
-    The listing is a ``binaryFile`` scan that selects only the path, so no
-    file is opened; the distinct table names (a handful) are collected.
+    The path is the glob ``<landing>/*.csv``, so only matching top-level
+    entries are expanded; the stream's drop folder, which may hold millions
+    of files, is never listed. The ``binaryFile`` scan selects only the path,
+    so no file is opened; the distinct table names (a handful) are collected.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
-        .load(landing)
-        .select("path")
-    )
+    root = landing.rstrip("/")
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv")
+            .load(f"{root}/*.csv")
+            .select("path")
+        )
+    except AnalysisException:  # nothing matches the glob
+        return []
     # Paths come back as URIs; the first element under the root is the table.
-    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", landing.rstrip("/"))
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", root)
     relative = F.regexp_replace("path", "^.*?" + re.escape(bare) + "/", "")
     names = files.select(F.element_at(F.split(relative, "/"), 1).alias("name"))
     names = names.where(F.col("name").endswith(".csv")).distinct()

@@ -55,3 +55,9 @@ def test_columns_matched_by_name_and_bad_values_null(spark):
     assert got["i2"].month is None  # malformed: NULL, the job does not fail
     assert got["i2"].note == "y"  # a column the schema does not name is kept
     assert dict(df.dtypes)["subtotal"] == "double"
+
+
+def test_discovery_on_empty_landing(spark):
+    root = run_dir(spark, "t-empty")
+    spark.range(3).write.json(root + "/usage_events_stream")  # only stream files
+    assert landing.discover_batch_files(spark, root) == []
