@@ -7,7 +7,6 @@ lookup of the shared folder used for checkpoints and staged tables.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -89,13 +88,3 @@ def _classic_context(spark: SparkSession):
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder for one run of a job."""
     return f"{shared_dir(spark)}/finlake-runs/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_parent(path: str) -> None:
-    """Create the parent folder of a local path (no-op for remote stores)."""
-    if is_local_path(path):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)

@@ -100,15 +100,3 @@ def read_bronze_events(spark: SparkSession, path: str) -> DataFrame:
     """Good or quarantined events written by the stream, with typed partition columns
     (``date`` stays the ``yyyyMMdd`` string it was written as)."""
     return spark.read.schema(BRONZE_EVENT).parquet(path)
-
-
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
-
-
-def stamp(df: DataFrame, column: str, value) -> DataFrame:
-    """Add a run stamp column (a literal, so every row of a run agrees)."""
-    return df.withColumn(column, F.lit(value).cast("timestamp"))

@@ -42,12 +42,20 @@ def read_event_stream(
     fmt: str = "json",
     max_files_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
     """Files arriving in ``source`` (sub-folders included), read with a fixed
-    schema, plus the path of the file each row came from."""
+    schema, plus the path of the file each row came from.
+
+    ``archive_dir`` moves each processed file there once its batch is
+    committed (Spark's ``cleanSource``), so a long-running stream does not
+    list an ever-growing drop folder on every trigger.
+    """
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load(source).withColumn("source_file", F.col("_metadata.file_path"))
@@ -103,6 +111,7 @@ def start_ingest(
     watermark: str = EVENT_WATERMARK,
     max_files_per_trigger: int | None = None,
     source_format: str = "json",
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """Start the ingestion query (``available_now``: process what is there, then stop).
 
@@ -110,13 +119,20 @@ def start_ingest(
     between runs, so a second run over the same files adds nothing.
     """
     flagged = prepare(
-        read_event_stream(spark, source, fmt=source_format, max_files_per_trigger=max_files_per_trigger),
+        read_event_stream(
+            spark,
+            source,
+            fmt=source_format,
+            max_files_per_trigger=max_files_per_trigger,
+            archive_dir=archive_dir,
+        ),
         watermark,
         bounded,
     )
     writer = (
-        flagged.writeStream.foreachBatch(lambda df, bid: write_split_batch(df, bid, good_path, quarantine_path))
-        .option("checkpointLocation", checkpoint)
+        flagged.writeStream.foreachBatch(
+            lambda df, bid: write_split_batch(df, bid, good_path, quarantine_path)
+        ).option("checkpointLocation", checkpoint)
     )
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)

@@ -76,3 +76,21 @@ def test_dropped_by_watermark_and_rocksdb(spark, sf_dir):
             spark.conf.unset(key)
     assert dropped_by_watermark(q) == 0
     assert lake.read_bronze_events(spark, paths.bronze_events).count() > 0
+
+
+def test_archive_processed_files(spark, sf_dir):
+    import glob
+
+    from finlake.streaming.ingest import run_ingest_once
+
+    paths = LakePaths(run_dir(spark, "t-archive"))
+    landing.write_jsonl(fixtures.usage_events_raw(spark, sf_dir), paths.landing_stream)
+    archive = paths.root + "/archive"
+    run_ingest_once(spark, paths.landing_stream, paths.bronze_events, paths.quarantine,
+                    paths.stream_checkpoint, archive_dir=archive)
+    run_ingest_once(spark, paths.landing_stream, paths.bronze_events, paths.quarantine,
+                    paths.stream_checkpoint, archive_dir=archive)  # archiving runs after commit
+    assert lake.read_bronze_events(spark, paths.bronze_events).count() > 0
+    left = glob.glob(paths.landing_stream + "/*.json")
+    moved = glob.glob(archive + "/**/*.json", recursive=True)
+    assert moved and len(left) < len(moved) + len(left)
