@@ -17,10 +17,8 @@ from finlake.functions import rules
 from finlake.plans import catalog as C
 from finlake.plans.pipeline import (
     LakePaths,
-    build_marts,
-    build_silver,
     ingest_batch,
-    publish_all,
+    run_all,
     stage_batch_landing,
     stage_event_landing,
 )
@@ -91,13 +89,7 @@ def q_src_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_serve_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The usage mart after the whole lake ran from files (landing -> serving)."""
     paths = _paths(spark, "lake")
-    stage_batch_landing(spark, sf_dir, paths)
-    stage_event_landing(spark, sf_dir, paths)
-    ingest_batch(spark, paths, RUN_TS)
-    run_event_ingest(spark, paths)
-    build_silver(spark, paths, RUN_TS)
-    build_marts(spark, paths)
-    publish_all(spark, paths)
+    run_all(spark, paths, RUN_TS, sf_dir=sf_dir)
     out = serving.read_published(spark, paths.serving, "org_daily_usage_by_service")
     return out.drop("last_updated")
 

@@ -100,8 +100,12 @@ def stage_event_landing(spark: SparkSession, sf_dir: str, paths: LakePaths) -> N
 
 def stage_landing(spark: SparkSession, sf_dir: str, paths: LakePaths) -> None:
     """Write every input of the pipeline into the landing zone."""
-    stage_batch_landing(spark, sf_dir, paths)
-    stage_event_landing(spark, sf_dir, paths)
+    run_parallel(
+        {
+            "batch": lambda: stage_batch_landing(spark, sf_dir, paths),
+            "events": lambda: stage_event_landing(spark, sf_dir, paths),
+        }
+    )
 
 
 # ------------------------------------------------------------------ bronze
@@ -297,6 +301,16 @@ def publish_all(spark: SparkSession, paths: LakePaths) -> list[str]:
     return names
 
 
+def ingest_all(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) -> None:
+    """Batch tables and the event stream into bronze, side by side."""
+    run_parallel(
+        {
+            "batch": lambda: ingest_batch(spark, paths, run_ts),
+            "events": lambda: ingest_events(spark, paths),
+        }
+    )
+
+
 def run_all(
     spark: SparkSession,
     paths: LakePaths,
@@ -307,8 +321,7 @@ def run_all(
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if sf_dir is not None:
         stage_landing(spark, sf_dir, paths)
-    ingest_batch(spark, paths, run_ts)
-    ingest_events(spark, paths)
+    ingest_all(spark, paths, run_ts)
     build_silver(spark, paths, run_ts)
     build_marts(spark, paths)
     publish_all(spark, paths)
