@@ -11,12 +11,16 @@ De-duplication (on ``event_id``):
 * rows without an id or a time never enter the state (they fail a rule and
   are all quarantined) and are re-united with ``unionByName``.
 
-``bounded=False`` (default) keeps one state entry per id for good, as the
-original did, so no row is ever dropped; use the RocksDB state store for
-large state. ``bounded=True`` uses ``dropDuplicatesWithinWatermark``: state
-is evicted behind the watermark, and Spark then drops rows that arrive later
-than the watermark (counted in the query progress as dropped by watermark).
-Copies further apart than the watermark pass; silver de-duplicates again.
+``bounded=False`` (default) de-duplicates with no watermark: one state entry
+per id is kept for good and no row is ever dropped (use the RocksDB state
+store for large state). A watermark in front of ``dropDuplicates`` would make
+Spark drop every row older than the watermark in later micro-batches, even
+though the event time is not part of the key; ``tests/test_stream.py``
+measures this. ``bounded=True`` applies the 10-minute watermark with
+``dropDuplicatesWithinWatermark``: state is evicted behind the watermark, rows
+arriving later than it are dropped and counted (``dropped_by_watermark``),
+and copies further apart than the watermark pass (silver de-duplicates
+again).
 
 Output is idempotent: micro-batch N is written to ``<table>/batch_id=N``
 with overwrite, so a batch replayed after a failure replaces its own output.
@@ -47,9 +51,9 @@ def read_event_stream(
     """Files arriving in ``source`` (sub-folders included), read with a fixed
     schema, plus the path of the file each row came from.
 
-    ``archive_dir`` moves each processed file there once its batch is
-    committed (Spark's ``cleanSource``), so a long-running stream does not
-    list an ever-growing drop folder on every trigger.
+    ``archive_dir`` moves processed files there (Spark's ``cleanSource``):
+    a batch's files are moved when a later batch commits, so a long-running
+    stream does not list an ever-growing drop folder on every trigger.
     """
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
@@ -64,11 +68,17 @@ def read_event_stream(
 def dedup_stream(
     events: DataFrame, watermark: str = EVENT_WATERMARK, bounded: bool = False
 ) -> DataFrame:
-    """Stateful de-duplication on event_id; id-less or time-less rows bypass it."""
+    """Stateful de-duplication on event_id; id-less or time-less rows bypass it.
+
+    Lossless by default (no watermark); ``bounded`` trades late rows for
+    bounded state (see the module notes).
+    """
     keyed_cond = F.col("event_id").isNotNull() & F.col("timestamp").isNotNull()
-    keyed = events.where(keyed_cond).withWatermark("timestamp", watermark)
+    keyed = events.where(keyed_cond)
     if bounded:
-        unique = keyed.dropDuplicatesWithinWatermark(["event_id"])
+        unique = keyed.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(
+            ["event_id"]
+        )
     else:
         unique = keyed.dropDuplicates(["event_id"])
     return unique.unionByName(events.where(~keyed_cond))
@@ -152,7 +162,7 @@ def run_ingest_once(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows the stateful operator dropped as later than the watermark, over the
-    progress reports the query still holds (zero unless ``bounded=True``)."""
+    progress reports the query still holds (always zero unless ``bounded``)."""
     total = 0
     for progress in query.recentProgress:
         for op in progress.stateOperators or []:

@@ -84,13 +84,45 @@ def test_archive_processed_files(spark, sf_dir):
     from finlake.streaming.ingest import run_ingest_once
 
     paths = LakePaths(run_dir(spark, "t-archive"))
-    landing.write_jsonl(fixtures.usage_events_raw(spark, sf_dir), paths.landing_stream)
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    landing.write_jsonl(raw.where("metric = 'requests'"), paths.landing_stream + "/drop1")
     archive = paths.root + "/archive"
-    run_ingest_once(spark, paths.landing_stream, paths.bronze_events, paths.quarantine,
-                    paths.stream_checkpoint, archive_dir=archive)
-    run_ingest_once(spark, paths.landing_stream, paths.bronze_events, paths.quarantine,
-                    paths.stream_checkpoint, archive_dir=archive)  # archiving runs after commit
+    args = (paths.landing_stream, paths.bronze_events, paths.quarantine, paths.stream_checkpoint)
+    run_ingest_once(spark, *args, archive_dir=archive)
+    drop1 = glob.glob(paths.landing_stream + "/drop1/*.json")
+    assert drop1
+    # files of a batch are moved once a later batch commits
+    landing.write_jsonl(raw.where("metric <> 'requests'"), paths.landing_stream + "/drop2")
+    run_ingest_once(spark, *args, archive_dir=archive)
+    assert not glob.glob(paths.landing_stream + "/drop1/*.json")
+    assert len(glob.glob(archive + "/**/drop1/*.json", recursive=True)) == len(drop1)
     assert lake.read_bronze_events(spark, paths.bronze_events).count() > 0
-    left = glob.glob(paths.landing_stream + "/*.json")
-    moved = glob.glob(archive + "/**/*.json", recursive=True)
-    assert moved and len(left) < len(moved) + len(left)
+
+
+def test_late_rows_kept_by_default_dropped_and_counted_when_bounded(spark, sf_dir):
+    import datetime as dt
+
+    from finlake.streaming.ingest import dropped_by_watermark, run_ingest_once
+
+    raw = fixtures.usage_events_raw(spark, sf_dir).where(
+        F.col("event_id").isNotNull() & F.col("timestamp").isNotNull())
+    recent = raw.where(F.col("timestamp") >= F.lit(dt.datetime(2024, 1, 20)))
+    late = raw.where(F.col("timestamp") < F.lit(dt.datetime(2024, 1, 5)))  # other ids, much older
+    n_late = late.count()  # rows, replayed copies included
+    n_late_ids = late.select("event_id").distinct().count()
+    counts = {}
+    for bounded in (False, True):
+        paths = LakePaths(run_dir(spark, f"t-late-{bounded}"))
+        landing.write_jsonl(recent, paths.landing_stream + "/drop1")
+        args = (paths.landing_stream, paths.bronze_events, paths.quarantine, paths.stream_checkpoint)
+        run_ingest_once(spark, *args, bounded=bounded)
+        landing.write_jsonl(late, paths.landing_stream + "/drop2")
+        q = run_ingest_once(spark, *args, bounded=bounded)
+        out = lake.read_bronze_events(spark, paths.bronze_events).unionByName(
+            lake.read_bronze_events(spark, paths.quarantine))
+        counts[bounded] = (out.count(), dropped_by_watermark(q))
+    exact_rows, exact_dropped = counts[False]
+    bounded_rows, bounded_dropped = counts[True]
+    assert exact_dropped == 0
+    assert bounded_dropped == n_late  # every late row, copies included, is dropped
+    assert exact_rows - bounded_rows == n_late_ids  # exact mode keeps one row per late id
