@@ -12,6 +12,9 @@ a retried task salts the same way); the dimension rows of a hot key are
 repeated once per bucket; every other key has salt 0. The join then runs on
 (key, salt), each bucket in its own task.
 
+Fact rows with a NULL key can match nothing, so they get a salt spread over
+``NULL_SPREAD`` values instead of all meeting in the task of salt 0.
+
 Bounds: there are at most ``rows / hot_rows`` hot keys, and the repeated
 dimension rows add up to at most ``rows / hot_rows`` plus one per hot key,
 so the broadcast hot-key table and the extra dimension rows stay small
@@ -27,6 +30,10 @@ from pyspark.sql import functions as F
 # partition of narrow rows).
 HOT_ROWS = 1_000_000
 
+# Facts with a NULL key match nothing, whatever their salt; they are spread
+# over this many salts so that a NULL-heavy key does not meet in one task.
+NULL_SPREAD = 1 << 16
+
 _SALT, _BUCKETS = "_salt", "_buckets"
 
 
@@ -53,13 +60,15 @@ def salted_left_join(
     """
     # At most rows/hot_rows entries: a proven bound, so it is broadcast.
     hot = F.broadcast(hot if hot is not None else hot_keys(facts, keys, hot_rows))
-    fact_cols = facts.columns
+    row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
     salted_facts = facts.join(hot, keys, "left").withColumn(
         _SALT,
-        F.when(
-            F.col(_BUCKETS).isNotNull(),
-            F.pmod(F.xxhash64(*[F.col(c) for c in fact_cols]), F.col(_BUCKETS)),
-        ).otherwise(F.lit(0)),
+        F.when(F.col(_BUCKETS).isNotNull(), F.pmod(row_hash, F.col(_BUCKETS)))
+        .when(any_null, F.pmod(row_hash, F.lit(NULL_SPREAD)))
+        .otherwise(F.lit(0)),
     ).drop(_BUCKETS)
     buckets = F.when(
         F.col(_BUCKETS).isNotNull(), F.sequence(F.lit(0), F.col(_BUCKETS) - 1)

@@ -63,3 +63,20 @@ def test_hot_org_rollup_is_partial(spark):
     p = plan_text(daily, "simple")
     assert p.index("partial_sum") > p.index("Exchange hashpartitioning(org_id")
     assert daily.agg(F.sum("event_count")).first()[0] == good.count()
+
+
+def test_null_heavy_key_is_spread_and_whole(spark):
+    sf = "/root/testdata/sf0.01"
+    raw = fixtures.usage_events_raw(spark, sf)
+    nulls = F.when(F.xxhash64("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(
+        F.col("org_id"))
+    facts = raw.withColumn("org_id", nulls).select("event_id", "org_id", "value")
+    orgs = silver.orgs_clean(fixtures.customers_orgs(spark, sf))
+    salted = joins.salted_left_join(facts, orgs, ["org_id"], hot_rows=200)
+    plain = facts.join(orgs, "org_id", "left")
+    key = lambda df: sorted(repr(tuple(r)) for r in df.select(*sorted(df.columns)).collect())
+    assert key(salted) == key(plain)
+    # the NULL-key rows are spread over many (key, salt) groups
+    spread = facts.where("org_id IS NULL").select(
+        F.pmod(F.xxhash64(*facts.columns), F.lit(joins.NULL_SPREAD)).alias("s")).distinct().count()
+    assert spread > 100
