@@ -220,6 +220,7 @@ def update_events(
     new = bronze.where(F.col("batch_id") > F.lit(done))
     top = new.agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
     if top.b is None:
+        _record_touched_days(spark, paths, None)
         return 0
     fresh = silver.usage_events_clean(
         new.drop("batch_id", "date"),
@@ -245,31 +246,71 @@ def update_events(
     daily = silver.daily_usage(written.join(touched, "usage_date", "left_semi"), run_ts)
     lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
 
+    _record_touched_days(spark, paths, merged.select("usage_date").distinct())
     progress = spark.createDataFrame([(int(top.b), run_ts)], PROGRESS_SCHEMA)
     progress.write.mode("overwrite").parquet(paths.silver("_progress"))
     return int(top.n)
 
 
+TOUCHED_SCHEMA = "usage_date date"
+
+
+def _record_touched_days(spark: SparkSession, paths: LakePaths, days: DataFrame | None) -> None:
+    """The usage days the last silver run rewrote (none when it had nothing new).
+
+    At most one row per calendar day; gold and serving refresh only these.
+    """
+    out = days if days is not None else spark.createDataFrame([], TOUCHED_SCHEMA)
+    out.coalesce(1).write.mode("overwrite").parquet(paths.silver("_touched_days"))
+
+
+def touched_days(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
+    """The days rewritten by the last silver run, or None if never recorded."""
+    try:
+        return spark.read.schema(TOUCHED_SCHEMA).parquet(paths.silver("_touched_days"))
+    except AnalysisException:
+        return None
+
+
 # ------------------------------------------------------------------ gold
 
 
-def build_marts(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
-    """The five marts (and GenAI per org) from the silver tables."""
-    daily = spark.read.parquet(paths.silver("daily_usage"))
+DAY_MARTS = (MART_ORG_DAILY_USAGE, MART_GENAI_DAILY, MART_GENAI_DAILY_BY_ORG)
+
+
+def _only_days(df: DataFrame, days: DataFrame | None) -> DataFrame:
+    """Rows of the given days; the day list (one row per day) is broadcast and,
+    ``usage_date`` being a partition column, prunes the scan to those days."""
+    return df if days is None else df.join(F.broadcast(days), "usage_date", "left_semi")
+
+
+def build_marts(
+    spark: SparkSession, paths: LakePaths, incremental: bool = True
+) -> dict[str, str]:
+    """The five marts (and GenAI per org) from the silver tables.
+
+    The marts keyed by day are partitioned by ``usage_date``; with
+    ``incremental`` only the days the last silver run rewrote are recomputed
+    and replaced. The marts built from the batch tables are rebuilt whole (the
+    batch tables are replaced whole at every ingest).
+    """
+    days = touched_days(spark, paths) if incremental else None
+    daily = _only_days(spark.read.parquet(paths.silver("daily_usage")), days)
     bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
     tickets = spark.read.parquet(paths.silver("support_tickets_clean"))
+    by_day, whole = ["usage_date"], None
     out = {
-        MART_ORG_DAILY_USAGE: (marts.org_daily_usage_by_service(daily), ["usage_date"]),
-        MART_REVENUE_MONTH_LABEL: (marts.revenue_by_org_month_label(bill), None),
-        MART_CRITICAL_TICKETS: (marts.critical_tickets_sla_daily(tickets), None),
-        MART_REVENUE_MONTH: (marts.revenue_by_org_month(bill), None),
-        MART_GENAI_DAILY: (marts.genai_tokens_cost_daily(daily), None),
-        MART_GENAI_DAILY_BY_ORG: (marts.genai_tokens_cost_daily_by_org(daily), None),
+        MART_ORG_DAILY_USAGE: (marts.org_daily_usage_by_service(daily), by_day),
+        MART_REVENUE_MONTH_LABEL: (marts.revenue_by_org_month_label(bill), whole),
+        MART_CRITICAL_TICKETS: (marts.critical_tickets_sla_daily(tickets), whole),
+        MART_REVENUE_MONTH: (marts.revenue_by_org_month(bill), whole),
+        MART_GENAI_DAILY: (marts.genai_tokens_cost_daily(daily), by_day),
+        MART_GENAI_DAILY_BY_ORG: (marts.genai_tokens_cost_daily_by_org(daily), by_day),
     }
     run_parallel(
         {
             name: lambda name=name, df=df, part=part: lake.write_table(
-                df, paths.gold(name), part, replace_all=True
+                df, paths.gold(name), part, replace_all=(part is None or days is None)
             )
             for name, (df, part) in out.items()
         }
@@ -280,8 +321,9 @@ def build_marts(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
 # ------------------------------------------------------------------ serving
 
 
-def publish_all(spark: SparkSession, paths: LakePaths) -> list[str]:
-    """Every gold mart as a typed serving table."""
+def publish_all(spark: SparkSession, paths: LakePaths, incremental: bool = True) -> list[str]:
+    """Every gold mart as a typed serving table (day-keyed ones: touched days only)."""
+    days = touched_days(spark, paths) if incremental else None
     names = [
         MART_ORG_DAILY_USAGE,
         MART_REVENUE_MONTH_LABEL,
@@ -290,14 +332,15 @@ def publish_all(spark: SparkSession, paths: LakePaths) -> list[str]:
         MART_GENAI_DAILY,
         MART_GENAI_DAILY_BY_ORG,
     ]
-    run_parallel(
-        {
-            name: lambda name=name: serving.publish(
-                spark.read.parquet(paths.gold(name)), paths.serving, name
-            )
-            for name in names
-        }
-    )
+
+    def one(name: str) -> None:
+        gold = spark.read.parquet(paths.gold(name))
+        if name in DAY_MARTS and days is not None:
+            serving.publish(_only_days(gold, days), paths.serving, name, replace_all=False)
+        else:
+            serving.publish(gold, paths.serving, name)
+
+    run_parallel({name: lambda name=name: one(name) for name in names})
     return names
 
 

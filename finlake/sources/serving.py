@@ -18,6 +18,8 @@ from finlake.sources.lake import write_table
 # Published table -> partition column (lookups filter on it, so it prunes).
 PARTITION_BY: dict[str, list[str]] = {
     "org_daily_usage_by_service": ["usage_date"],
+    "genai_tokens_cost_daily": ["usage_date"],
+    "genai_tokens_cost_daily_by_org": ["usage_date"],
 }
 
 
@@ -31,10 +33,15 @@ def coerce(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def publish(df: DataFrame, serving_root: str, name: str) -> None:
-    """Write one mart as the serving table ``name`` (whole-table replace)."""
+def publish(df: DataFrame, serving_root: str, name: str, replace_all: bool = True) -> None:
+    """Write one mart as the serving table ``name``.
+
+    ``replace_all=False`` replaces only the partitions ``df`` holds (the days
+    a run recomputed); the table must be partitioned for that.
+    """
+    part = PARTITION_BY.get(name)
     out = coerce(df, schemas.SERVING[name])
-    write_table(out, f"{serving_root.rstrip('/')}/{name}", PARTITION_BY.get(name), replace_all=True)
+    write_table(out, f"{serving_root.rstrip('/')}/{name}", part, replace_all=replace_all or not part)
 
 
 def read_published(spark: SparkSession, serving_root: str, name: str) -> DataFrame:
