@@ -227,12 +227,14 @@ def update_events(
         bronze_table(spark, paths, "customers_orgs.csv"),
         bronze_table(spark, paths, "resources.csv"),
     )
+    # The days the new rows fall on: a one-column scan of the new bronze files
+    # (usage_date is the day of the event time), at most one row per day.
+    days = new.select(F.to_date("timestamp").alias("usage_date")).distinct()
     stored = _read_if_exists(spark, paths.silver("usage_events_clean")) if done >= 0 else None
     if stored is None:
         merged = fresh  # nothing stored is read, so nothing to cut from
     else:
-        days = F.broadcast(fresh.select("usage_date").distinct())
-        old = stored.join(days, "usage_date", "left_semi")
+        old = stored.join(F.broadcast(days), "usage_date", "left_semi")
         merged = dedup_by_key(
             old.unionByName(fresh, allowMissingColumns=True),
             ["event_id"],
@@ -242,11 +244,10 @@ def update_events(
     lake.write_table(merged, paths.silver("usage_events_clean"), ["usage_date"])
 
     written = spark.read.parquet(paths.silver("usage_events_clean"))
-    touched = F.broadcast(merged.select("usage_date").distinct())
-    daily = silver.daily_usage(written.join(touched, "usage_date", "left_semi"), run_ts)
+    daily = silver.daily_usage(written.join(F.broadcast(days), "usage_date", "left_semi"), run_ts)
     lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
 
-    _record_touched_days(spark, paths, merged.select("usage_date").distinct())
+    _record_touched_days(spark, paths, days)
     progress = spark.createDataFrame([(int(top.b), run_ts)], PROGRESS_SCHEMA)
     progress.write.mode("overwrite").parquet(paths.silver("_progress"))
     return int(top.n)
