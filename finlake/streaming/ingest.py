@@ -37,6 +37,7 @@ from pyspark.sql.types import StructType
 from finlake import schemas
 from finlake.functions.constants import EVENT_WATERMARK, INGEST_DATE_FORMAT
 from finlake.operators.quality import split, with_quality_flags
+from finlake.plans.parallel import run_parallel
 
 
 def read_event_stream(
@@ -98,13 +99,19 @@ def write_split_batch(batch: DataFrame, batch_id: int, good_path: str, quarantin
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = split(batch)
-        for df, root in ((good, good_path), (bad, quarantine_path)):
+
+        def write(df: DataFrame, root: str) -> None:
             (
                 df.write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
                 .partitionBy("date")
                 .parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
             )
+
+        # Two folders, one persisted input: both writes run side by side.
+        run_parallel(
+            {"good": lambda: write(good, good_path), "quarantine": lambda: write(bad, quarantine_path)}
+        )
     finally:
         batch.unpersist()
 
