@@ -123,9 +123,13 @@ def ingest_batch(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) ->
     return list(tables)
 
 
+STREAM_MARK_SCHEMA = "last_batch_id long"
+
+
 def ingest_events(spark: SparkSession, paths: LakePaths, bounded: bool = False) -> None:
-    """Process the event files present now (the checkpoint remembers them)."""
-    ingest.run_ingest_once(
+    """Process the event files present now (the checkpoint remembers them), and
+    record the last micro-batch id, so silver can read just the new folders."""
+    q = ingest.run_ingest_once(
         spark,
         paths.landing_stream,
         paths.bronze_events,
@@ -133,6 +137,44 @@ def ingest_events(spark: SparkSession, paths: LakePaths, bounded: bool = False)
         paths.stream_checkpoint,
         bounded=bounded,
     )
+    ids = [p.batchId for p in q.recentProgress if p.batchId is not None]
+    if ids:
+        mark = spark.createDataFrame([(int(max(ids)),)], STREAM_MARK_SCHEMA)
+        mark.coalesce(1).write.mode("overwrite").parquet(paths.bronze_events + "_mark")
+
+
+def _last_stream_batch(spark: SparkSession, paths: LakePaths) -> int | None:
+    try:
+        row = spark.read.schema(STREAM_MARK_SCHEMA).parquet(paths.bronze_events + "_mark").first()
+    except AnalysisException:
+        return None
+    return None if row is None else row.last_batch_id
+
+
+def new_bronze_events(spark: SparkSession, paths: LakePaths, done: int) -> DataFrame:
+    """Bronze good events of the micro-batches after ``done``.
+
+    A path read lists every file under it before partition pruning, so reading
+    the whole table would cost more with every batch ever written. When the
+    stream's last batch id is recorded, only the folders ``batch_id=done+1 ..
+    last`` are named (a brace glob, with ``basePath`` keeping the partition
+    columns): one directory level is listed, plus the new folders.
+    """
+    last = _last_stream_batch(spark, paths)
+    root = paths.bronze_events
+    if last is None:
+        return lake.read_bronze_events(spark, root).where(F.col("batch_id") > F.lit(done))
+    if last <= done:
+        return spark.createDataFrame([], lake.BRONZE_EVENT)
+    ids = ",".join(str(i) for i in range(done + 1, last + 1))
+    try:
+        return (
+            spark.read.schema(lake.BRONZE_EVENT)
+            .option("basePath", root)
+            .parquet(f"{root}/batch_id={{{ids}}}")
+        )
+    except AnalysisException:  # the batches wrote no folder
+        return spark.createDataFrame([], lake.BRONZE_EVENT)
 
 
 # ------------------------------------------------------------------ silver
@@ -216,8 +258,7 @@ def update_events(
     new bronze rows.
     """
     done = _last_batch(spark, paths) if incremental else -1
-    bronze = lake.read_bronze_events(spark, paths.bronze_events)
-    new = bronze.where(F.col("batch_id") > F.lit(done))
+    new = new_bronze_events(spark, paths, done)
     top = new.agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
     if top.b is None:
         _record_touched_days(spark, paths, None)
