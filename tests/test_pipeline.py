@@ -117,3 +117,18 @@ def test_incremental_gold_and_serving_equal_full_build(spark, sf_dir):
         want = serving.coerce(exp, serving.schemas.SERVING[name])
         want = want.drop("last_updated") if "last_updated" in want.columns else want
         assert _rows(pub) == _rows(want), name
+
+
+def test_silver_reads_only_new_batch_folders(spark, sf_dir):
+    from finlake.plans import pipeline as P
+    from finlake.sources import landing
+
+    paths = LakePaths(run_dir(spark, "t-folders"))
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    landing.write_jsonl(raw.where("metric = 'requests'"), paths.landing_stream + "/drop1")
+    P.ingest_events(spark, paths)
+    landing.write_jsonl(raw.where("metric <> 'requests'"), paths.landing_stream + "/drop2")
+    P.ingest_events(spark, paths)
+    files = P.new_bronze_events(spark, paths, done=0).inputFiles()
+    assert files and all("/batch_id=1/" in f for f in files)
+    assert P.new_bronze_events(spark, paths, done=1).count() == 0
