@@ -230,13 +230,6 @@ def _last_batch(spark: SparkSession, paths: LakePaths) -> int:
     return -1 if row is None or row.last_batch_id is None else int(row.last_batch_id)
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # the table does not exist yet
-        return None
-
-
 def update_events(
     spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, incremental: bool = True
 ) -> int:
@@ -269,13 +262,15 @@ def update_events(
         bronze_table(spark, paths, "resources.csv"),
     )
     # The days the new rows fall on: a one-column scan of the new bronze files
-    # (usage_date is the day of the event time), at most one row per day.
+    # (usage_date is the day of the event time); at most one per calendar day,
+    # so the list is small enough to hold on the driver.
     days = new.select(F.to_date("timestamp").alias("usage_date")).distinct()
-    stored = _read_if_exists(spark, paths.silver("usage_events_clean")) if done >= 0 else None
-    if stored is None:
+    day_list = sorted(r.usage_date for r in days.collect() if r.usage_date is not None)
+    events_path = paths.silver("usage_events_clean")
+    old = lake.read_partitions(spark, events_path, "usage_date", day_list) if done >= 0 else None
+    if old is None:
         merged = fresh  # nothing stored is read, so nothing to cut from
     else:
-        old = stored.join(F.broadcast(days), "usage_date", "left_semi")
         merged = dedup_by_key(
             old.unionByName(fresh, allowMissingColumns=True),
             ["event_id"],
@@ -284,9 +279,10 @@ def update_events(
         ).checkpoint()  # reliable, in spark.checkpoint.dir
     lake.write_table(merged, paths.silver("usage_events_clean"), ["usage_date"])
 
-    written = spark.read.parquet(paths.silver("usage_events_clean"))
-    daily = silver.daily_usage(written.join(F.broadcast(days), "usage_date", "left_semi"), run_ts)
-    lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
+    written = lake.read_partitions(spark, events_path, "usage_date", day_list)
+    if written is not None:
+        daily = silver.daily_usage(written, run_ts)
+        lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
 
     _record_touched_days(spark, paths, days)
     progress = spark.createDataFrame([(int(top.b), run_ts)], PROGRESS_SCHEMA)
@@ -320,10 +316,19 @@ def touched_days(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
 DAY_MARTS = (MART_ORG_DAILY_USAGE, MART_GENAI_DAILY, MART_GENAI_DAILY_BY_ORG)
 
 
-def _only_days(df: DataFrame, days: DataFrame | None) -> DataFrame:
-    """Rows of the given days; the day list (one row per day) is broadcast and,
-    ``usage_date`` being a partition column, prunes the scan to those days."""
-    return df if days is None else df.join(F.broadcast(days), "usage_date", "left_semi")
+def _day_list(days: DataFrame | None) -> list | None:
+    """The touched days on the driver (at most one per calendar day)."""
+    if days is None:
+        return None
+    return sorted(r.usage_date for r in days.collect() if r.usage_date is not None)
+
+
+def _read_days(spark: SparkSession, path: str, days: list | None) -> DataFrame | None:
+    """A day-partitioned table: whole when ``days`` is None, else only those days
+    (naming their folders), else None when none of them exists."""
+    if days is None:
+        return spark.read.parquet(path)
+    return lake.read_partitions(spark, path, "usage_date", days)
 
 
 def build_marts(
@@ -336,19 +341,20 @@ def build_marts(
     and replaced. The marts built from the batch tables are rebuilt whole (the
     batch tables are replaced whole at every ingest).
     """
-    days = touched_days(spark, paths) if incremental else None
-    daily = _only_days(spark.read.parquet(paths.silver("daily_usage")), days)
+    days = _day_list(touched_days(spark, paths)) if incremental else None
+    daily = _read_days(spark, paths.silver("daily_usage"), days)
     bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
     tickets = spark.read.parquet(paths.silver("support_tickets_clean"))
     by_day, whole = ["usage_date"], None
     out = {
-        MART_ORG_DAILY_USAGE: (marts.org_daily_usage_by_service(daily), by_day),
         MART_REVENUE_MONTH_LABEL: (marts.revenue_by_org_month_label(bill), whole),
         MART_CRITICAL_TICKETS: (marts.critical_tickets_sla_daily(tickets), whole),
         MART_REVENUE_MONTH: (marts.revenue_by_org_month(bill), whole),
-        MART_GENAI_DAILY: (marts.genai_tokens_cost_daily(daily), by_day),
-        MART_GENAI_DAILY_BY_ORG: (marts.genai_tokens_cost_daily_by_org(daily), by_day),
     }
+    if daily is not None:  # None: no day was touched since the last run
+        out[MART_ORG_DAILY_USAGE] = (marts.org_daily_usage_by_service(daily), by_day)
+        out[MART_GENAI_DAILY] = (marts.genai_tokens_cost_daily(daily), by_day)
+        out[MART_GENAI_DAILY_BY_ORG] = (marts.genai_tokens_cost_daily_by_org(daily), by_day)
     run_parallel(
         {
             name: lambda name=name, df=df, part=part: lake.write_table(
@@ -365,7 +371,7 @@ def build_marts(
 
 def publish_all(spark: SparkSession, paths: LakePaths, incremental: bool = True) -> list[str]:
     """Every gold mart as a typed serving table (day-keyed ones: touched days only)."""
-    days = touched_days(spark, paths) if incremental else None
+    days = _day_list(touched_days(spark, paths)) if incremental else None
     names = [
         MART_ORG_DAILY_USAGE,
         MART_REVENUE_MONTH_LABEL,
@@ -376,11 +382,12 @@ def publish_all(spark: SparkSession, paths: LakePaths, incremental: bool = True)
     ]
 
     def one(name: str) -> None:
-        gold = spark.read.parquet(paths.gold(name))
         if name in DAY_MARTS and days is not None:
-            serving.publish(_only_days(gold, days), paths.serving, name, replace_all=False)
+            gold = _read_days(spark, paths.gold(name), days)
+            if gold is not None:
+                serving.publish(gold, paths.serving, name, replace_all=False)
         else:
-            serving.publish(gold, paths.serving, name)
+            serving.publish(spark.read.parquet(paths.gold(name)), paths.serving, name)
 
     run_parallel({name: lambda name=name: one(name) for name in names})
     return names

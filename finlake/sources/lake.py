@@ -10,6 +10,7 @@ tasks in parallel and a quiet day does not produce a swarm of tiny files.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -46,6 +47,28 @@ def write_table(
     w.parquet(path)
 
 
+def read_partitions(
+    spark: SparkSession, root: str, column: str, values: list, max_named: int = 2000
+) -> DataFrame | None:
+    """The given partitions of a table, or None if none of them exists.
+
+    A path read lists every file under the path before pruning. Naming the
+    folders in a brace glob (``basePath`` keeps the partition column) lists
+    one directory level plus the named folders, so an incremental run costs
+    what it touches, not the table's whole history. For more than
+    ``max_named`` values the root is read with a filter instead.
+    """
+    if not values:
+        return None
+    try:
+        if len(values) > max_named:
+            return spark.read.parquet(root).where(F.col(column).isin(list(values)))
+        names = ",".join(str(v) for v in values)
+        return spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/{column}={{{names}}}")
+    except AnalysisException:  # none of the folders exists (yet)
+        return None
+
+
 def write_source_partition(df: DataFrame, root: str, file_name: str) -> None:
     """One table into its own ``source_file=<name>`` folder of a shared area.
 

@@ -61,3 +61,19 @@ def test_discovery_on_empty_landing(spark):
     root = run_dir(spark, "t-empty")
     spark.range(3).write.json(root + "/usage_events_stream")  # only stream files
     assert landing.discover_batch_files(spark, root) == []
+
+
+def test_read_partitions_names_only_those_folders(spark):
+    from finlake.sources import lake
+
+    root = run_dir(spark, "t-parts") + "/t"
+    df = spark.range(50).selectExpr("id", "date_add(date'2024-01-01', cast(id % 5 as int)) AS usage_date")
+    lake.write_table(df, root, ["usage_date"])
+    two = lake.read_partitions(spark, root, "usage_date", [dt.date(2024, 1, 2), dt.date(2024, 1, 4),
+                                                           dt.date(2030, 1, 1)])
+    assert {r.usage_date for r in two.select("usage_date").distinct().collect()} == {
+        dt.date(2024, 1, 2), dt.date(2024, 1, 4)}
+    assert all("usage_date=2024-01-02" in f or "usage_date=2024-01-04" in f for f in two.inputFiles())
+    assert two.count() == 20
+    assert lake.read_partitions(spark, root, "usage_date", [dt.date(2030, 1, 1)]) is None
+    assert lake.read_partitions(spark, root, "usage_date", []) is None
