@@ -24,6 +24,8 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # reliable checkpoints (incremental silver) are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
