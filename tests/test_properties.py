@@ -71,3 +71,22 @@ def test_split_matches_python(spark, events):
     exp_good, exp_bad = _expected(events)
     assert got_good == exp_good
     assert got_bad == exp_bad
+
+
+fact = st.tuples(
+    st.one_of(st.none(), st.sampled_from(["a", "b", "c", "z"])),  # "z" is not in the dimension
+    st.integers(0, 3),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.lists(fact, min_size=0, max_size=40), st.integers(1, 6))
+def test_salted_join_equals_plain_join(spark, facts, hot_rows):
+    from finlake.operators.joins import salted_left_join
+
+    f = spark.createDataFrame(facts, "k string, v int")
+    d = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 3.0)], "k string, w double")
+    salted = salted_left_join(f, d, ["k"], hot_rows=hot_rows)
+    plain = f.join(d, "k", "left")
+    key = lambda df: sorted(repr(tuple(r)) for r in df.select("k", "v", "w").collect())
+    assert key(salted) == key(plain)
