@@ -16,8 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The driver's tables are read-only, so each is loaded once per session (the
+# DataFrame object, not its data): later queries reuse its file listing and
+# schema instead of listing and reading footers again.
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _with_copies(df: DataFrame, second_copy: Column) -> DataFrame:
