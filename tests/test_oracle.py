@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from finlake.plans import registry
 from finlake.plans.verify import compare, duckdb_connection
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = registry.oracle_sql()
+QUERIES = registry.queries()
 
 
 def test_every_query_has_sql():
