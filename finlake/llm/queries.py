@@ -6,10 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finlake.llm import op3_token_counts, op4_packing, op8_quality_classifier, op9_quality_rules
+from finlake.llm import (
+    op2_exact_dedup,
+    op3_token_counts,
+    op4_packing,
+    op6_chunk_dedup,
+    op7_mixing,
+    op8_quality_classifier,
+    op9_quality_rules,
+    op10_url_filter,
+)
 from finlake.llm.common import table
 
 
+def op2_exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_token_counts.token_counts(table(spark, sf_dir, "documents"))
 
@@ -18,6 +31,14 @@ def op4_packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_chunk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_chunk_dedup.chunk_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_mixing.mix_rows(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return op8_quality_classifier.quality_scores(docs, labels)
@@ -28,14 +49,26 @@ def op9_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *op9_quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op10_url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_url_filter.filter_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_exact_dedup": op2_exact_query,
         "op3_token_counts": op3_token_counts_query,
         "op4_best_fit_packing": op4_packing_query,
+        "op6_chunk_dedup": op6_chunk_query,
+        "op7_mixing": op7_mixing_query,
         "op8_quality_classifier": op8_quality_query,
         "op9_quality_rules": op9_rules_query,
+        "op10_url_filter": op10_url_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality_rules": op9_quality_rules.SQL}
+    return {
+        "op2_exact_dedup": op2_exact_dedup.SQL,
+        "op9_quality_rules": op9_quality_rules.SQL,
+        "op10_url_filter": op10_url_filter.SQL,
+    }
