@@ -10,6 +10,7 @@ from finlake.llm import (
     op2_exact_dedup,
     op3_token_counts,
     op4_packing,
+    op5_ngram_join,
     op6_chunk_dedup,
     op7_mixing,
     op8_quality_classifier,
@@ -31,6 +32,10 @@ def op4_packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_ngram_join.near_groups(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op6_chunk_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_chunk_dedup.chunk_dedup(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": op2_exact_query,
         "op3_token_counts": op3_token_counts_query,
         "op4_best_fit_packing": op4_packing_query,
+        "op5_ngram_jaccard": op5_ngram_query,
         "op6_chunk_dedup": op6_chunk_query,
         "op7_mixing": op7_mixing_query,
         "op8_quality_classifier": op8_quality_query,
