@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from finlake.llm import (
+    op1_suffix_dedup,
     op2_exact_dedup,
     op3_token_counts,
     op4_packing,
@@ -20,6 +21,10 @@ from finlake.llm import (
 from finlake.llm.common import table
 
 
+def op1_suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ def op10_url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_query,
         "op2_exact_dedup": op2_exact_query,
         "op3_token_counts": op3_token_counts_query,
         "op4_best_fit_packing": op4_packing_query,
@@ -74,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_suffix_dedup": op1_suffix_query,
         "op2_exact_dedup": op2_exact_dedup.SQL,
         "op9_quality_rules": op9_quality_rules.SQL,
         "op10_url_filter": op10_url_filter.SQL,
