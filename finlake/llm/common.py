@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from finlake.session import run_dir
 
@@ -32,7 +33,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def by_batch(
-    df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
 

@@ -130,19 +130,21 @@ def curve(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def text_scores(model: dict, batch: pa.RecordBatch) -> np.ndarray:
+    texts = [t or "" for t in batch.column("text").to_pylist()]
+    if "constant" in model:
+        return np.full(len(texts), model["constant"])
+    return curve(model, features(texts, compressor(model["good"]), compressor(model["bad"])))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted (1 if the score reaches ``threshold``)."""
     model = train(docs, labels)
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batch: pa.RecordBatch):
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        if "constant" in model:
-            score = np.full(len(texts), model["constant"])
-        else:
-            x = features(texts, compressor(model["good"]), compressor(model["bad"]))
-            score = curve(model, x)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
+        score = pa.array(text_scores(model, batch))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score], ["doc_id", "score"])
 
     scored = by_batch(docs.select("doc_id", "text"), work, f"doc_id {key}, score double")
     return scored.select(
@@ -151,3 +153,13 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``."""
+    model = train(docs, labels)
+
+    def work(batch: pa.RecordBatch):
+        yield batch.filter(pa.array(text_scores(model, batch) >= threshold))
+
+    return by_batch(docs, work, docs.schema)
