@@ -48,3 +48,9 @@ def by_batch(
 def text_bytes() -> F.Column:
     """The text as UTF-8 bytes, NULL as empty."""
     return F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+
+
+def packed(docs: DataFrame, **more: F.Column) -> DataFrame:
+    """Whole rows as one column ``row``, with further columns: no names can clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, *[c.alias(name) for name, c in more.items()])

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from finlake.llm.common import SPACE
+from finlake.llm.common import SPACE, packed
 
 TRIE_BYTES = 32 << 20
 #: Memory of a node beside its label.
@@ -230,22 +230,21 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, one for each text."""
-    found = owners(docs).select(
-        F.col("text_sha256").alias("_sha"), F.col("keep_id").alias("_id"), F.col("keep_chars").alias("_chars"),
-        F.col("ties").alias("_ties"),
-    )
-    rows = docs.withColumn("_own", F.sha2(normal_text(), 256))
-    stays = (
-        (F.col("_own") == F.col("_sha"))
-        & F.col("doc_id").eqNullSafe(F.col("_id"))
-        & (F.coalesce(F.length("text"), F.lit(0)) == F.col("_chars"))
+    rows = packed(
+        docs,
+        sha=F.sha2(normal_text(), 256),
+        doc_id=F.col("doc_id"),
+        chars=F.coalesce(F.length("text"), F.lit(0)),
+    )
+    kept = rows.join(
+        owners(docs),
+        (F.col("sha") == F.col("text_sha256"))
+        & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+        & (F.col("chars") == F.col("keep_chars")),
     )
-    kept = rows.join(found, stays)
-    plain = [F.col(f"`{c}`") for c in docs.columns]
     # only rows that repeat an id with its text need another look
-    once = kept.where(F.col("_ties") == 1).select(*plain)
-    again = kept.where(F.col("_ties") > 1).dropDuplicates(["_sha"]).select(*plain)
-    return once.unionByName(again)
+    again = kept.where("ties > 1").dropDuplicates(["sha"])
+    return kept.where("ties = 1").select("row.*").unionByName(again.select("row.*"))
 
 
 SQL = r"""

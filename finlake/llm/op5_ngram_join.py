@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import by_batch, partitions, stored, text_bytes
+from finlake.llm.common import WORD, by_batch, packed, partitions, stored, text_bytes
 from finlake.llm.components import components
 
 #: Upper over lower end of a band of set sizes.
@@ -411,16 +411,17 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
     grouped = met.select(F.coalesce("root", "set").alias("root"), place.alias("place"))
     ties = grouped.groupBy("root", "place").agg(F.count(F.lit(1)).alias("ties"))
     best = ties.groupBy("root").agg(F.min(F.struct("place", "ties")).alias("best"))
-    stays = best.select(
-        F.col("best.place.doc_id").alias("_id"), F.col("best.place.same").alias("_own"),
-        F.col("best.ties").alias("_ties"), F.col("root").alias("_root"),
-    )
-    plain = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.withColumn("_same", F.xxhash64(text_bytes()))
-    wordless = F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    kept = marked.where(~wordless).join(
-        stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_same") == F.col("_own"))
+    stays = best.select("root", F.col("best.place.doc_id").alias("id"), F.col("best.place.same").alias("own"), "best.ties")
+    marked = packed(
+        docs,
+        doc_id=F.col("doc_id"),
+        same=F.xxhash64(text_bytes()),
+        worded=F.coalesce(F.col("text").rlike(WORD), F.lit(False)),
+    )
+    kept = marked.where("worded").join(
+        stays, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("own"))
     )
-    once = kept.where(F.col("_ties") == 1).select(*plain)
-    again = kept.where(F.col("_ties") > 1).dropDuplicates(["_root"]).select(*plain)
-    return once.unionByName(again).unionByName(marked.where(wordless).select(*plain))
+    again = kept.where("ties > 1").dropDuplicates(["root"])
+    parts = kept.where("ties = 1"), again, marked.where("not worded")
+    once, repeated, wordless = (part.select("row.*") for part in parts)
+    return once.unionByName(repeated).unionByName(wordless)

@@ -31,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import WORD, stored
+from finlake.llm.common import WORD, packed, stored
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -185,13 +185,12 @@ def mix_rows(docs: DataFrame) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select("doc_id", "source", words().alias("words"), row.alias("row"))
-    units = rows.groupBy("doc_id", "source", "words", "row").agg(F.count(F.lit(1)).alias("times"))
-    mixed = mix(units.withColumn("size", F.col("words") * F.col("times")), ["doc_id", "row", "words", "times"])
-    chosen = mixed.where(F.col("copies") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
-    )
-    chosen = chosen.select("_id", "_row")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
-    return docs.withColumn("_hash", row).join(chosen, same).select(*[F.col(f"`{c}`") for c in docs.columns])
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select("doc_id", "source", words().alias("words"), hashed.alias("hash"))
+    units = rows.groupBy("doc_id", "source", "words", "hash").agg(F.count(F.lit(1)).alias("times"))
+    mixed = mix(units.withColumn("size", F.col("words") * F.col("times")), ["doc_id", "hash", "words", "times"])
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    chosen = mixed.where("copies > 0").select(F.col("doc_id").alias("id"), F.col("hash").alias("own"), each.alias("copy"))
+    marked = packed(docs, doc_id=F.col("doc_id"), hash=hashed)
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("own"))
+    return marked.join(chosen, same).select("row.*")
