@@ -350,3 +350,30 @@ def suffix_dedup(docs: DataFrame, size: int = 400, many: int = MANY, keep_bytes:
 
     schema = f"doc_id {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return by_batch(rows, work, schema + ", kept binary" * keep_bytes)
+
+
+SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+),
+windows AS (
+  SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS m
+  FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d WHERE length(h) >= 800)
+),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS c FROM windows) WHERE c > 1),
+marks AS (
+  SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new FROM twice
+),
+runs AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM marks),
+spans AS (SELECT r, min(i) AS lo, max(i) + 400 AS hi FROM runs GROUP BY r, g),
+gone AS (
+  SELECT r, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS head, max(hi) AS last,
+         count(*) AS n_spans, sum(hi - lo) AS n_removed
+  FROM (SELECT r, lo, hi, h, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS before FROM spans JOIN d USING (r))
+  GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
+"""

@@ -425,3 +425,31 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
     parts = kept.where("ties = 1"), again, marked.where("not worded")
     once, repeated, wordless = (part.select("row.*") for part in parts)
     return once.unionByName(repeated).unionByName(wordless)
+
+
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+grams AS (
+  SELECT DISTINCT r, array_to_string(list_slice(words, i, i + 2), ' ') AS g
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 2, 1) + 1)) AS i FROM d WHERE len(words) > 0)
+),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM grams a JOIN grams b USING (g) WHERE a.r < b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes s ON s.r = x JOIN sizes t ON t.r = y WHERE 100 * c >= 90 * (s.n + t.n - c)
+),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT r AS node, r AS origin FROM d
+  UNION
+  SELECT y, origin FROM reach JOIN both_ways ON x = node
+),
+low AS (SELECT origin, min(doc_id) AS component_id FROM reach JOIN d ON d.r = node GROUP BY origin)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d JOIN low ON origin = d.r LEFT JOIN sizes USING (r)
+"""

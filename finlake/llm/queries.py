@@ -80,8 +80,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_suffix_dedup": op1_suffix_query,
+        "op1_suffix_dedup": op1_suffix_dedup.SQL,
         "op2_exact_dedup": op2_exact_dedup.SQL,
+        "op5_ngram_jaccard": op5_ngram_join.SQL,
         "op9_quality_rules": op9_quality_rules.SQL,
         "op10_url_filter": op10_url_filter.SQL,
     }

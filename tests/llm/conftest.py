@@ -1,38 +1,6 @@
 import pytest
-from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-SCHEMA = StructType(
-    [
-        StructField("doc_id", LongType()),
-        StructField("text", StringType()),
-        StructField("lang", StringType()),
-        StructField("source", StringType()),
-        StructField("n_chars", LongType()),
-    ]
-)
-
-LONG = " ".join(f"w{i * 7919 % 30011}" for i in range(20_000))
-P = "the quick brown fox jumps over the lazy dog while seven wizards mix a strange green potion near the old mill "
-
-#: NULLs in every column, empty and very long texts, ties and repeated rows.
-ODD_ROWS = [
-    (1, None, "en", "a", 0),
-    (2, "", None, "a", None),
-    (3, " \t\n ", "en", None, 3),
-    (4, "one two three", "en", "b", 13),
-    (4, "one two three", "en", "b", 13),
-    (5, "one  two three ", "en", "b", 15),
-    (6, "One two\x0bthree", "en", "c", 13),
-    (None, "one two three", None, None, None),
-    (None, P * 3, "en", "c", 300),
-    (7, P * 3, "en", "c", 300),
-    (8, P * 3 + "!", "en", "d", 301),
-    (9, LONG, "en", "d", len(LONG)),
-    (10, LONG + " end", "en", "a", len(LONG) + 4),
-    (11, "é à ü ñ ß 日本語 🙂 é " * 40, "fr", "a", 900),
-    (12, "spam $$$ ### " * 60, "en", "d", 780),
-    (13, "x" * 5000, "en", "d", 5000),
-]
+
+from llm.brute import ODD_ROWS, SCHEMA
 
 
 @pytest.fixture(scope="session")
@@ -57,7 +25,3 @@ def clashing(odd):
 @pytest.fixture(scope="session")
 def docs(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=str)

@@ -14,9 +14,8 @@ from finlake.llm import op9_quality_rules as rules
 from finlake.llm import op10_url_filter as urls
 from finlake.llm import queries
 from finlake.plans.verify import compare, duckdb_connection
-from tests.conftest import plan_text
-from tests.llm import brute
-from tests.llm.conftest import ODD_ROWS, rows
+from llm import brute
+from llm.brute import ODD_ROWS, rows
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -104,8 +103,10 @@ def test_mix_odd_rows(odd, none, clashing):
     assert {k for k in worded(times)} <= {k for k in texts.items()} or worded(times)
 
 
-def test_mix_is_native(docs):
-    assert "Python" not in plan_text(mixing.mix_rows(docs)) and "Arrow" not in plan_text(mixing.mix_rows(docs))
+def test_mix_is_native(docs, capsys):
+    mixing.mix_rows(docs).explain()
+    plan = capsys.readouterr().out
+    assert "Scan parquet" in plan and "Python" not in plan and "Arrow" not in plan
 
 
 # --- quality --------------------------------------------------------------------

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from finlake.llm import op3_token_counts as counts
 from finlake.llm import op4_packing as packing
 from finlake.llm.tokens import PrefixCounts, TokenIds, default_path
-from tests.llm.conftest import ODD_ROWS, rows
+from llm.brute import ODD_ROWS, rows
 
 TEXTS = [
     "it's 're x'llama don't've", "Ünïcödé éle é à", "İstanbul ΣΑΣ", "<|endoftext|>x <|startoftext|>", "日本語テキスト",
