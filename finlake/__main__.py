@@ -36,7 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--root", required=True, help="lake root on shared storage")
     p.add_argument("--sf-dir", help="folder of the test tables to derive landing files from")
     p.add_argument("--master", help="Spark master (default: from the environment)")
-    p.add_argument("--full", action="store_true", help="rebuild every day, not only new ones")
+    p.add_argument("--full", action="store_true", help="rebuild and replace every table after bronze whole")
     p.add_argument("--org")
     p.add_argument("--services", help="comma-separated")
     p.add_argument("--start")
@@ -45,7 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--month", type=int)
     p.add_argument("--as-of")
     p.add_argument("--n", type=int, default=5)
-    p.add_argument("--rows", type=int, default=50, help="rows to print for a lookup")
+    p.add_argument("--rows", type=int, help="print at most so many rows of a lookup (default: all)")
     return p
 
 
@@ -73,7 +73,10 @@ def _lookup(spark, paths, args) -> None:
         df = lookups.top_services(table(MART_ORG_DAILY_USAGE), as_of, args.n, org=args.org)
     else:
         raise SystemExit("lookup needs a kind: costs-daily, top-months, sla, monthly-revenue, genai, top-services")
-    df.show(args.rows, truncate=False)
+    rows = df if args.rows is None else df.limit(args.rows)
+    print("\t".join(df.columns))
+    for row in rows.toLocalIterator():  # a partition at a time
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -102,7 +105,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.stage == "publish":
         P.publish_all(spark, paths, incremental=incremental)
     elif args.stage == "all":
-        P.run_all(spark, paths, run_ts, sf_dir=args.sf_dir)
+        P.run_all(spark, paths, run_ts, sf_dir=args.sf_dir, full_refresh=args.full)
     else:
         _lookup(spark, paths, args)
     return 0

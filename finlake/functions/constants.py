@@ -42,8 +42,10 @@ TOP_SERVICES_DAYS: int = 14
 
 # Decimal type used to add money and usage measures exactly (ours, not the
 # original's: it summed doubles, whose last digits depend on the order rows
-# arrive in, so totals changed with the partitioning).
-EXACT_SUM_TYPE: str = "decimal(18,6)"
+# arrive in, so totals changed with the partitioning). 18 digits after the
+# point hold every digit of a per-request cost and of a product of money and
+# rate; a value or total of 1e20 or more fails the job (ANSI overflow), it is never cut.
+EXACT_SUM_TYPE: str = "decimal(38,18)"
 
 # --- Fixed values: names of the published gold tables -----------------------
 MART_ORG_DAILY_USAGE = "org_daily_usage_by_service"

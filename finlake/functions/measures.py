@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from finlake.functions.constants import (
     EXACT_SUM_TYPE,
@@ -17,15 +18,31 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c: str | Column) -> Column:
-    """Sum as an exact decimal, returned as double.
+def exact_total(c: str | Column) -> Column:
+    """Sum as an exact decimal.
 
     A double sum depends on the order rows arrive in, so it can change with
     the number of partitions or a task retry. Adding decimals is exact and
     associative, so the total is the same on any cluster layout. NULLs are
     skipped; the total is NULL only when every input is.
     """
-    return F.sum(_c(c).cast(EXACT_SUM_TYPE)).cast("double")
+    return F.sum(_c(c).cast(EXACT_SUM_TYPE))
+
+
+def exact_sum(c: str | Column) -> Column:
+    """``exact_total`` as double, for results that are not added any further."""
+    return exact_total(c).cast("double")
+
+
+def exact_avg(c: str | Column) -> Column:
+    """Mean of the known values: the exact sum over their number."""
+    return exact_sum(c) / F.count(_c(c))
+
+
+def as_double(df: DataFrame) -> DataFrame:
+    """Decimal columns as doubles: the types that marts and lookups show."""
+    exact = {f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)}
+    return df.select(*[F.col(c).cast("double").alias(c) if c in exact else c for c in df.columns])
 
 
 def metric_columns(metric: str = "metric", value: str = "value") -> dict[str, Column]:

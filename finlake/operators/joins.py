@@ -15,10 +15,11 @@ repeated once per bucket; every other key has salt 0. The join then runs on
 Fact rows with a NULL key can match nothing, so they get a salt spread over
 ``NULL_SPREAD`` values instead of all meeting in the task of salt 0.
 
-Bounds: there are at most ``rows / hot_rows`` hot keys, and the repeated
-dimension rows add up to at most ``rows / hot_rows`` plus one per hot key,
-so the broadcast hot-key table and the extra dimension rows stay small
-relative to the facts. No row is dropped or capped.
+Bounds: a key is hot only if it also has more than one in ``MOST_HOT_KEYS`` of
+all rows, so there are fewer than ``MOST_HOT_KEYS`` hot keys however large the
+facts are; that proven bound (a few megabytes) is what allows their table to be
+broadcast. The repeated dimension rows add up to at most ``rows / hot_rows`` plus
+one per hot key. No row is dropped or capped.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ from pyspark.sql import functions as F
 # partition of narrow rows).
 HOT_ROWS = 1_000_000
 
+# Hot keys there can be at most: what bounds the broadcast.
+MOST_HOT_KEYS = 100_000
+
 # Facts with a NULL key match nothing, whatever their salt; they are spread
 # over this many salts so that a NULL-heavy key does not meet in one task.
 NULL_SPREAD = 1 << 16
@@ -40,8 +44,11 @@ _SALT, _BUCKETS = "_salt", "_buckets"
 def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, and the number of buckets each needs."""
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > hot_rows).select(
-        *keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias(_BUCKETS)
+    total = counts.agg(F.sum("_n").alias("_all"))  # one row
+    least = F.greatest(F.lit(hot_rows), F.col("_all") / F.lit(MOST_HOT_KEYS))
+    large = counts.where(F.col("_n") > hot_rows).crossJoin(F.broadcast(total))
+    return large.where(F.col("_n") > least).select(
+        *keys, F.ceil(F.col("_n") / least).cast("int").alias(_BUCKETS)
     )
 
 
@@ -58,7 +65,7 @@ def salted_left_join(
     the facts with the same rows (for example before another left join on a
     unique key), so the facts are not evaluated once more just to count them.
     """
-    # At most rows/hot_rows entries: a proven bound, so it is broadcast.
+    # Fewer than MOST_HOT_KEYS entries: a proven bound, so it is broadcast.
     hot = F.broadcast(hot if hot is not None else hot_keys(facts, keys, hot_rows))
     row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
     any_null = F.lit(False)

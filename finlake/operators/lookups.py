@@ -70,7 +70,7 @@ def lookup_sla_evolution(
 def lookup_monthly_revenue(
     revenue_month: DataFrame, org: str | None = None, year: int | None = None, month: int | None = None
 ) -> DataFrame:
-    """Revenue of an organisation for one month (or every month of a year)."""
+    """Revenue of an organisation for one month, every month of a year, or one month of every year."""
     conds = []
     if org is not None:
         conds.append(F.col("org_id") == F.lit(org))
@@ -78,6 +78,8 @@ def lookup_monthly_revenue(
         conds.append(F.col("month") == F.lit(dt.date(year, month, 1)))
     elif year is not None:
         conds += _between("month", dt.date(year, 1, 1), dt.date(year, 12, 31))
+    elif month is not None:
+        conds.append(F.month("month") == F.lit(month))
     return revenue_month.where(_and(conds)).orderBy("month", "org_id")
 
 

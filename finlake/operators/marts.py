@@ -12,28 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions.constants import CRITICAL_SEVERITY, GENAI_SERVICE, MONTH_LABEL_FORMAT
-from finlake.functions.measures import exact_sum
+from finlake.functions.measures import as_double, exact_avg, exact_sum
+from finlake.schemas import SERVING
 
 METRIC_TOTALS = ["total_requests", "total_cpu_hours", "total_storage_gb_hours"]
 
-ORG_DAILY_USAGE_COLUMNS = [
-    "org_id",
-    "service",
-    "usage_date",
-    "daily_cost_usd",
-    "total_requests",
-    "total_cpu_hours",
-    "total_storage_gb_hours",
-    "total_genai_tokens",
-    "total_carbon_kg",
-    "last_updated",
-]
+# The published columns.
+ORG_DAILY_USAGE_COLUMNS = SERVING["org_daily_usage_by_service"].fieldNames()
 
 
 def org_daily_usage_by_service(daily: DataFrame) -> DataFrame:
-    """Daily usage rows whose three metric totals are all known."""
+    """Daily usage rows whose three metric totals are all known (totals as doubles)."""
     cols = [c for c in ORG_DAILY_USAGE_COLUMNS if c in daily.columns]
-    return daily.select(*cols).dropna(subset=METRIC_TOTALS)
+    return as_double(daily.select(*cols)).dropna(subset=METRIC_TOTALS)
 
 
 def _revenue_measures() -> list:
@@ -41,7 +32,7 @@ def _revenue_measures() -> list:
         exact_sum("subtotal_usd").alias("revenue_usd"),
         exact_sum(F.coalesce(F.col("credits_usd"), F.lit(0.0))).alias("credits_usd"),
         exact_sum("taxes_usd").alias("tax_usd"),
-        F.avg("exchange_rate_to_usd").alias("fx_applied"),
+        exact_avg("exchange_rate_to_usd").alias("fx_applied"),
     ]
 
 

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.functions.measures import carbon_kept, exact_sum, genai_tokens_kept, metric_columns
+from finlake.functions.measures import carbon_kept, exact_total, genai_tokens_kept, metric_columns
 from finlake.operators.dedup import dedup_by_key, distinct_rows
 from finlake.operators.joins import HOT_ROWS, hot_keys, salted_left_join
 
@@ -50,7 +50,9 @@ def tickets_clean(tickets: DataFrame) -> DataFrame:
         .where(F.col("ticket_id").isNotNull())
         .withColumn("created_at", as_date)
     )
-    return dedup_by_key(t, ["ticket_id"], keep_null_keys=False)
+    # of several copies, a resolved one tells more than an open one
+    t = t.withColumn("_open", F.col("resolved_at").isNull())
+    return dedup_by_key(t, ["ticket_id"], order_by=["_open"], keep_null_keys=False).drop("_open")
 
 
 def orgs_clean(orgs: DataFrame) -> DataFrame:
@@ -95,42 +97,49 @@ def derive_event_columns(events: DataFrame) -> DataFrame:
     )
 
 
-def usage_events_base(good_events: DataFrame) -> DataFrame:
+def usage_events_base(good_events: DataFrame, unique: bool = False) -> DataFrame:
     """Good events, one per id, with derived columns (no dimension columns).
 
     Good events always have an id (the first rule), so no NULL-key branch.
     Enough for every rollup: none needs an organisation or resource column.
+    ``unique`` says that every id is there once already (the batch split
+    de-duplicates), which saves a shuffle of whole rows.
     """
-    unique = dedup_by_key(good_events, ["event_id"], order_by=["timestamp"], keep_null_keys=False)
-    return derive_event_columns(unique)
+    derived = derive_event_columns(good_events)
+    if unique:
+        return derived
+    return dedup_by_key(derived, ["event_id"], order_by=["timestamp"], keep_null_keys=False)
 
 
 def usage_events_clean(
-    good_events: DataFrame, orgs: DataFrame, resources: DataFrame, hot_rows: int = HOT_ROWS
+    good_events: DataFrame,
+    orgs: DataFrame,
+    resources: DataFrame,
+    hot_rows: int = HOT_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """Good events, one per id, with derived columns, enriched by both dimensions.
 
     De-duplication runs before the joins (fewer rows to join, and a duplicate
     dimension row cannot multiply events); the dimensions are cleaned here.
     """
-    return enrich_events(
-        usage_events_base(good_events), orgs_clean(orgs), resources_clean(resources), hot_rows
-    )
+    base = usage_events_base(good_events, unique)
+    return enrich_events(base, orgs_clean(orgs), resources_clean(resources), hot_rows)
 
 
 def daily_usage(events_clean: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
-    """Usage per (org, service, day): exact sums of cost and measures, row count.
+    """Usage per (org, service, day): exact decimal sums of cost and measures, row count.
 
     ``last_updated`` is added only when a run time is given, so the rollup
     itself is deterministic.
     """
     out = events_clean.groupBy(*USAGE_KEY).agg(
-        exact_sum("cost_usd_increment").alias("daily_cost_usd"),
-        exact_sum("requests").alias("total_requests"),
-        exact_sum("cpu_hours").alias("total_cpu_hours"),
-        exact_sum("storage_gb_hours").alias("total_storage_gb_hours"),
+        exact_total("cost_usd_increment").alias("daily_cost_usd"),
+        exact_total("requests").alias("total_requests"),
+        exact_total("cpu_hours").alias("total_cpu_hours"),
+        exact_total("storage_gb_hours").alias("total_storage_gb_hours"),
         F.sum("genai_tokens").alias("total_genai_tokens"),
-        exact_sum("carbon_kg").alias("total_carbon_kg"),
+        exact_total("carbon_kg").alias("total_carbon_kg"),
         F.count(F.lit(1)).alias("event_count"),
     )
     if run_ts is not None:

@@ -14,17 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions import rules
+from finlake.operators import lookups, silver
 from finlake.plans import catalog as C
 from finlake.plans.pipeline import (
     LakePaths,
+    build_marts,
+    build_silver,
+    ingest_all,
     ingest_batch,
+    publish_all,
     run_all,
     stage_batch_landing,
     stage_event_landing,
 )
 from finlake.plans.pipeline import ingest_events as run_event_ingest
 from finlake.session import run_dir
-from finlake.sources import landing, lake, serving
+from finlake.sources import fixtures, landing, lake, serving
+from finlake.streaming import ingest
 
 RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
 
@@ -94,11 +100,167 @@ def q_serve_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("last_updated")
 
 
+def q_silver_written(name: str):
+    """A batch table through landing, bronze and silver, read back as stored."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = _paths(spark, "silver")
+        file_name, clean, table = {
+            "billing": ("billing_monthly.csv", silver.billing_usd, "billing_monthly_clean"),
+            "tickets": ("support_tickets.csv", silver.tickets_clean, "support_tickets_clean"),
+        }[name]
+        builder = fixtures.BUILDERS[file_name.removesuffix(".csv")]
+        landing.write_csv_table(builder(spark, sf_dir), paths.landing, file_name)
+        ingest_batch(spark, paths, RUN_TS)
+        bronze = lake.read_source_partition(spark, paths.bronze_batch, file_name)
+        lake.write_table(clean(bronze), paths.silver(table))
+        return spark.read.parquet(paths.silver(table))
+
+    return run
+
+
+def q_stream_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both stream outputs whose stamps hold: the ingest day is that of the
+    ingest time, the file is one of the drop folder."""
+    paths = _streamed(spark, sf_dir)
+    good = lake.read_bronze_events(spark, paths.bronze_events)
+    rows = good.unionByName(lake.read_bronze_events(spark, paths.quarantine))
+    drop = paths.landing_stream.rsplit("/", 1)[-1]
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("date") == F.date_format("ingest_ts", "yyyyMMdd")).alias("n_day_matches"),
+        F.count_if(F.col("source_file").rlike(f"/{drop}/[^/]+[.]json$")).alias("n_file_matches"),
+    )
+
+
+LATE_BEFORE = dt.datetime(2024, 1, 10)
+
+
+def q_stream_bounded_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded state: the events from ``LATE_BEFORE`` on arrive first, the earlier ones
+    with the next files; the watermark has passed these, so only rows that
+    do not go through it (no id, or no time) are kept of them."""
+    paths = _paths(spark, "bounded")
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    late = F.coalesce(F.col("timestamp") < F.lit(LATE_BEFORE), F.lit(False))
+    landing.write_jsonl(raw.where(~late), paths.landing_stream + "/first")
+    run_event_ingest(spark, paths, bounded=True)
+    landing.write_jsonl(raw.where(late), paths.landing_stream + "/second")
+    run_event_ingest(spark, paths, bounded=True)
+    good = lake.read_bronze_events(spark, paths.bronze_events)
+    rows = good.unionByName(lake.read_bronze_events(spark, paths.quarantine))
+    return rows.select(*C.EVENT_COLUMNS, *C.FLAG_COLUMNS)
+
+
+def q_lake_incremental_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published usage mart after drops that reach silver by different ways: a run
+    of everything, a drop taken by a plainly started stream, silver run twice
+    before gold, and a drop after which gold is left out once."""
+    paths = _paths(spark, "increments")
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    day = F.dayofmonth("timestamp")
+    stage_batch_landing(spark, sf_dir, paths)
+    landing.write_jsonl(raw.where(F.coalesce(day <= 10, F.lit(True))), paths.landing_stream + "/first")
+    run_all(spark, paths, RUN_TS)
+    landing.write_jsonl(raw.where(day.between(11, 20)), paths.landing_stream + "/second")
+    stream = (paths.landing_stream, paths.bronze_events, paths.quarantine, paths.stream_checkpoint)
+    ingest.start_ingest(spark, *stream).awaitTermination()
+    build_silver(spark, paths, RUN_TS)
+    build_silver(spark, paths, RUN_TS)
+    landing.write_jsonl(raw.where(day > 20), paths.landing_stream + "/third")
+    run_event_ingest(spark, paths)
+    build_silver(spark, paths, RUN_TS)
+    build_marts(spark, paths)
+    publish_all(spark, paths)
+    return serving.read_published(spark, paths.serving, "org_daily_usage_by_service").drop("last_updated")
+
+
+def q_lake_replay_and_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver events after replays that carry a later day, and an organisation table in
+    which some names changed: one row per id, with the names as they are now."""
+    paths = _paths(spark, "replays")
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    stage_batch_landing(spark, sf_dir, paths)
+    landing.write_jsonl(raw, paths.landing_stream + "/first")
+    ingest_all(spark, paths, RUN_TS, bounded=True)
+    build_silver(spark, paths, RUN_TS)
+    replay = raw.where("CAST(event_id AS BIGINT) % 7 = 0").withColumn(
+        "timestamp", F.col("timestamp") + F.expr("interval 40 days")
+    )
+    landing.write_jsonl(replay, paths.landing_stream + "/second")
+    orgs = fixtures.customers_orgs(spark, sf_dir)
+    renamed = F.when(F.col("org_id").cast("long") % 10 == 3, F.concat("org_name", F.lit(" Ltd")))
+    orgs = orgs.withColumn("org_name", F.coalesce(renamed, F.col("org_name")))
+    landing.write_csv_table(orgs, paths.landing, "customers_orgs.csv")
+    ingest_all(spark, paths, RUN_TS, bounded=True)
+    build_silver(spark, paths, RUN_TS)
+    clean = spark.read.parquet(paths.silver("usage_events_clean"))
+    return clean.select("event_id", "timestamp", "usage_date", "org_id", "org_name", "quota")
+
+
+def _published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A mart written as its serving table and read back as a reader does."""
+    root = run_dir(spark, "serving")
+    frames = C.mart_frames(spark, sf_dir)
+    serving.publish(frames[name], root, name)
+    return serving.read_published(spark, root, name)
+
+
+def q_published(name: str):
+    return lambda spark, sf_dir: _published(spark, sf_dir, name)
+
+
+def q_published_costs_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _published(spark, sf_dir, "org_daily_usage_by_service").drop("last_updated")
+    return lookups.lookup_costs_daily(table, C.LOOKUP_ORG, C.LOOKUP_SERVICES, C.LOOKUP_START, C.LOOKUP_END)
+
+
+def q_published_top_revenue_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _published(spark, sf_dir, "services_by_cum_cost_by_org")
+    return lookups.lookup_top_revenue_months(table, C.LOOKUP_ORG, C.TOP_N_MONTHS)
+
+
+def q_published_sla_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _published(spark, sf_dir, "critical_tickets_evolution_sla_rate_daily")
+    return lookups.lookup_sla_evolution(table, C.SLA_START, C.SLA_END)
+
+
+def q_published_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of every year: a month without a year is a filter, too."""
+    table = _published(spark, sf_dir, "revenue_by_org_month_usd")
+    return lookups.lookup_monthly_revenue(table, C.LOOKUP_ORG, None, C.MONTHLY_MONTH)
+
+
+def q_published_genai_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _published(spark, sf_dir, "genai_tokens_cost_daily_by_org")
+    return lookups.lookup_genai_tokens(table, C.LOOKUP_ORG, C.LOOKUP_START, C.LOOKUP_END)
+
+
+PUBLISHED = (
+    "services_by_cum_cost_by_org",
+    "critical_tickets_evolution_sla_rate_daily",
+    "revenue_by_org_month_usd",
+    "genai_tokens_cost_daily",
+    "genai_tokens_cost_daily_by_org",
+)
+
 JOB_QUERIES = {
     "stream_events_good": q_stream_events_good,
     "stream_events_quarantine": q_stream_events_quarantine,
     "stream_rerun_idempotent": q_stream_rerun_idempotent,
+    "stream_stamps": q_stream_stamps,
+    "stream_bounded_late": q_stream_bounded_late,
     "src_csv_roundtrip": q_src_csv_roundtrip,
     "src_partition_scan": q_src_partition_scan,
+    "silver_billing_written": q_silver_written("billing"),
+    "silver_tickets_written": q_silver_written("tickets"),
+    "lake_incremental_marts": q_lake_incremental_marts,
+    "lake_replay_and_rename": q_lake_replay_and_rename,
     "serve_publish_roundtrip": q_serve_publish_roundtrip,
+    **{f"published_{name}": q_published(name) for name in PUBLISHED},
+    "published_lookup_costs_daily": q_published_costs_daily,
+    "published_lookup_top_revenue_months": q_published_top_revenue_months,
+    "published_lookup_sla_evolution": q_published_sla_evolution,
+    "published_lookup_monthly_revenue": q_published_monthly_revenue,
+    "published_lookup_genai_tokens": q_published_genai_tokens,
 }

@@ -24,10 +24,10 @@ r AS (SELECT CASE WHEN eid % 97 = 5 THEN NULL ELSE CAST(eid AS STRING) END AS ev
        service,
        concat('region-', CAST(CASE WHEN k % 7 = 0 THEN (user_id + 1) % 5 ELSE user_id % 5 END AS STRING)) AS region,
        metric,
-       CASE WHEN k IN (20, 18) AND eid % 2 = 0 THEN NULL ELSE v END AS value,
+       CASE WHEN k IN (20, 18) AND eid % 2 = 0 THEN NULL WHEN eid % 4999 = 11 THEN v * 1e12 ELSE v END AS value,
        CASE WHEN k = 18 THEN NULL WHEN k = 17 THEN 'bad' WHEN metric = 'requests' THEN 'count'
             WHEN metric = 'cpu_hours' THEN 'hours' WHEN metric = 'storage_gb_hours' THEN 'gb_hours' ELSE 'unit' END AS unit,
-       round(v * 0.05, 4) AS cost_usd_increment,
+       round(v * 0.05, 4) + CAST(eid % 100 AS DOUBLE) / 1e8 AS cost_usd_increment,
        CAST(schema_version AS INT) AS schema_version,
        round(v * 0.001, 6) AS carbon_kg,
        CAST(CASE WHEN k <> 33 THEN k * 10 END AS INT) AS genai_tokens, eid
@@ -37,6 +37,13 @@ SELECT event_id, timestamp, org_id, resource_id, service, region, metric, value,
 UNION ALL
 SELECT event_id, timestamp, org_id, resource_id, service, region, metric, value, unit,
        cost_usd_increment, schema_version, carbon_kg, genai_tokens FROM r WHERE eid % 50 = 0
+""",
+    "usage_events_replayed": """
+SELECT * FROM usage_events_raw
+UNION ALL
+SELECT event_id, timestamp + INTERVAL 1 DAY, org_id, resource_id, service, region, metric, value, unit,
+       cost_usd_increment + 1, schema_version, carbon_kg, genai_tokens
+FROM usage_events_raw WHERE CAST(event_id AS BIGINT) % 70 = 0
 """,
     "customers_orgs": """
 WITH c AS (SELECT CAST(c_custkey AS STRING) AS org_id,
@@ -45,18 +52,22 @@ WITH c AS (SELECT CAST(c_custkey AS STRING) AS org_id,
            FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT org_id, org_name, industry, hq_country FROM c
 UNION ALL
-SELECT org_id, org_name, industry, hq_country FROM c WHERE c_custkey % 100 = 0
+SELECT org_id, org_name, concat('~', industry), hq_country FROM c WHERE c_custkey % 100 = 0
 """,
     "resources": """
 WITH s AS (SELECT 'networking' AS service UNION ALL SELECT 'storage'
            UNION ALL SELECT 'genai' UNION ALL SELECT 'database'),
-c AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0)
-SELECT CASE WHEN c_custkey % 29 = 11 THEN NULL
+c AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0),
+o AS (
+SELECT c_custkey, CASE WHEN c_custkey % 29 = 11 THEN NULL
             ELSE concat('res-', CAST(c_custkey AS STRING), '-', s.service) END AS resource_id,
        CAST(c_custkey AS STRING) AS org_id,
        concat('region-', CAST(c_custkey % 5 AS STRING)) AS region,
        s.service AS service, c_acctbal AS quota
-FROM c JOIN s ON TRUE
+FROM c JOIN s ON TRUE)
+SELECT resource_id, org_id, region, service, quota FROM o
+UNION ALL
+SELECT resource_id, org_id, region, service, quota + 1 FROM o WHERE c_custkey % 50 = 0
 """,
     "billing_monthly": """
 WITH t AS (SELECT l_orderkey,
@@ -67,8 +78,7 @@ o AS (SELECT CAST(o_orderkey AS STRING) AS invoice_id, CAST(o_custkey AS STRING)
              CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
              o_totalprice AS subtotal,
              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE credits END AS credits, taxes,
-             CASE o_custkey % 3 WHEN 0 THEN CAST(1.0 AS DOUBLE) WHEN 1 THEN CAST(1.25 AS DOUBLE)
-                  ELSE CAST(0.5 AS DOUBLE) END AS exchange_rate_to_usd, o_orderkey
+             CAST(0.5 AS DOUBLE) + CAST(o_custkey % 7919 AS DOUBLE) / CAST(10000 AS DOUBLE) AS exchange_rate_to_usd, o_orderkey
       FROM orders LEFT JOIN t ON o_orderkey = l_orderkey)
 SELECT invoice_id, org_id, month, subtotal, credits, taxes, exchange_rate_to_usd FROM o
 UNION ALL
@@ -86,7 +96,7 @@ o AS (SELECT CASE WHEN o_orderkey % 89 = 3 THEN NULL ELSE CAST(o_orderkey AS STR
       FROM orders LEFT JOIN s ON o_orderkey = l_orderkey)
 SELECT ticket_id, org_id, severity, created_at, resolved_at, sla_breached FROM o
 UNION ALL
-SELECT ticket_id, org_id, severity, created_at, resolved_at, sla_breached FROM o
+SELECT ticket_id, org_id, severity, created_at, NULL, NOT sla_breached FROM o
 WHERE o_orderkey % 60 = 0
 """,
 }

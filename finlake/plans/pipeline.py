@@ -2,8 +2,8 @@
 
 Each stage reads what the previous stage wrote, so a stage can be re-run on
 its own, and every write is idempotent (dynamic partition overwrite, or
-overwrite of a whole derived table). A full refresh is a run into a new lake
-root; nothing is deleted in place.
+overwrite of a whole derived table). A full refresh replaces every table after
+bronze whole.
 
 All paths are under one root, which on a cluster is shared storage (for the
 tests, a folder under ``spark.checkpoint.dir``).
@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from finlake.functions.constants import (
     MART_CRITICAL_TICKETS,
@@ -123,56 +125,57 @@ def ingest_batch(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) ->
     return list(tables)
 
 
-STREAM_MARK_SCHEMA = "last_batch_id long"
+MARK_SCHEMA = "last_batch_id long"
 
 
-def ingest_events(spark: SparkSession, paths: LakePaths, bounded: bool = False) -> None:
-    """Process the event files present now (the checkpoint remembers them), and
-    record the last micro-batch id, so silver can read just the new folders."""
-    q = ingest.run_ingest_once(
+def ingest_events(
+    spark: SparkSession,
+    paths: LakePaths,
+    bounded: bool = False,
+    max_files_per_trigger: int = ingest.FILES_PER_TRIGGER,
+) -> StreamingQuery:
+    """Process the event files present now (the checkpoint remembers them)."""
+    return ingest.run_ingest_once(
         spark,
         paths.landing_stream,
         paths.bronze_events,
         paths.quarantine,
         paths.stream_checkpoint,
         bounded=bounded,
+        max_files_per_trigger=max_files_per_trigger,
     )
-    ids = [p.batchId for p in q.recentProgress if p.batchId is not None]
-    if ids:
-        mark = spark.createDataFrame([(int(max(ids)),)], STREAM_MARK_SCHEMA)
-        mark.coalesce(1).write.mode("overwrite").parquet(paths.bronze_events + "_mark")
 
 
-def _last_stream_batch(spark: SparkSession, paths: LakePaths) -> int | None:
+def _row(spark: SparkSession, path: str, schema: str) -> Row | None:
+    """The one row of a small state table, or None before it is first written."""
     try:
-        row = spark.read.schema(STREAM_MARK_SCHEMA).parquet(paths.bronze_events + "_mark").first()
+        return spark.read.schema(schema).parquet(path).first()
     except AnalysisException:
         return None
-    return None if row is None else row.last_batch_id
+
+
+def _put_row(spark: SparkSession, path: str, schema: str, *values) -> None:
+    spark.createDataFrame([values], schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def new_bronze_events(spark: SparkSession, paths: LakePaths, done: int) -> DataFrame:
     """Bronze good events of the micro-batches after ``done``.
 
-    A path read lists every file under it before partition pruning, so reading
-    the whole table would cost more with every batch ever written. When the
-    stream's last batch id is recorded, only the folders ``batch_id=done+1 ..
-    last`` are named (a brace glob, with ``basePath`` keeping the partition
-    columns): one directory level is listed, plus the new folders.
+    The stream itself records its last complete micro-batch (whichever way it
+    was started), so the batches to read are a range of ids. A path read lists
+    every file under it before partition pruning; the range is therefore named
+    by a few glob patterns (``lake.range_globs``), and only its folders are listed.
     """
-    last = _last_stream_batch(spark, paths)
     root = paths.bronze_events
-    if last is None:
+    mark = _row(spark, ingest.mark_path(root), MARK_SCHEMA)
+    if mark is None or done < 0:
         return lake.read_bronze_events(spark, root).where(F.col("batch_id") > F.lit(done))
-    if last <= done:
+    globs = ",".join(lake.range_globs(done + 1, mark.last_batch_id))
+    if not globs:
         return spark.createDataFrame([], lake.BRONZE_EVENT)
-    ids = ",".join(str(i) for i in range(done + 1, last + 1))
     try:
-        return (
-            spark.read.schema(lake.BRONZE_EVENT)
-            .option("basePath", root)
-            .parquet(f"{root}/batch_id={{{ids}}}")
-        )
+        reader = spark.read.schema(lake.BRONZE_EVENT).option("basePath", root)
+        return reader.parquet(f"{root}/batch_id={{{globs}}}")
     except AnalysisException:  # the batches wrote no folder
         return spark.createDataFrame([], lake.BRONZE_EVENT)
 
@@ -190,9 +193,9 @@ def build_silver(
     """Billing, tickets, clean events (by usage day) and the daily rollup.
 
     Events: with ``incremental`` only the stream's micro-batches not processed
-    yet are read, and only the usage days they touch are rewritten
+    yet are read, and only the usage days they concern are rewritten
     (``update_events``); otherwise every day is rebuilt from all of bronze.
-    The rollup always reads the events just written, so both tables agree on
+    The rollup is built from the events just written, so both tables agree on
     which copy of an event survived. Independent tables are written side by
     side.
     """
@@ -218,96 +221,104 @@ def build_silver(
     run_parallel({"billing": billing, "tickets": tickets, "events": events, **copies})
 
 
-PROGRESS_SCHEMA = "last_batch_id long, run_ts timestamp"
+PROGRESS_SCHEMA = "last_batch_id long, run_no long, run_ts timestamp"
+TOUCHED_SCHEMA = "usage_date date, run_no long"
+RUN_SCHEMA = "run_no long"
+BY_DAY = ["usage_date"]
 
 
-def _last_batch(spark: SparkSession, paths: LakePaths) -> int:
-    """The last micro-batch already in silver (-1 before the first run)."""
-    try:
-        row = spark.read.schema(PROGRESS_SCHEMA).parquet(paths.silver("_progress")).first()
-    except AnalysisException:  # no progress written yet
-        return -1
-    return -1 if row is None or row.last_batch_id is None else int(row.last_batch_id)
+def _dimensions(spark: SparkSession, paths: LakePaths) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The cleaned dimensions and their keys."""
+    orgs = silver.orgs_clean(bronze_table(spark, paths, "customers_orgs.csv"))
+    resources = silver.resources_clean(bronze_table(spark, paths, "resources.csv"))
+    return {"orgs": (orgs, ["org_id"]), "resources": (resources, silver.RESOURCE_KEY)}
+
+
+def _changed_keys(spark: SparkSession, paths: LakePaths, name: str, dim: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys whose dimension row is not the one that the stored events were enriched with."""
+    before = spark.read.parquet(paths.silver(f"_dimension_{name}")).select(*dim.columns)
+    return dim.exceptAll(before).unionByName(before.exceptAll(dim)).select(*keys).distinct()
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """Written beside the tables and read back: the tables it was read from can be overwritten."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def update_events(
     spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, incremental: bool = True
 ) -> int:
-    """Bring silver events and the daily rollup up to date with bronze.
-
-    1. Read the micro-batches after the recorded one (``batch_id`` is a
-       partition column, so older batches are not even listed).
-    2. Clean and enrich them; find the usage days they touch (one row per
-       calendar day, so the day list is small and is broadcast).
-    3. Merge them with the silver rows already stored for those days (the
-       days are partitions of silver, so only they are read), de-duplicate,
-       and cut the lineage with ``checkpoint()`` in the shared checkpoint
-       folder, since the same partitions are about to be overwritten.
-    4. Overwrite those days of the events, then of the rollup, and only then
-       record the batch: a run that fails midway is simply redone.
-
-    With the stream's default (exact) de-duplication an id is in bronze only
-    once, so this equals a rebuild from all of bronze. Returns the number of
-    new bronze rows.
+    """Bring silver events and the daily rollup up to date with bronze and the dimensions.
+
+    1. Read the micro-batches after the recorded one.
+    2. Find the usage days to rewrite: those of the new rows, those that hold
+       another copy of a new id (a replay can carry another time), and those
+       with events whose organisation or resource row changed.
+    3. Merge the days' stored events with the new ones, one row per id, and
+       enrich them again. The result is staged under the lake root, since its
+       inputs are about to be overwritten.
+    4. Replace those days of the events, then of the rollup; append the days to
+       the list that gold and serving consume, each with its own mark; and only then record the
+       batch. A run that fails midway is simply redone.
+
+    A full build (``incremental=False``, or the first one) replaces both tables
+    whole. Either way the result equals a rebuild from all of bronze. Returns
+    the number of new bronze rows.
     """
-    done = _last_batch(spark, paths) if incremental else -1
-    new = new_bronze_events(spark, paths, done)
+    progress = _row(spark, paths.silver("_progress"), PROGRESS_SCHEMA)
+    full = not incremental or progress is None
+    new = new_bronze_events(spark, paths, -1 if full else progress.last_batch_id)
     top = new.agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    if top.b is None:
-        _record_touched_days(spark, paths, None)
+    if full and top.b is None:
         return 0
-    fresh = silver.usage_events_clean(
-        new.drop("batch_id", "date"),
-        bronze_table(spark, paths, "customers_orgs.csv"),
-        bronze_table(spark, paths, "resources.csv"),
-    )
-    # The days the new rows fall on: a one-column scan of the new bronze files
-    # (usage_date is the day of the event time); at most one per calendar day,
-    # so the list is small enough to hold on the driver.
-    days = new.select(F.to_date("timestamp").alias("usage_date")).distinct()
-    day_list = sorted(r.usage_date for r in days.collect() if r.usage_date is not None)
-    events_path = paths.silver("usage_events_clean")
-    old = lake.read_partitions(spark, events_path, "usage_date", day_list) if done >= 0 else None
-    if old is None:
-        merged = fresh  # nothing stored is read, so nothing to cut from
+    dims = _dimensions(spark, paths)
+    base = silver.usage_events_base(new.drop("batch_id", "date"))
+    events_path, daily_path = paths.silver("usage_events_clean"), paths.silver("daily_usage")
+    run_no = 1 if progress is None else progress.run_no + 1
+
+    def enriched(events: DataFrame) -> DataFrame:
+        return silver.enrich_events(events, dims["orgs"][0], dims["resources"][0])
+
+    if full:
+        lake.write_table(enriched(base), events_path, BY_DAY, replace_all=True)
+        daily = silver.daily_usage(spark.read.parquet(events_path), run_ts)
+        lake.write_table(daily, daily_path, BY_DAY, replace_all=True)
+        touched = spark.createDataFrame([(None,)], "usage_date date")  # NULL: every day
     else:
-        merged = dedup_by_key(
-            old.unionByName(fresh, allowMissingColumns=True),
-            ["event_id"],
-            order_by=["timestamp"],
-            keep_null_keys=False,
-        ).checkpoint()  # reliable, in spark.checkpoint.dir
-    lake.write_table(merged, paths.silver("usage_events_clean"), ["usage_date"])
-
-    written = lake.read_partitions(spark, events_path, "usage_date", day_list)
-    if written is not None:
-        daily = silver.daily_usage(written, run_ts)
-        lake.write_table(daily, paths.silver("daily_usage"), ["usage_date"])
-
-    _record_touched_days(spark, paths, days)
-    progress = spark.createDataFrame([(int(top.b), run_ts)], PROGRESS_SCHEMA)
-    progress.write.mode("overwrite").parquet(paths.silver("_progress"))
+        stored = spark.read.parquet(events_path)
+        found = [base.select("usage_date"), stored.join(base.select("event_id"), "event_id", "left_semi").select("usage_date")]
+        for name, (dim, keys) in dims.items():
+            changed = _changed_keys(spark, paths, name, dim, keys)
+            found.append(stored.join(changed, keys, "left_semi").select("usage_date"))
+        touched = _staged(reduce(DataFrame.unionByName, found).distinct(), paths.silver("_staging_days"))
+        if touched.isEmpty():
+            return 0
+        old = stored.join(touched, "usage_date", "left_semi").select(*base.columns)
+        merged = dedup_by_key(old.unionByName(base), ["event_id"], order_by=["timestamp"], keep_null_keys=False)
+        days = _staged(enriched(merged), paths.silver("_staging_events"))
+        lake.replace_days(days, events_path, touched)
+        lake.replace_days(silver.daily_usage(days, run_ts), daily_path, touched)
+
+    for name, (dim, _) in dims.items():
+        _staged(dim, paths.silver(f"_dimension_{name}"))
+    touched.coalesce(1).write.mode("overwrite").parquet(paths.silver("_touched") + f"/run_no={run_no}")
+    last = top.b if top.b is not None else progress.last_batch_id
+    _put_row(spark, paths.silver("_progress"), PROGRESS_SCHEMA, int(last), run_no, run_ts)
     return int(top.n)
 
 
-TOUCHED_SCHEMA = "usage_date date"
-
-
-def _record_touched_days(spark: SparkSession, paths: LakePaths, days: DataFrame | None) -> None:
-    """The usage days the last silver run rewrote (none when it had nothing new).
-
-    At most one row per calendar day; gold and serving refresh only these.
-    """
-    out = days if days is not None else spark.createDataFrame([], TOUCHED_SCHEMA)
-    out.coalesce(1).write.mode("overwrite").parquet(paths.silver("_touched_days"))
+def touched_between(spark: SparkSession, paths: LakePaths, after: int, upto: int) -> DataFrame | None:
+    """The days that the silver runs ``after`` (exclusive) to ``upto`` rewrote; None: every day."""
+    runs = spark.read.schema(TOUCHED_SCHEMA).parquet(paths.silver("_touched"))
+    days = runs.where(F.col("run_no").between(after + 1, upto)).select("usage_date").distinct()
+    return None if days.where(F.col("usage_date").isNull()).count() else days
 
 
 def touched_days(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
-    """The days rewritten by the last silver run, or None if never recorded."""
-    try:
-        return spark.read.schema(TOUCHED_SCHEMA).parquet(paths.silver("_touched_days"))
-    except AnalysisException:
-        return None
+    """The days that the last silver run with new data rewrote; None: every day."""
+    run = _row(spark, paths.silver("_progress"), PROGRESS_SCHEMA).run_no
+    return touched_between(spark, paths, run - 1, run)
 
 
 # ------------------------------------------------------------------ gold
@@ -316,19 +327,14 @@ def touched_days(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
 DAY_MARTS = (MART_ORG_DAILY_USAGE, MART_GENAI_DAILY, MART_GENAI_DAILY_BY_ORG)
 
 
-def _day_list(days: DataFrame | None) -> list | None:
-    """The touched days on the driver (at most one per calendar day)."""
-    if days is None:
-        return None
-    return sorted(r.usage_date for r in days.collect() if r.usage_date is not None)
-
-
-def _read_days(spark: SparkSession, path: str, days: list | None) -> DataFrame | None:
-    """A day-partitioned table: whole when ``days`` is None, else only those days
-    (naming their folders), else None when none of them exists."""
-    if days is None:
-        return spark.read.parquet(path)
-    return lake.read_partitions(spark, path, "usage_date", days)
+def _days_to_do(spark: SparkSession, paths: LakePaths, mark: str, upto: int, incremental: bool) -> tuple[bool, DataFrame | None]:
+    """Whether anything is to be done since the mark, and the days (None: every day)."""
+    seen = _row(spark, mark, RUN_SCHEMA) if incremental else None
+    if seen is None:
+        return True, None
+    if seen.run_no >= upto:
+        return False, None
+    return True, touched_between(spark, paths, seen.run_no, upto)
 
 
 def build_marts(
@@ -337,68 +343,68 @@ def build_marts(
     """The five marts (and GenAI per org) from the silver tables.
 
     The marts keyed by day are partitioned by ``usage_date``; with
-    ``incremental`` only the days the last silver run rewrote are recomputed
-    and replaced. The marts built from the batch tables are rebuilt whole (the
-    batch tables are replaced whole at every ingest).
+    ``incremental`` the days of all silver runs since gold's own mark are
+    recomputed and replaced, and the mark is advanced last. The marts built
+    from the batch tables are rebuilt whole (the batch tables are replaced whole
+    at every ingest).
     """
-    days = _day_list(touched_days(spark, paths)) if incremental else None
-    daily = _read_days(spark, paths.silver("daily_usage"), days)
+    mark = paths.gold("_progress")
+    progress = _row(spark, paths.silver("_progress"), PROGRESS_SCHEMA)
     bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
     tickets = spark.read.parquet(paths.silver("support_tickets_clean"))
-    by_day, whole = ["usage_date"], None
-    out = {
-        MART_REVENUE_MONTH_LABEL: (marts.revenue_by_org_month_label(bill), whole),
-        MART_CRITICAL_TICKETS: (marts.critical_tickets_sla_daily(tickets), whole),
-        MART_REVENUE_MONTH: (marts.revenue_by_org_month(bill), whole),
+    whole = {
+        MART_REVENUE_MONTH_LABEL: marts.revenue_by_org_month_label(bill),
+        MART_CRITICAL_TICKETS: marts.critical_tickets_sla_daily(tickets),
+        MART_REVENUE_MONTH: marts.revenue_by_org_month(bill),
     }
-    if daily is not None:  # None: no day was touched since the last run
-        out[MART_ORG_DAILY_USAGE] = (marts.org_daily_usage_by_service(daily), by_day)
-        out[MART_GENAI_DAILY] = (marts.genai_tokens_cost_daily(daily), by_day)
-        out[MART_GENAI_DAILY_BY_ORG] = (marts.genai_tokens_cost_daily_by_org(daily), by_day)
-    run_parallel(
-        {
-            name: lambda name=name, df=df, part=part: lake.write_table(
-                df, paths.gold(name), part, replace_all=(part is None or days is None)
-            )
-            for name, (df, part) in out.items()
+    tasks = {n: lambda n=n, df=df: lake.write_table(df, paths.gold(n)) for n, df in whole.items()}
+    due, days = (False, None) if progress is None else _days_to_do(spark, paths, mark, progress.run_no, incremental)
+    if due:
+        daily = spark.read.parquet(paths.silver("daily_usage"))
+        if days is not None:
+            daily = daily.join(days, "usage_date", "left_semi")
+        by_day = {
+            MART_ORG_DAILY_USAGE: marts.org_daily_usage_by_service(daily),
+            MART_GENAI_DAILY: marts.genai_tokens_cost_daily(daily),
+            MART_GENAI_DAILY_BY_ORG: marts.genai_tokens_cost_daily_by_org(daily),
         }
-    )
-    return {name: paths.gold(name) for name in out}
+        for n, df in by_day.items():
+            tasks[n] = lambda n=n, df=df: lake.replace_days(df, paths.gold(n), days)
+    run_parallel(tasks)
+    if due:
+        _put_row(spark, mark, RUN_SCHEMA, progress.run_no)
+    return {name: paths.gold(name) for name in tasks}
 
 
 # ------------------------------------------------------------------ serving
 
 
 def publish_all(spark: SparkSession, paths: LakePaths, incremental: bool = True) -> list[str]:
-    """Every gold mart as a typed serving table (day-keyed ones: touched days only)."""
-    days = _day_list(touched_days(spark, paths)) if incremental else None
-    names = [
-        MART_ORG_DAILY_USAGE,
-        MART_REVENUE_MONTH_LABEL,
-        MART_CRITICAL_TICKETS,
-        MART_REVENUE_MONTH,
-        MART_GENAI_DAILY,
-        MART_GENAI_DAILY_BY_ORG,
-    ]
+    """Every gold mart as a typed serving table (day-keyed ones: the days since serving's own mark)."""
+    mark = f"{paths.serving}/_progress"
+    gold = _row(spark, paths.gold("_progress"), RUN_SCHEMA)
+    due, days = (False, None) if gold is None else _days_to_do(spark, paths, mark, gold.run_no, incremental)
+    whole = [MART_REVENUE_MONTH_LABEL, MART_CRITICAL_TICKETS, MART_REVENUE_MONTH]
+    names = [*(DAY_MARTS if due else ()), *whole]
 
     def one(name: str) -> None:
+        df = spark.read.parquet(paths.gold(name))
         if name in DAY_MARTS and days is not None:
-            gold = _read_days(spark, paths.gold(name), days)
-            if gold is not None:
-                serving.publish(gold, paths.serving, name, replace_all=False)
-        else:
-            serving.publish(spark.read.parquet(paths.gold(name)), paths.serving, name)
+            df = df.join(days, "usage_date", "left_semi")
+        serving.publish(df, paths.serving, name, days if name in DAY_MARTS else None)
 
     run_parallel({name: lambda name=name: one(name) for name in names})
+    if due:
+        _put_row(spark, mark, RUN_SCHEMA, gold.run_no)
     return names
 
 
-def ingest_all(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) -> None:
+def ingest_all(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, bounded: bool = False) -> None:
     """Batch tables and the event stream into bronze, side by side."""
     run_parallel(
         {
             "batch": lambda: ingest_batch(spark, paths, run_ts),
-            "events": lambda: ingest_events(spark, paths),
+            "events": lambda: ingest_events(spark, paths, bounded=bounded),
         }
     )
 
@@ -408,12 +414,17 @@ def run_all(
     paths: LakePaths,
     run_ts: dt.datetime | None = None,
     sf_dir: str | None = None,
+    full_refresh: bool = False,
 ) -> None:
-    """Stage (when ``sf_dir`` is given), ingest, build silver and gold, publish."""
+    """Stage (when ``sf_dir`` is given), ingest, build silver and gold, publish.
+
+    ``full_refresh`` rebuilds every table after bronze from all of bronze and
+    replaces it whole, so days that are gone from bronze go, too.
+    """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if sf_dir is not None:
         stage_landing(spark, sf_dir, paths)
     ingest_all(spark, paths, run_ts)
-    build_silver(spark, paths, run_ts)
-    build_marts(spark, paths)
-    publish_all(spark, paths)
+    build_silver(spark, paths, run_ts, incremental=not full_refresh)
+    build_marts(spark, paths, incremental=not full_refresh)
+    publish_all(spark, paths, incremental=not full_refresh)

@@ -21,12 +21,43 @@ FROM events_flagged GROUP BY is_quarantine
     "src_csv_roundtrip": "SELECT *, 'support_tickets.csv' AS source_file FROM support_tickets",
     "src_partition_scan": "SELECT *, 'billing_monthly.csv' AS source_file FROM billing_monthly",
     "serve_publish_roundtrip": "SELECT * FROM mart_org_daily",
+    "stream_stamps": """
+SELECT count(*) AS n_rows, count(*) AS n_day_matches, count(*) AS n_file_matches FROM events_flagged
+""",
+    "stream_bounded_late": f"""
+SELECT {", ".join(catalog.EVENT_COLUMNS + catalog.FLAG_COLUMNS)} FROM events_flagged
+WHERE event_id IS NULL OR timestamp IS NULL OR timestamp >= TIMESTAMP '{jobs.LATE_BEFORE}'
+""",
+    "silver_billing_written": "SELECT * FROM billing_usd",
+    "silver_tickets_written": "SELECT * FROM tickets_clean",
+    "lake_incremental_marts": "SELECT * FROM mart_org_daily",
+    "lake_replay_and_rename": """
+SELECT event_id, timestamp, usage_date, org_id,
+       CASE WHEN CAST(org_id AS BIGINT) % 10 = 3 THEN org_name || ' Ltd' ELSE org_name END AS org_name, quota
+FROM events_clean
+""",
+    "published_services_by_cum_cost_by_org": "SELECT * FROM mart_revenue_label",
+    "published_critical_tickets_evolution_sla_rate_daily": "SELECT * FROM mart_critical",
+    "published_revenue_by_org_month_usd": "SELECT * FROM mart_revenue_month",
+    "published_genai_tokens_cost_daily": "SELECT * FROM mart_genai",
+    "published_genai_tokens_cost_daily_by_org": "SELECT * FROM mart_genai_by_org",
+    "published_lookup_monthly_revenue": f"""
+SELECT * FROM mart_revenue_month
+WHERE org_id = '{catalog.LOOKUP_ORG}' AND month(month) = {catalog.MONTHLY_MONTH}
+""",
 }
 
 
+
 def queries():
     return {**catalog.queries(), **jobs.JOB_QUERIES}
 
 
+#: The same lookups, on published tables: the same results.
+_SAME = ("costs_daily", "top_revenue_months", "sla_evolution", "genai_tokens")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**oracle.oracle_sql(), **{k: with_views(v) for k, v in JOB_SQL.items()}}
+    batch = oracle.oracle_sql()
+    published = {f"published_lookup_{k}": batch[f"lookup_{k}"] for k in _SAME}
+    return {**batch, **{k: with_views(v) for k, v in JOB_SQL.items()}, **published}

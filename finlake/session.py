@@ -39,7 +39,7 @@ def build_session(
     app_name: str = "finlake",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
-    rocksdb_state: bool = False,
+    rocksdb_state: bool = True,
 ) -> SparkSession:
     """Create (or reuse) a session with the recommended settings.
 
@@ -72,7 +72,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="finlake-ckpt-")
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder there that the driver and all executors share"
+            )
+        path = tempfile.mkdtemp(prefix="finlake-ckpt-")  # one machine: tests
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

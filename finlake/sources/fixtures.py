@@ -16,24 +16,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# The driver's tables are read-only, so each is loaded once per session (the
-# DataFrame object, not its data): later queries reuse its file listing and
-# schema instead of listing and reading footers again.
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _with_copies(df: DataFrame, second_copy: Column) -> DataFrame:
-    """Each row once, and a second identical time where ``second_copy`` holds."""
+def _with_copies(df: DataFrame, second_copy: Column, other: dict[str, Column] | None = None) -> DataFrame:
+    """Each row once, and a second time where ``second_copy`` holds: identical, but for
+    the columns in ``other``."""
     n = F.when(second_copy, F.lit(2)).otherwise(F.lit(1))
-    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), n))).drop("_copy")
+    copies = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), n)))
+    changed = {c: F.when(F.col("_copy") == 2, v).otherwise(F.col(c)) for c, v in (other or {}).items()}
+    return copies.withColumns(changed).drop("_copy")
 
 
 def _str(c: str | Column) -> Column:
@@ -84,10 +77,11 @@ def usage_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("region-"), _str(region_no)).alias("region"),
         "metric",
         F.when(k.isin(20, 18) & (eid % 2 == 0), F.lit(None).cast("double"))
+        .when(eid % 4999 == 11, F.col("v") * 1e12)
         .otherwise(F.col("v"))
         .alias("value"),
         unit.alias("unit"),
-        F.round(F.col("v") * 0.05, 4).alias("cost_usd_increment"),
+        (F.round(F.col("v") * 0.05, 4) + (eid % 100).cast("double") / 1e8).alias("cost_usd_increment"),
         F.when(k == 29, F.lit(None).cast("int"))
         .when(k == 31, F.lit(3))
         .otherwise((k % 2 + 1).cast("int"))
@@ -99,6 +93,18 @@ def usage_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(r, eid % 50 == 0).drop("eid")
 
 
+def usage_events_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, and for some of them a replay a day later with another cost."""
+    raw = usage_events_raw(spark, sf_dir)
+    later = raw.where(F.col("event_id").cast("long") % 70 == 0).withColumns(
+        {
+            "timestamp": F.col("timestamp") + F.expr("interval 1 day"),
+            "cost_usd_increment": F.col("cost_usd_increment") + 1,
+        }
+    )
+    return raw.unionByName(later)
+
+
 def customers_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Organisations: one per customer, some without a name, some twice."""
     c = _table(spark, sf_dir, "customer")
@@ -113,7 +119,8 @@ def customers_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("hq_country"),
         "c_custkey",
     )
-    return _with_copies(out, F.col("c_custkey") % 100 == 0).drop("c_custkey")
+    older = {"industry": F.concat(F.lit("~"), F.col("industry"))}
+    return _with_copies(out, F.col("c_custkey") % 100 == 0, older).drop("c_custkey")
 
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +129,7 @@ def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     services = F.array(*[F.lit(s) for s in ("networking", "storage", "genai", "database")])
     s = c.select("c_custkey", "c_acctbal", F.explode(services).alias("service"))
     key = F.col("c_custkey")
-    return s.select(
+    out = s.select(
         F.when(key % 29 == 11, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("res-"), _str(key), F.lit("-"), F.col("service")))
         .alias("resource_id"),
@@ -130,7 +137,9 @@ def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("region-"), _str(key % 5)).alias("region"),
         "service",
         F.col("c_acctbal").alias("quota"),
+        "c_custkey",
     )
+    return _with_copies(out, key % 50 == 0, {"quota": F.col("quota") + 1}).drop("c_custkey")
 
 
 def billing_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,11 +152,7 @@ def billing_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     o = _table(spark, sf_dir, "orders")
     j = o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
-    rate = (
-        F.when(F.col("o_custkey") % 3 == 0, F.lit(1.0))
-        .when(F.col("o_custkey") % 3 == 1, F.lit(1.25))
-        .otherwise(F.lit(0.5))
-    )
+    rate = F.lit(0.5) + (F.col("o_custkey") % 7919).cast("double") / 10000.0
     out = j.select(
         _str("o_orderkey").alias("invoice_id"),
         _str("o_custkey").alias("org_id"),
@@ -189,7 +194,8 @@ def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") > 250000).alias("sla_breached"),
         "o_orderkey",
     )
-    return _with_copies(out, F.col("o_orderkey") % 60 == 0).drop("o_orderkey")
+    open_ = {"resolved_at": F.lit(None).cast("timestamp"), "sla_breached": ~F.col("sla_breached")}
+    return _with_copies(out, F.col("o_orderkey") % 60 == 0, open_).drop("o_orderkey")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:

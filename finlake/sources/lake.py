@@ -47,22 +47,49 @@ def write_table(
     w.parquet(path)
 
 
-def read_partitions(
-    spark: SparkSession, root: str, column: str, values: list, max_named: int = 2000
-) -> DataFrame | None:
+def replace_days(df: DataFrame, path: str, days: DataFrame | None, column: str = "usage_date") -> None:
+    """Replace the given days of a table by ``df``; None replaces the whole table.
+
+    Dynamic overwrite leaves a partition alone that the new rows do not hold,
+    so a day that has no row any more is overwritten with an empty file. Such
+    days are few (all their events moved to another day), and only they reach the driver.
+    """
+    if days is None:
+        write_table(df, path, [column], replace_all=True)
+        return
+    write_table(df, path, [column])
+    gone = days.join(df.select(column).distinct(), column, "left_anti").collect()
+    for row in gone:
+        nothing = df.where(F.lit(False)).drop(column).coalesce(1)
+        nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={row[column]}")
+
+
+def range_globs(low: int, high: int) -> list[str]:
+    """Glob patterns that name exactly the integers ``low`` to ``high``: a few per digit,
+    however long the range."""
+    out = []
+    while low <= high:
+        width = 0
+        while (
+            (low > 0 or width == 0)
+            and low % 10 ** (width + 1) == 0
+            and low + 10 ** (width + 1) - 1 <= high
+        ):
+            width += 1
+        out.append((str(low // 10**width) if low else "0" * (width == 0)) + "[0-9]" * width)
+        low += 10**width
+    return out
+
+
+def read_partitions(spark: SparkSession, root: str, column: str, values: list) -> DataFrame | None:
     """The given partitions of a table, or None if none of them exists.
 
-    A path read lists every file under the path before pruning. Naming the
-    folders in a brace glob (``basePath`` keeps the partition column) lists
-    one directory level plus the named folders, so an incremental run costs
-    what it touches, not the table's whole history. For more than
-    ``max_named`` values the root is read with a filter instead.
+    Naming the folders in a brace glob (``basePath`` keeps the partition
+    column) lists one directory level plus the named folders.
     """
     if not values:
         return None
     try:
-        if len(values) > max_named:
-            return spark.read.parquet(root).where(F.col(column).isin(list(values)))
         names = ",".join(str(v) for v in values)
         return spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/{column}={{{names}}}")
     except AnalysisException:  # none of the folders exists (yet)

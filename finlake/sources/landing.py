@@ -64,7 +64,8 @@ def read_batch_table(
     are converted with ``try_cast``: a malformed value becomes NULL instead of
     failing the job. Columns the schema does not name are kept as text; a
     column the file lacks is NULL. An unknown table falls back to header-based
-    inference (one extra pass over that file).
+    inference (one extra pass over that file). All part files of a table must
+    have the same header: one that has not is refused with a message that names it.
     """
     schema = schema or schemas.BATCH_TABLES.get(file_name)
     path = f"{landing.rstrip('/')}/{file_name}"
@@ -72,7 +73,10 @@ def read_batch_table(
     if schema is None:
         df = reader.option("inferSchema", "true").csv(path)
     else:
-        text = reader.csv(path)  # every column a string, named by the header
+        # Every column a string, named by the header; then the same with the header enforced:
+        # a part file with other columns, or in another order, fails instead of being mixed up.
+        named = reader.csv(path).schema
+        text = reader.option("enforceSchema", "false").schema(named).csv(path)
         known = [
             (F.col(f.name).try_cast(f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from finlake import schemas
-from finlake.sources.lake import write_table
+from finlake.sources.lake import replace_days, write_table
 
 # Published table -> partition column (lookups filter on it, so it prunes).
 PARTITION_BY: dict[str, list[str]] = {
@@ -33,15 +33,19 @@ def coerce(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def publish(df: DataFrame, serving_root: str, name: str, replace_all: bool = True) -> None:
+def publish(df: DataFrame, serving_root: str, name: str, days: DataFrame | None = None) -> None:
     """Write one mart as the serving table ``name``.
 
-    ``replace_all=False`` replaces only the partitions ``df`` holds (the days
-    a run recomputed); the table must be partitioned for that.
+    With ``days``, only these partitions are replaced (the days that a run
+    recomputed; the table must be partitioned by day for that).
     """
     part = PARTITION_BY.get(name)
     out = coerce(df, schemas.SERVING[name])
-    write_table(out, f"{serving_root.rstrip('/')}/{name}", part, replace_all=replace_all or not part)
+    path = f"{serving_root.rstrip('/')}/{name}"
+    if part and days is not None:
+        replace_days(out, path, days, part[0])
+    else:
+        write_table(out, path, part, replace_all=True)
 
 
 def read_published(spark: SparkSession, serving_root: str, name: str) -> DataFrame:

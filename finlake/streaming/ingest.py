@@ -24,14 +24,22 @@ again).
 
 Output is idempotent: micro-batch N is written to ``<table>/batch_id=N``
 with overwrite, so a batch replayed after a failure replaces its own output.
+After both writes the batch records itself as the last complete one
+(``mark_path``), whichever way the query was started.
+
+A trigger takes at most ``FILES_PER_TRIGGER`` files, so a first run over a large
+drop folder is many bounded micro-batches. State belongs in RocksDB
+(``finlake.session`` sets it): one entry per id on local disk, not in the heap.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from finlake import schemas
@@ -40,6 +48,42 @@ from finlake.operators.quality import split, with_quality_flags
 from finlake.plans.parallel import run_parallel
 
 
+#: Files of a micro-batch, at most.
+FILES_PER_TRIGGER = 1000
+
+
+def mark_path(good_path: str) -> str:
+    """The one-row table with the last complete micro-batch."""
+    return good_path.rstrip("/") + "_mark"
+
+
+class DroppedRows(StreamingQueryListener):
+    """Counts the rows that the watermark dropped, over every progress report of a query."""
+
+    def __init__(self) -> None:
+        self.total: dict[str, int] = {}  # by the run of a query
+        self.last_batch: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802  (Spark's names)
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        run = str(event.progress.runId)
+        self.total[run] = self.total.get(run, 0) + dropped_rows(event.progress)
+        self.last_batch[run] = max(self.last_batch.get(run, -1), event.progress.batchId)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def dropped_rows(progress) -> int:
+    operators = progress.stateOperators or []
+    return sum(int(getattr(op, "numRowsDroppedByWatermark", 0) or 0) for op in operators)
+
+
 def read_event_stream(
     spark: SparkSession,
     source: str,
@@ -112,6 +156,8 @@ def write_split_batch(batch: DataFrame, batch_id: int, good_path: str, quarantin
         run_parallel(
             {"good": lambda: write(good, good_path), "quarantine": lambda: write(bad, quarantine_path)}
         )
+        mark = batch.sparkSession.createDataFrame([(batch_id,)], "last_batch_id long")
+        mark.coalesce(1).write.mode("overwrite").parquet(mark_path(good_path))
     finally:
         batch.unpersist()
 
@@ -126,7 +172,7 @@ def start_ingest(
     processing_time: str | None = None,
     bounded: bool = False,
     watermark: str = EVENT_WATERMARK,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_TRIGGER,
     source_format: str = "json",
     archive_dir: str | None = None,
 ) -> StreamingQuery:
@@ -160,18 +206,26 @@ def start_ingest(
 
 def run_ingest_once(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
     """Run the ingestion until the files present now are processed."""
-    q = start_ingest(spark, *args, **kwargs)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    counter = DroppedRows()
+    spark.streams.addListener(counter)
+    try:
+        q = start_ingest(spark, *args, **kwargs)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        last, run, waited = q.lastProgress, str(q.runId), 0.0
+        while last is not None and counter.last_batch.get(run, -1) < last.batchId and waited < 10:
+            time.sleep(0.05)  # reports reach a listener a little later
+            waited += 0.05
+        q.dropped_rows = counter.total.get(run, 0) if waited < 10 else None
+    finally:
+        spark.streams.removeListener(counter)
     return q
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows the stateful operator dropped as later than the watermark, over the
-    progress reports the query still holds (always zero unless ``bounded``)."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress.stateOperators or []:
-            total += int(getattr(op, "numRowsDroppedByWatermark", 0) or 0)
-    return total
+    """Rows the stateful operator dropped as later than the watermark, in the whole
+    run of ``run_ingest_once`` (always zero unless ``bounded``)."""
+    if query.dropped_rows is None:
+        raise RuntimeError("the query's progress reports did not all arrive")
+    return query.dropped_rows
