@@ -77,3 +77,37 @@ def test_read_partitions_names_only_those_folders(spark):
     assert two.count() == 20
     assert lake.read_partitions(spark, root, "usage_date", [dt.date(2030, 1, 1)]) is None
     assert lake.read_partitions(spark, root, "usage_date", []) is None
+
+
+def test_part_files_with_other_headers_are_refused(spark):
+    import pytest
+
+    root = run_dir(spark, "t-headers")
+    row = [("i1", "o1", "2024-01-01", 10.0, 1.0, 2.0, 1.25)]
+    cols = ["invoice_id", "org_id", "month", "subtotal", "credits", "taxes", "exchange_rate_to_usd"]
+    df = spark.createDataFrame(row, cols).coalesce(1)
+    df.write.option("header", "true").csv(root + "/billing_monthly.csv")
+    assert landing.read_batch_table(spark, root, "billing_monthly.csv", run_ts=RUN).first().org_id == "o1"
+    swapped = df.select("org_id", "invoice_id", *cols[2:])
+    swapped.write.mode("append").option("header", "true").csv(root + "/billing_monthly.csv")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        landing.read_batch_table(spark, root, "billing_monthly.csv", run_ts=RUN).collect()
+
+
+def test_range_globs_name_exactly_the_range():
+    import fnmatch
+
+    for low, high in ((0, 0), (0, 25), (7, 123), (999, 1001), (3, 2), (0, 1234)):
+        globs = lake.range_globs(low, high)
+        named = [i for i in range(1500) if any(fnmatch.fnmatchcase(str(i), g) for g in globs)]
+        assert named == list(range(low, high + 1)) and len(globs) < 60
+
+
+def test_replace_days_empties_days_that_lost_their_rows(spark):
+    path = run_dir(spark, "t-days") + "/t"
+    df = spark.range(10).selectExpr("id", "date_add(date'2024-01-01', cast(id % 3 as int)) AS usage_date")
+    lake.replace_days(df, path, None)
+    days = spark.sql("SELECT date'2024-01-01' AS usage_date UNION SELECT date'2024-01-02'")
+    lake.replace_days(df.where("id = 3"), path, days)
+    left = spark.read.schema(df.schema).parquet(path)
+    assert sorted(r.id for r in left.collect()) == [2, 3, 5, 8]

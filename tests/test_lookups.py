@@ -51,3 +51,24 @@ def test_top_services_window_and_ties(spark):
     assert got == [("8", 1, "compute"), ("8", 2, "database")]
     only8 = lookups.top_services(df, "2024-01-20", n=5, org="8")
     assert {r.org_id for r in only8.collect()} == {"8"}
+
+
+def test_month_without_year_is_a_filter(spark):
+    rev = spark.createDataFrame(
+        [("8", D(1995, 2, 1), 1.0), ("8", D(1996, 2, 1), 2.0), ("8", D(1996, 3, 1), 3.0)],
+        "org_id string, month date, revenue_usd double")
+    assert [r.month.year for r in lookups.lookup_monthly_revenue(rev, "8", month=2).collect()] == [1995, 1996]
+
+
+def test_lookups_return_rows_in_order(spark, sf_dir):
+    """The order of the SLA and GenAI outputs, as a reader gets them."""
+    from finlake.plans import catalog as C
+
+    sla = [r.date for r in C.q_lookup_sla_evolution(spark, sf_dir).collect()]
+    assert len(sla) > 1 and sla == sorted(sla)
+    usage = C.daily(spark, sf_dir).repartition(7)
+    from finlake.operators import marts
+
+    rows = lookups.lookup_genai_tokens(marts.genai_tokens_cost_daily_by_org(usage)).collect()
+    keys = [(r.usage_date, r.org_id) for r in rows]
+    assert len(keys) > 1 and keys == sorted(keys)

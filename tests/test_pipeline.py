@@ -132,3 +132,53 @@ def test_silver_reads_only_new_batch_folders(spark, sf_dir):
     files = P.new_bronze_events(spark, paths, done=0).inputFiles()
     assert files and all("/batch_id=1/" in f for f in files)
     assert P.new_bronze_events(spark, paths, done=1).count() == 0
+
+
+def test_full_refresh_drops_days_that_are_gone(spark, sf_dir):
+    from finlake.plans import pipeline as P
+    from finlake.sources import landing
+
+    paths = LakePaths(run_dir(spark, "t-full"))
+    P.stage_batch_landing(spark, sf_dir, paths)
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    landing.write_jsonl(raw, paths.landing_stream)
+    run_all(spark, paths, RUN)
+    good = lake.read_bronze_events(spark, paths.bronze_events)
+    kept = good.where("dayofmonth(timestamp) > 5")
+    kept.drop("batch_id", "date").write.parquet(paths.root + "/kept")
+    body = spark.read.parquet(paths.root + "/kept")
+    body.withColumn("date", F.lit("20240201")).write.mode("overwrite").partitionBy("date").parquet(
+        paths.bronze_events + "/batch_id=0")
+    P.build_silver(spark, paths, RUN, incremental=False)
+    P.build_marts(spark, paths, incremental=False)
+    P.publish_all(spark, paths, incremental=False)
+    published = serving.read_published(spark, paths.serving, MART_ORG_DAILY_USAGE)
+    assert published.agg(F.min(F.dayofmonth("usage_date"))).first()[0] == 6
+    assert spark.read.parquet(paths.silver("usage_events_clean")).count() == body.select("event_id").distinct().count()
+
+
+def test_gold_failure_loses_no_day(spark, sf_dir, monkeypatch):
+    """Silver ran, gold failed, the run is redone with nothing new: all days arrive."""
+    from finlake.operators import marts
+    from finlake.plans import pipeline as P
+    from finlake.sources import landing
+
+    paths = LakePaths(run_dir(spark, "t-redo"))
+    P.stage_batch_landing(spark, sf_dir, paths)
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    landing.write_jsonl(raw.where("dayofmonth(timestamp) <= 15"), paths.landing_stream + "/drop1")
+    run_all(spark, paths, RUN)
+    landing.write_jsonl(raw.where("dayofmonth(timestamp) > 15"), paths.landing_stream + "/drop2")
+
+    def fails(*_):
+        raise RuntimeError("gold failed")
+
+    with monkeypatch.context() as m:
+        m.setattr(marts, "genai_tokens_cost_daily", fails)
+        with pytest.raises(RuntimeError, match="gold failed"):
+            run_all(spark, paths, RUN)
+    run_all(spark, paths, RUN)
+    daily = spark.read.parquet(paths.silver("daily_usage"))
+    want = marts.org_daily_usage_by_service(daily)
+    published = serving.read_published(spark, paths.serving, MART_ORG_DAILY_USAGE)
+    assert published.count() == want.count() and published.agg(F.max("usage_date")).first()[0].day > 15

@@ -80,3 +80,14 @@ def test_null_heavy_key_is_spread_and_whole(spark):
     spread = facts.where("org_id IS NULL").select(
         F.pmod(F.xxhash64(*facts.columns), F.lit(joins.NULL_SPREAD)).alias("s")).distinct().count()
     assert spread > 100
+
+
+def test_the_number_of_hot_keys_is_bounded(spark, monkeypatch):
+    from finlake.operators import joins
+
+    facts = spark.range(1000).selectExpr("id % 100 AS k")
+    assert joins.hot_keys(facts, ["k"], hot_rows=5).count() == 100
+    monkeypatch.setattr(joins, "MOST_HOT_KEYS", 20)  # a hot key needs more than a twentieth of all rows
+    assert joins.hot_keys(facts, ["k"], hot_rows=5).count() == 0
+    skewed = facts.unionByName(spark.range(500).selectExpr("cast(7 AS long) AS k"))
+    assert [r.k for r in joins.hot_keys(skewed, ["k"], hot_rows=5).collect()] == [7]
