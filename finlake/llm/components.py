@@ -17,28 +17,29 @@ def components(edges: DataFrame) -> DataFrame:
     Spark's skew join. A round's edges are written to the shared folder.
     """
 
-    def state(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-
     edges = edges.where(F.col("a") != F.col("b"))
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = stored(edges, "edges")
-    before = state(edges)
-    while before[0]:
+    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    while not stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("n"), F.least("a", "low").alias("low"))
+        low = stored(both.groupBy("a").agg(F.min("b").alias("low")), "low")
+        low = low.select(F.col("a").alias("n"), F.least("a", "low").alias("low"))
         large = both.join(low, F.col("a") == F.col("n")).where(F.col("b") > F.col("a"))
-        large = large.select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        large = stored(large, "edges")
-        low = large.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("n"), "low")
-        down = large.join(low, F.col("a") == F.col("n")).select("b", "low").where(F.col("b") != F.col("low"))
-        small = low.select(F.col("n").alias("a"), F.col("low").alias("b")).unionByName(
+        large = stored(large.select(F.col("b").alias("a"), F.col("low").alias("b")), "edges")
+        low = stored(large.groupBy("a").agg(F.min("b").alias("low")), "low")
+        up = low.select(F.col("a").alias("n"), "low")
+        down = large.join(up, F.col("a") == F.col("n")).where(F.col("b") != F.col("low")).select("b", "low")
+        small = low.select("a", F.col("low").alias("b")).unionByName(
             down.select(F.col("b").alias("a"), F.col("low").alias("b"))
         )
         edges = stored(small.distinct(), "edges")
-        after = state(edges)
-        if after == before:
-            break
-        before = after
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+
+
+def stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge at most, to a node that has none."""
+    nodes = edges.select("a", F.lit(1).alias("up")).unionByName(
+        edges.select(F.col("b").alias("a"), F.lit(0).alias("up")).distinct()
+    )
+    # a centre is in one row, with no way up; any other node in one row, with one
+    return nodes.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()

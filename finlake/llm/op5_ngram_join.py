@@ -260,7 +260,8 @@ def cells(grams: np.ndarray, percent: int) -> np.ndarray:
 def sketched(docs: DataFrame, chosen: DataFrame, n: int, percent: int) -> DataFrame:
     """set, n_shingles, grams (binary), cells (array) of the classes' chosen rows (id, own)."""
     rows = docs.select("doc_id", F.xxhash64(text_bytes()).alias("same"), text_bytes().alias("body"))
-    rows = rows.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("own")))
+    # the ids are as many as the corpus has documents with copies: never broadcast, at any size
+    rows = rows.join(chosen.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("same") == F.col("own")))
 
     def work(batch: pa.RecordBatch):
         for at in range(0, batch.num_rows, 512):
@@ -327,14 +328,20 @@ def linked(left: dict[bytes, np.ndarray], right: dict[bytes, np.ndarray] | None,
     return out
 
 
-def verified(members: DataFrame, percent: int) -> DataFrame:
-    """a, b: links that connect whatever is linked. ``members``: cluster, set, n_shingles, grams."""
+def verified(clusters: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """a, b: links that connect whatever is linked. ``clusters``: node, root; ``found`` as ``sketched``."""
+    members = clusters.join(found.select("set", "n_shingles"), F.col("node") == F.col("set")).select(
+        F.col("root").alias("cluster"), "node", "n_shingles"
+    )
     sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"), F.sum("n_shingles").alias("g"))
     blocks = F.greatest(F.ceil(F.col("c") / BLOCK_DOCS), F.ceil(F.col("g") / BLOCK_GRAMS)).cast("int")
     sizes = sizes.where("c > 1").select(F.col("cluster").alias("k"), blocks.alias("blocks"))
-    dealt = members.join(sizes, F.col("cluster") == F.col("k")).withColumn(
-        "own", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    sizes = stored(sizes, "clusters")
+    # the n-grams themselves join last, once all that is known of a set is in its row
+    dealt = members.join(sizes, F.col("cluster") == F.col("k")).select(
+        "cluster", "node", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")
     )
+    dealt = found.select("set", "grams").join(stored(dealt, "members"), F.col("set") == F.col("node"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tasks = dealt.select("cluster", "own", other.alias("other"), "set", "grams").select(
         "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "grams"
@@ -378,13 +385,11 @@ def near_classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, Data
     found = stored(sketched(docs, chosen, n, percent), "sketches")
     entered = found.select("set", F.explode("cells").alias("cell")).distinct()
     hubs = entered.groupBy("cell").agg(F.min("set").alias("hub"), F.count(F.lit(1)).alias("c"))
-    hubs = hubs.where("c > 1").select(F.col("cell").alias("k"), "hub")
+    # a table of its own, so that the join deals both sides and Spark can split a hot cell
+    hubs = stored(hubs.where("c > 1").select(F.col("cell").alias("k"), "hub"), "hubs")
     met = entered.join(hubs, F.col("cell") == F.col("k")).select(F.col("set").alias("a"), F.col("hub").alias("b"))
     clusters = components(met)
-    members = found.join(clusters, F.col("set") == F.col("node")).select(
-        F.col("root").alias("cluster"), "set", "n_shingles", "grams"
-    )
-    return rows, components(verified(members, percent))
+    return rows, components(verified(stored(clusters, "clusters"), found, percent))
 
 
 def near_groups(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
