@@ -62,11 +62,13 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> list[tuple[int, int, st
 
 
 def dictionary(texts: list[str]) -> bytes:
-    """A zstandard dictionary of the texts; their own bytes where there are too few to train on."""
+    """A zstandard dictionary of the texts, an eighth of their size at most (a larger one
+    would hold what is special to a text); their own bytes where there are too few to train on."""
     raw = [t.encode() for t in texts]
     pieces = [r[i : i + 2048] for r in raw for i in range(0, len(r), 2048)]
+    size = min(DICT_BYTES, max(4096, sum(map(len, raw)) // 8))
     try:
-        return zstandard.train_dictionary(DICT_BYTES, pieces, k=256, d=8).as_bytes()
+        return zstandard.train_dictionary(size, pieces, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
         return b"\n".join(raw)[-DICT_BYTES:]
 
@@ -89,9 +91,10 @@ def features(texts: list[str], good: zstandard.ZstdCompressor, bad: zstandard.Zs
     return np.stack([np.ones_like(d), d, r, s, d * r, r * r, d * d, d * s, r * s], 1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
     """Logistic regression by Newton's method, on centred and scaled columns."""
     w = np.zeros(x.shape[1])
+    ridge = max(1e-3, 0.3 / len(y))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (p - y) + ridge * len(y) * np.r_[0, w[1:]]
