@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import by_batch, text_bytes
+from finlake.llm.common import by_batch, stored, text_bytes
 
 MEAN, LEAST, MOST = 48, 16, 1024
 MIN_RUN = 100
@@ -116,11 +116,13 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
         "doc_id", "same", "chunk", "c.digest", "c.start", "c.length"
     )
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same", "start")
-    shared = (
+    # a table of its own, so that the join deals both sides and Spark can split a hot chunk
+    shared = stored(
         each.groupBy("digest", "length")
         .agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("owner"))
         .where("times > 1")
-        .select(F.col("digest").alias("d"), F.col("length").alias("l"), "owner")
+        .select(F.col("digest").alias("d"), F.col("length").alias("l"), "owner"),
+        "shared",
     )
     own = (
         F.col("doc_id").eqNullSafe(F.col("owner.doc_id"))
