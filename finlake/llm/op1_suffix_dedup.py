@@ -293,6 +293,8 @@ def repeated_spans(docs: DataFrame, size: int = 400, many: int = MANY) -> DataFr
     found = stored(texts(docs, size), "texts")
     each = found.select("text", "weight", F.explode("anchors").alias("a")).select("text", "weight", "a.*")
     often = each.groupBy("key").agg(F.sum("weight").alias("n")).where("n > 1").select(F.col("key").alias("k"))
+    # a table of its own, so that the join deals both sides and Spark can split a hot anchor
+    often = stored(often, "often")
     each = stored(each.join(often, F.col("key") == F.col("k"), "left_semi"), "anchors")
     one = F.min(F.struct("text", "start", "count", "at")).alias("one")
     kinds = each.groupBy("key", "digest").agg(F.sum("weight").alias("weight"), one)
