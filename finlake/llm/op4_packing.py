@@ -36,7 +36,7 @@ from finlake.llm.tokens import TokenIds, default_path, worker_table
 
 PARTS = 6
 #: Partners tried per length when patterns are enumerated.
-PARTNERS = 24
+PARTNERS = 8
 CLOSING = b"\0\0\0\0"
 
 
