@@ -1,17 +1,23 @@
-"""Repeated passages by content-defined chunks (gear rolling hash).
+"""Repeated passages by content-defined chunks (gear rolling hash), followed to their true ends.
 
-A gear hash of the last 32 bytes decides where a chunk ends, so equal passages
+A gear hash of the last ``GRAM`` bytes decides where a chunk ends, so equal passages
 are cut alike wherever they stand, and an insertion moves no later cut. Chunks
 meet by digest and length; of equal chunks the first one (smallest id, then
 position) owns the content. Neighbouring chunks that occur elsewhere, too, form
-runs; runs of at least ``MIN_RUN`` bytes count. A document's removed spans are
-the parts of its runs that it does not own.
+runs. The ends of a run are followed byte by byte, with the text around them,
+against the first and the last place of the chunk there; runs of at least
+``MIN_RUN`` bytes with what was added count. A document's removed spans are the
+parts of its runs that it does not own; what was added goes with the chunk at
+that end, as far as the owner's text agrees.
 
-The cut rule: a position is a candidate where the gear hash is under 2^32 /
-``MEAN``; it is a cut if no candidate stands in the ``LEAST - 1`` bytes before
-it; a chunk longer than ``MOST`` bytes is cut every ``MOST`` bytes.
+The cut rule: of the gear hashes of every ``WINDOW`` positions in a row the least
+one (of equal ones the last) is a cut. Two texts with ``2 * WINDOW + GRAM - 1`` =
+101 bytes in common therefore have a whole chunk in common, and what is equal
+beyond a run's last chunk is shorter than ``AROUND`` bytes. Text that repeats
+itself within a window is cut once a period.
 
-Chunks with equal 64-bit digest and length are taken as equal. Counts and
+A chunk's digest covers the ``GRAM`` bytes that made the cut before it, too, so that a chunk of a
+few bytes is not met everywhere. Chunks with equal 64-bit digest and length are taken as equal. Counts and
 owners are aggregated before the shuffle, so a chunk that a third of all rows
 have reaches the join as one row, and Spark's skew join splits the other side.
 
@@ -23,6 +29,8 @@ empty one.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -31,10 +39,12 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import by_batch, stored, text_bytes
 
-MEAN, LEAST, MOST = 48, 16, 1024
+GRAM, WINDOW = 8, 47
+#: No chunk is longer, and no run goes on for so many equal bytes beyond its last chunk.
+MOST = AROUND = WINDOW + GRAM
 MIN_RUN = 100
 #: Bytes cut at a time inside a task.
-STEP = 4 << 20
+STEP = 1 << 16
 
 #: One pseudo-random 32-bit number per byte value, made by a rule (splitmix64).
 _x = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(2**64 - 1)
@@ -43,34 +53,40 @@ GEAR = ((_x ^ (_x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB) >> np.uint6
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
-    """sum of GEAR[data[i - j]] << j for j under 32, modulo 2^32, at every position."""
+    """sum of GEAR[data[i - j]] << 4j for j under GRAM, modulo 2^32, at every position."""
     h = GEAR[data]
-    for width in (1, 2, 4, 8, 16):
+    for width in (1, 2, 4):
         wider = h.copy()
-        wider[width:] += h[:-width] << np.uint32(width)
+        wider[width:] += h[:-width] << np.uint32(4 * width)
         h = wider
     return h
 
 
+def least(h: np.ndarray) -> np.ndarray:
+    """Positions of the least value (of equal ones the last) of every WINDOW values in a row."""
+    n = len(h)
+    low = h.astype(np.uint64) << np.uint64(32) | np.arange(n, 0, -1, dtype=np.uint64)
+    width = 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        low = np.minimum(low[:-step], low[step:])
+        width += step
+    at = n - (low & np.uint64(2**32 - 1)).astype(np.int64)
+    return at[np.diff(at, prepend=-1) != 0]
+
+
 def cuts(text: bytes) -> np.ndarray:
     """Ends of the chunks of a text."""
     data = np.frombuffer(text, np.uint8)
     n = len(data)
-    found = []
-    for at in range(0, n, STEP):  # long texts in steps; the hash needs the 31 bytes before
-        low = max(0, at - 31)
-        h = gear_hash(data[low : at + STEP])[at - low :]
-        found.append(np.flatnonzero(h < np.uint32(2**32 // MEAN)) + at + 1)
-    ends = np.concatenate(found) if found else np.zeros(0, np.int64)
-    ends = ends[np.diff(ends, prepend=-LEAST) >= LEAST]
-    ends = np.unique(np.r_[ends, n]) if n else ends
-    sizes = np.diff(ends, prepend=0)
-    if len(sizes) and sizes.max() > MOST:
-        pieces = -(-sizes // MOST)
-        starts = np.repeat(ends - sizes, pieces)
-        step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        ends = np.minimum(starts + (step + 1) * MOST, np.repeat(ends, pieces))
-    return ends
+    found = [np.zeros(0, np.int64)]
+    for at in range(0, n, STEP):  # long texts in steps; windows and hashes need the bytes before
+        low = max(0, at - AROUND)
+        h = gear_hash(data[low : at + STEP])[GRAM - 1 :]
+        if len(h) >= WINDOW:
+            found.append(least(h) + low + GRAM)
+    ends = np.concatenate(found)
+    return np.unique(np.r_[ends, n]) if n else ends
 
 
 def chunk_rows(docs: DataFrame) -> DataFrame:
@@ -85,7 +101,7 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                 ends = cuts(text).tolist()
                 start = 0
                 for end in ends:
-                    digests.append(xxhash.xxh3_64_intdigest(text[start:end]) - 2**63)
+                    digests.append(xxhash.xxh3_64_intdigest(text[max(0, start - GRAM) : end]) - 2**63)
                     starts.append(start)
                     start = end
                 offsets.append(len(starts))
@@ -111,59 +127,170 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """doc_id, same, chunk (number), start, length, owned, owner_id of every chunk that occurs twice or more."""
-    each = rows.select("doc_id", "same", F.posexplode("chunks").alias("chunk", "c")).select(
-        "doc_id", "same", "chunk", "c.digest", "c.start", "c.length"
+    """doc_id, same, start, length, owned, owner_id, first, last (places) of every chunk that occurs twice or more."""
+    each = rows.select("doc_id", "same", F.explode("chunks").alias("c")).select(
+        "doc_id", "same", "c.digest", "c.start", "c.length"
     )
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same", "start")
     # a table of its own, so that the join deals both sides and Spark can split a hot chunk
     shared = stored(
         each.groupBy("digest", "length")
-        .agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("owner"))
+        .agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first"), F.max(place).alias("last"))
         .where("times > 1")
-        .select(F.col("digest").alias("d"), F.col("length").alias("l"), "owner"),
+        .select(F.col("digest").alias("d"), F.col("length").alias("l"), "first", "last"),
         "shared",
     )
-    own = (
-        F.col("doc_id").eqNullSafe(F.col("owner.doc_id"))
-        & (F.col("same") == F.col("owner.same"))
-        & (F.col("start") == F.col("owner.start"))
-    )
     met = each.join(shared, (F.col("digest") == F.col("d")) & (F.col("length") == F.col("l")))
-    return met.select("doc_id", "same", "chunk", "start", "length", own.alias("owned"), F.col("owner.doc_id").alias("owner_id"))
+    own = place.eqNullSafe(F.col("first"))
+    return met.select(
+        "doc_id", "same", "start", "length", own.alias("owned"), F.col("first.doc_id").alias("owner_id"), "first", "last"
+    )
 
 
-def runs(chunks: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """doc_id, same, n_repeated (bytes in runs), n_removed, spans (array of start, end), owner_ids."""
+def in_parts(some: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """``some`` of a few documents at a time: their chunks as Python values take many times the batch's bytes."""
+    return lambda batch: (some(batch.slice(at, 64)) for at in range(0, batch.num_rows, 64))
+
+
+def runs(chunks: DataFrame) -> DataFrame:
+    """doc_id, same, start, end, parts (start, length, owned, owner_id), mates (side, first, i, s, at) of every run.
+
+    Mates are the places of the chunk at the left (side 0) or right (1) end, other than itself:
+    the first one (the owner's) and the last one, with the position there that matches the end."""
     key = chunks.schema["doc_id"].dataType.simpleString()
-    per_doc = chunks.distinct().groupBy("doc_id", "same").agg(  # identical rows are one document
-        F.sort_array(F.collect_list(F.struct("chunk", "start", "length", "owned", "owner_id"))).alias("them")
+    per_doc = chunks.groupBy("doc_id", "same").agg(  # a set: identical rows are one document
+        F.sort_array(F.collect_set(F.struct("start", "length", "owned", "owner_id", "first", "last"))).alias("them")
     )
+    part = f"array<struct<start:long,length:int,owned:boolean,owner_id:{key}>>"
+    mate = f"array<struct<side:int,first:boolean,i:{key},s:long,at:long>>"
+
+    def some(batch: pa.RecordBatch) -> pa.RecordBatch:
+        id_type = batch.column("doc_id").type
+        parts = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int32()), ("owned", pa.bool_()), ("owner_id", id_type)]))
+        mates = pa.list_(pa.struct([("side", pa.int32()), ("first", pa.bool_()), ("i", id_type), ("s", pa.int64()), ("at", pa.int64())]))
+        out = []
+        for doc_id, same, them in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "same", "them"))):
+            found = []
+            for c in them:
+                if found and found[-1][-1]["start"] + found[-1][-1]["length"] == c["start"]:
+                    found[-1].append(c)
+                else:
+                    found.append([c])
+            for run in found:
+                beside = [
+                    (side, name == "first", p["doc_id"], p["same"], p["start"] + side * c["length"])
+                    for side, c in enumerate((run[0], run[-1]))
+                    for name in ("first", "last")
+                    if ((p := c[name])["doc_id"], p["same"], p["start"]) != (doc_id, same, c["start"])
+                ]
+                out.append((
+                    doc_id, same, run[0]["start"], run[-1]["start"] + run[-1]["length"],
+                    [{n: c[n] for n in ("start", "length", "owned", "owner_id")} for c in run],
+                    [dict(zip(("side", "first", "i", "s", "at"), m)) for m in beside],
+                ))
+        types = [id_type, pa.int64(), pa.int64(), pa.int64(), parts, mates]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out), types)], ["doc_id", "same", "start", "end", "parts", "mates"]
+        )
+
+    return by_batch(per_doc, in_parts(some), f"doc_id {key}, same long, start long, end long, parts {part}, mates {mate}")
+
+
+def around(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """i, s, at, before, after: the up to AROUND bytes on either side of the ``places`` (i, s, at) in ``texts``."""
+    key = places.schema["i"].dataType.simpleString()
+    asked = places.groupBy("i", "s").agg(F.collect_set("at").alias("ats"))
+    met = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("same") == F.col("s")))
 
     def work(batch: pa.RecordBatch):
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            out = [
+                (i, s, p, body[max(0, p - AROUND) : p][::-1], body[p : p + AROUND])
+                for i, s, ats, body in zip(*(part.column(c).to_pylist() for c in ("i", "s", "ats", "body")))
+                for p in ats
+            ]
+            types = [part.column("i").type, pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out), types)], ["i", "s", "at", "before", "after"]
+            )
+
+    found = by_batch(met.select("i", "s", "ats", "body"), work, f"i {key}, s long, at long, before binary, after binary")
+    return found.distinct()  # identical rows
+
+
+def extended(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """The runs with ``more``: bytes added (left to the owner's, left, right to the owner's, right)."""
+    key = found.schema["doc_id"].dataType.simpleString()
+    pairs = found.select(
+        F.col("doc_id"), "same", "start", F.explode("mates").alias("m"),
+        F.when(F.col("m.side") == 0, F.col("start")).otherwise(F.col("end")).alias("mine"),
+    )
+    ours = pairs.select(F.col("doc_id").alias("i"), F.col("same").alias("s"), F.col("mine").alias("at"))
+    # a table of its own: read twice, and a hot owner's place can be split in the join
+    near = stored(around(texts, ours.union(pairs.select("m.i", "m.s", "m.at"))), "around")
+    side = lambda name: F.when(F.col("m.side") == 0, F.col(f"{name}.before")).otherwise(F.col(f"{name}.after"))
+    at = lambda t, i, s, p: F.col(i).eqNullSafe(F.col(f"{t}.i")) & (F.col(s) == F.col(f"{t}.s")) & (F.col(p) == F.col(f"{t}.at"))
+    met = (
+        pairs.join(near.alias("o"), at("o", "doc_id", "same", "mine"))
+        .join(near.alias("t"), at("t", "m.i", "m.s", "m.at"))
+        .select("doc_id", "same", "start", "m.side", "m.first", side("o").alias("a"), side("t").alias("b"))
+    )
+
+    def work(batch: pa.RecordBatch):
+        size = []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            n = min(len(a), len(b))
+            size.append(next((j for j in range(n) if a[j] != b[j]), n))
+        names = ["doc_id", "same", "start", "side", "first"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(size, pa.int64())], [*names, "size"])
+
+    sizes = by_batch(met, work, f"doc_id {key}, same long, start long, side int, first boolean, size long")
+    best = lambda side, which: F.coalesce(F.max(F.when((F.col("side") == side) & which, F.col("size"))), F.lit(0).cast("long"))
+    owners = F.col("first")
+    more = sizes.groupBy(F.col("doc_id").alias("i"), F.col("same").alias("s"), F.col("start").alias("at")).agg(
+        F.array(best(0, owners), best(0, F.lit(True)), best(1, owners), best(1, F.lit(True))).alias("more")
+    )
+    met = found.join(more, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("same") == F.col("s")) & (F.col("start") == F.col("at")), "left")
+    return met.select("doc_id", "same", "start", "end", "parts", "more")
+
+
+def removals(found: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
+    """doc_id, same, n_repeated (bytes in runs), n_removed, spans (array of start, end), owner_ids."""
+    key = found.schema["doc_id"].dataType.simpleString()
+    per_doc = found.groupBy("doc_id", "same").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "parts", "more"))).alias("them")
+    )
+
+    def joined(pieces: list[tuple[int, int]]) -> list[dict]:
+        out = []
+        for start, end in sorted(pieces):
+            if out and start <= out[-1]["end"]:
+                out[-1]["end"] = max(end, out[-1]["end"])
+            elif end > start:
+                out.append({"start": start, "end": end})
+        return out
+
+    def some(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for them in batch.column("them").to_pylist():
-            repeated = removed = 0
-            spans, ids, run = [], set(), []
-            for c in [*them, None]:
-                if c and run and run[-1]["chunk"] + 1 == c["chunk"]:
-                    run.append(c)
+            repeated, gone, ids = [], [], set()
+            for run in them:
+                left_own, left, right_own, right = run["more"] or (0, 0, 0, 0)
+                if run["end"] - run["start"] + left + right < min_run:
                     continue
-                size = sum(x["length"] for x in run)
-                if size >= min_run:
-                    repeated += size
-                    for x in run:
-                        if not x["owned"]:
-                            removed += x["length"]
-                            ids.add(x["owner_id"])
-                            if spans and spans[-1]["end"] == x["start"]:
-                                spans[-1]["end"] += x["length"]
-                            else:
-                                spans.append({"start": x["start"], "end": x["start"] + x["length"]})
-                run = [c]
-            out.append((repeated, removed, spans, sorted(ids, key=lambda i: (i is None, i))))
+                repeated.append((run["start"] - left, run["end"] + right))
+                last = len(run["parts"]) - 1
+                for j, c in enumerate(run["parts"]):
+                    if not c["owned"]:
+                        start = c["start"] - left_own * (j == 0)
+                        gone.append((start, c["start"] + c["length"] + right_own * (j == last)))
+                        ids.add(c["owner_id"])
+            spans = joined(gone)
+            size = lambda them: sum(x["end"] - x["start"] for x in them)
+            out.append((size(joined(repeated)), size(spans), spans, sorted(ids, key=lambda i: (i is None, i))))
         n, m, spans, ids = zip(*out)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("same"),
@@ -179,17 +306,21 @@ def runs(chunks: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
         f"doc_id {key}, same long, n_repeated long, n_removed long, "
         f"spans array<struct<start:long,end:long>>, owner_ids array<{key}>"
     )
-    return by_batch(per_doc, work, schema)
+    return by_batch(per_doc, in_parts(some), schema)
 
 
 def chunk_dedup(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """doc_id, n_bytes, n_chunks, n_repeated, n_removed, n_spans, spans, owner_ids: a row for each of ``docs``."""
     rows = chunk_rows(docs)
-    found = runs(repeated_chunks(rows), min_run).withColumnsRenamed({"doc_id": "i", "same": "s"})
-    met = rows.join(found, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("same") == F.col("s")), "left")
+    repeats = stored(runs(repeated_chunks(rows)), "runs")
+    body = text_bytes()
+    texts = docs.select("doc_id", F.xxhash64(body).alias("same"), body.alias("body"))
+    found = removals(extended(repeats, texts), min_run).withColumnsRenamed({"doc_id": "i", "same": "s"})
+    sizes = rows.select("doc_id", "same", "n_bytes", F.size("chunks").cast("long").alias("n_chunks"))
+    met = sizes.join(found, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("same") == F.col("s")), "left")
     none = F.lit(0).cast("long")
     return met.select(
-        "doc_id", "n_bytes", F.size("chunks").cast("long").alias("n_chunks"),
+        "doc_id", "n_bytes", "n_chunks",
         F.coalesce("n_repeated", none).alias("n_repeated"), F.coalesce("n_removed", none).alias("n_removed"),
         F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("spans", F.from_json(F.lit("[]"), "array<struct<start:long,end:long>>")).alias("spans"),

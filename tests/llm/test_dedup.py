@@ -1,6 +1,7 @@
 """Operators 1, 2, 5 and 6 against brute force."""
 
 import random
+import string
 
 import numpy as np
 import pytest
@@ -174,6 +175,24 @@ def test_chunk_dedup_catches_passages_and_leaves_others(spark):
     assert all(sizes[i] == len(t.encode()) - found[i].n_removed for i, t in holding)
 
 
+def test_chunk_dedup_finds_short_passages_whole(spark):
+    rnd = random.Random(11)
+    pairs, true = [], {}
+    for k in range(40):  # 51 words each, the first 20 passages of the shortest words
+        word = lambda most: "".join(rnd.choice(string.ascii_lowercase) for _ in range(rnd.randint(1, most)))
+        passage = " ".join(word(1 if k < 20 else 9) for _ in range(51))
+        for i in (2 * k, 2 * k + 1):
+            before, after = (" ".join(word(9) for _ in range(rnd.randint(5, 60))) for _ in range(2))
+            edge = "<>"[i % 2]  # the texts differ right beside the passage
+            pairs.append((i, f"{before}{edge}{passage}{edge}{after}"))
+            true[i] = (len(before) + 1, len(before) + 1 + len(passage))
+    found = {r.doc_id: r for r in chunk.chunk_dedup(frame(spark, pairs)).collect()}
+    for i, (start, end) in true.items():
+        assert found[i].n_repeated == end - start
+        assert [tuple(s) for s in found[i].spans] == ([(start, end)] if i % 2 else [])
+        assert found[i].owner_ids == ([i - 1] if i % 2 else [])
+
+
 def test_chunk_dedup_odd_rows(odd, none, clashing):
     found = rows(chunk.chunk_dedup(odd).select("doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed"))
     assert len(found) == len(ODD)
