@@ -117,6 +117,15 @@ class TokenIds(WordTable):
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def _differences(counts: list[int]) -> bytes:
+    """The steps of running counts (of any size) as 16-bit integers, checked to hold them."""
+    steps = np.diff(np.array(counts, np.int64))
+    narrow = steps.astype("<i2")
+    if (narrow != steps).any():
+        raise OverflowError("one code point changes a token count by more than 16 bits hold")
+    return narrow.tobytes()
+
+
 class PrefixCounts(WordTable):
     """For each code point, how many tokens the prefix that ends with it has more
     than the one before, as little-endian signed 16-bit integers.
@@ -208,13 +217,13 @@ class PrefixCounts(WordTable):
                         prefixes[text] = state
                 states.append(state)
             counts.append(states[j][2])
-        return np.diff(np.array(counts, "<i2")).tobytes()
+        return _differences(counts)
 
     def _odd(self, piece: str) -> bytes:
         counts = [0]
         for i in range(1, len(piece) + 1):
             counts.append(len(self.tokenizer.encode(piece[:i], add_special_tokens=False).ids))
-        return np.diff(np.array(counts, "<i2")).tobytes()
+        return _differences(counts)
 
 
 _TABLES: dict[tuple[type, str], WordTable] = {}

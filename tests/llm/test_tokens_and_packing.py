@@ -33,6 +33,22 @@ def test_ids_and_prefixes_equal_the_library(library, docs):
             assert found[i] == len(library.encode(text[: i + 1], add_special_tokens=False).ids)
 
 
+def test_prefix_counts_beyond_16_bits(library, monkeypatch):
+    table = PrefixCounts(default_path())
+    word = "".join(chr(97 + i * i * 7919 % 26) for i in range(100_000)) + "日本語文" * 15_000
+    want = len(library.encode(word, add_special_tokens=False).ids)
+    found = np.frombuffer(table.of_text(word), "<i2")
+    assert want > 40_000 and len(found) == len(word) and found.sum(dtype=np.int64) == want
+
+    class OnePerCodePoint:  # the real one would take hours for every prefix of such a piece
+        def encode(self, piece, add_special_tokens):
+            return type("Encoding", (), {"ids": range(len(piece))})
+
+    monkeypatch.setattr(table, "tokenizer", OnePerCodePoint())
+    piece = "e\u0301" * 20_500  # not NFC
+    assert (np.frombuffer(table.of_text(piece), "<i2") == 1).all() and len(table.of_text(piece)) == 82_000
+
+
 def test_token_counts(library, odd, none, clashing, docs):
     for df in (docs, odd):
         want = []
