@@ -15,11 +15,13 @@ reduction tree: blocks of about ``BLOCK`` documents of one source are
 reduced to one fraction each, then blocks of these, until one is left per
 source, which is rounded at random. So a hot source is spread over as many
 tasks as it has blocks, and the words taken miss a target by at most one
-document. The random numbers are hashes of the documents' ids: a rerun gives
-the same mix.
+document (in ``mix_documents``, by at most one group of rows equal in every
+column). The random numbers are hashes of the documents' ids and of the numbers
+of equal rows: a rerun gives the same mix.
 
-Defined results: a NULL or empty text has size 0 and takes 0; identical rows
-(same id, source and size) share one decision; NULL ids and sources are values
+Defined results: a NULL or empty text has size 0 and takes 0; rows of
+the same id, source and size are numbered and decided one by one, and rows equal
+in every column share one decision in ``mix_documents``; NULL ids and sources are values
 like others; of the columns only doc_id, text and source are read, so others
 may have any name; an empty table gives an empty one.
 """
@@ -36,6 +38,8 @@ from finlake.llm.common import WORD, packed, stored
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BLOCK = 64
+#: Equal rows numbered at a time.
+NUMBERED = 4096
 #: A fraction this near to 0 or 1 counts as 0 or 1.
 NEAR = 1e-9
 
@@ -173,11 +177,15 @@ def mix(units: DataFrame, keys: list[str], weights: tuple[int, ...] = WEIGHTS, c
 def mix_rows(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies: a row for each of ``docs``."""
     rows = docs.select("doc_id", "source", words().alias("words"))
-    units = rows.groupBy("doc_id", "source", "words").agg(F.count(F.lit(1)).alias("times"))
-    keys = ["doc_id", "words", "times"]
-    mixed = mix(units.withColumn("size", F.col("words") * F.col("times")), keys)
-    each = mixed.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-    return each.select(
+    times = rows.groupBy("doc_id", "source", "words").agg((F.count(F.lit(1)) - 1).alias("last"))
+    # equal rows are numbered in blocks that are dealt out, so that no task makes all of a hot key's
+    blocks = times.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / NUMBERED))))
+    dealt = blocks.repartition("doc_id", "source", "words", "block")
+    first = F.col("block") * NUMBERED
+    numbers = F.sequence(first, F.least(F.col("last"), first + NUMBERED - 1))
+    units = dealt.select("doc_id", "source", "words", F.explode(numbers).alias("number"))
+    mixed = mix(units.withColumn("size", F.col("words")), ["doc_id", "words", "number"])
+    return mixed.select(
         "doc_id", F.col("words").alias("size"), "source_size", "target",
         (F.col("copies") * F.col("words")).alias("taken"), "copies",
     )

@@ -231,3 +231,14 @@ def test_pipeline_of_odd_rows(spark, odd, none, sf_dir, tmp_path):
         labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
         found = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
         assert (found.count() > 0) == (name == "odd")
+
+
+def test_equal_keys_are_decided_one_by_one(spark):
+    """400 different texts without an id, of five words each, and a source beside them."""
+    texts = [(None, f"{i} b c d e", None, "a", None) for i in range(400)]
+    texts += [(i, "one two three " * 20, None, "b", None) for i in range(30)]
+    found = mixing.mix_rows(spark.createDataFrame(texts, brute.SCHEMA).repartition(3)).collect()
+    assert len(found) == len(texts)
+    for size, most in ((5, 5), (60, 60)):
+        of = [r for r in found if r["size"] == size]
+        assert abs(sum(r.taken for r in of) - of[0].target) <= most
