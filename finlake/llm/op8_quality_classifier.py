@@ -110,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     """What scoring needs: two dictionaries and the curve, or a constant."""
     rows = training_rows(docs, labels)
     if len({q for q, _, _ in rows}) < 2:
-        return {"constant": float(np.mean([q for q, _, _ in rows])) if rows else 0.5}
+        return {"constant": 0.5}  # nothing to tell good from bad by
     parts = {(q, h): [t for a, b, t in rows if (a, b) == (q, h)] for q in (0, 1) for h in (0, 1)}
     good, bad = (dictionary(parts[q, 0] or parts[q, 1]) for q in (1, 0))
     seen = [(q, t) for q in (0, 1) for t in parts[q, 1] or parts[q, 0]]
@@ -159,8 +159,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``threshold``."""
+    """The rows of ``docs`` whose score reaches ``threshold``; all of them where the labels train no classifier."""
     model = train(docs, labels)
+    if "constant" in model:
+        return docs
 
     def work(batch: pa.RecordBatch):
         yield batch.filter(pa.array(text_scores(model, batch) >= threshold))

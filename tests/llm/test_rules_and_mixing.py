@@ -242,3 +242,9 @@ def test_equal_keys_are_decided_one_by_one(spark):
     for size, most in ((5, 5), (60, 60)):
         of = [r for r in found if r["size"] == size]
         assert abs(sum(r.taken for r in of) - of[0].target) <= most
+
+
+def test_one_kind_of_label_rejects_nothing(spark, odd):
+    labels = spark.createDataFrame([(i, 0) for i in range(1, 14)], "doc_id long, quality int")
+    assert quality.keep_good(odd, labels).count() == odd.count()
+    assert {r.score for r in quality.quality_scores(odd, labels).collect()} == {0.5}
