@@ -17,6 +17,9 @@ from finlake.llm import (
     op8_quality_classifier,
     op9_quality_rules,
     op10_url_filter,
+    op11_periodic_runs,
+    op12_fill_in_middle,
+    op13_language_id,
 )
 from finlake.llm.common import table
 
@@ -63,6 +66,19 @@ def op10_url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_url_filter.filter_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = op11_periodic_runs.with_planted_periods(table(spark, sf_dir, "documents"))
+    return op11_periodic_runs.run_digests(op11_periodic_runs.periodic_runs(docs))
+
+
+def op12_fim_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_fill_in_middle.fim_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_language_id.predicted_languages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_query,
@@ -75,6 +91,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": op8_quality_query,
         "op9_quality_rules": op9_rules_query,
         "op10_url_filter": op10_url_query,
+        "op11_periodic_runs": op11_runs_query,
+        "op12_fill_in_middle": op12_fim_query,
+        "op13_language_id": op13_language_query,
     }
 
 
@@ -85,4 +104,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_ngram_jaccard": op5_ngram_join.SQL,
         "op9_quality_rules": op9_quality_rules.SQL,
         "op10_url_filter": op10_url_filter.SQL,
+        "op12_fill_in_middle": op12_fill_in_middle.SQL,
     }
