@@ -36,7 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--root", required=True, help="lake root on shared storage")
     p.add_argument("--sf-dir", help="folder of the test tables to derive landing files from")
     p.add_argument("--master", help="Spark master (default: from the environment)")
-    p.add_argument("--full", action="store_true", help="rebuild and replace every table after bronze whole")
+    p.add_argument("--full", action="store_true", help="rebuild and replace every table whole (all: from the landing files on)")
     p.add_argument("--org")
     p.add_argument("--services", help="comma-separated")
     p.add_argument("--start")
@@ -89,7 +89,7 @@ def main(argv: list[str] | None = None) -> int:
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # Spark Connect sessions have no SparkContext
         pass
-    paths = P.LakePaths(args.root)
+    paths = P.LakePaths.of(spark, args.root)
     run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     incremental = not args.full
     if args.stage == "stage":

@@ -44,9 +44,15 @@ TOP_SERVICES_DAYS: int = 14
 # original's: it summed doubles, whose last digits depend on the order rows
 # arrive in, so totals changed with the partitioning). 18 digits after the
 # point hold every digit of a per-request cost and of a product of money and
-# rate; a value or total of 1e20 or more fails the job (ANSI overflow), it is never cut.
+# rate; a total of 1e20 or more fails the job (ANSI overflow), it is never cut.
 EXACT_SUM_TYPE: str = "decimal(38,18)"
 
+# The event columns that are summed. A value that is not finite, or of MEASURE_LIMIT or more, cannot be
+# part of an exact sum; such an event goes to quarantine (a sixth rule, ours). The limit leaves
+# room for 100,000 of the largest values in one sum of EXACT_SUM_TYPE.
+SUMMED_MEASURES: tuple[str, ...] = ("value", "cost_usd_increment", "carbon_kg")
+MEASURE_LIMIT: float = 1e15
+
 # --- Fixed values: names of the published gold tables -----------------------
 MART_ORG_DAILY_USAGE = "org_daily_usage_by_service"
 MART_REVENUE_MONTH_LABEL = "services_by_cum_cost_by_org"

@@ -13,15 +13,24 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from finlake.functions.constants import ACCEPTED_SCHEMA_VERSIONS, METRIC_UNITS
+from finlake.functions.constants import ACCEPTED_SCHEMA_VERSIONS, MEASURE_LIMIT, METRIC_UNITS, SUMMED_MEASURES
 
 EVENT_ID_VALID = "is_event_id_valid"
 TIMESTAMP_VALID = "is_valid_timestamp"
 UNIT_PRESENT = "is_unit_valid"
 SCHEMA_VERSION_VALID = "is_schema_version_valid"
 UNIT_MATCHES_METRIC = "is_correct_unit"
+# Ours: the original summed doubles, where one NaN makes a total NaN.
+MEASURES_SUMMABLE = "is_measure_summable"
 QUARANTINE = "is_quarantine"
-RULE_NAMES = [EVENT_ID_VALID, TIMESTAMP_VALID, UNIT_PRESENT, SCHEMA_VERSION_VALID, UNIT_MATCHES_METRIC]
+RULE_NAMES = [
+    EVENT_ID_VALID,
+    TIMESTAMP_VALID,
+    UNIT_PRESENT,
+    SCHEMA_VERSION_VALID,
+    UNIT_MATCHES_METRIC,
+    MEASURES_SUMMABLE,
+]
 
 
 def _decided(rule: Column) -> Column:
@@ -38,8 +47,13 @@ def unit_matches_metric(metric: Column, unit: Column) -> Column:
     return branches.otherwise(F.lit(True))
 
 
+def summable(measure: Column) -> Column:
+    """NULL, or a finite number small enough that many of them add up exactly (NaN is not below the limit)."""
+    return measure.isNull() | (F.abs(measure) < F.lit(MEASURE_LIMIT))
+
+
 def rule_columns() -> dict[str, Column]:
-    """The five rules, by output column name, in evaluation order."""
+    """The rules, by output column name, in evaluation order."""
     value, unit = F.col("value"), F.col("unit")
     return {
         EVENT_ID_VALID: F.col("event_id").isNotNull(),
@@ -49,6 +63,7 @@ def rule_columns() -> dict[str, Column]:
             F.col("schema_version").isin(*ACCEPTED_SCHEMA_VERSIONS)
         ),
         UNIT_MATCHES_METRIC: _decided(unit_matches_metric(F.col("metric"), unit)),
+        MEASURES_SUMMABLE: reduce(lambda a, b: a & b, [summable(F.col(m)) for m in SUMMED_MEASURES]),
     }
 
 

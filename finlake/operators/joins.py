@@ -12,6 +12,10 @@ a retried task salts the same way); the dimension rows of a hot key are
 repeated once per bucket; every other key has salt 0. The join then runs on
 (key, salt), each bucket in its own task.
 
+``left_join`` needs none of this where the dimension is small: it measures the dimension's
+bytes (one aggregated row) and broadcasts it up to ``BROADCAST_BYTES``, so that the facts are neither
+shuffled nor counted; a larger dimension takes the salted join.
+
 Fact rows with a NULL key can match nothing, so they get a salt spread over
 ``NULL_SPREAD`` values instead of all meeting in the task of salt 0.
 
@@ -38,9 +42,28 @@ MOST_HOT_KEYS = 100_000
 # over this many salts so that a NULL-heavy key does not meet in one task.
 NULL_SPREAD = 1 << 16
 
+# A dimension of at most so many bytes is broadcast.
+BROADCAST_BYTES = 32 << 20
+
 _SALT, _BUCKETS = "_salt", "_buckets"
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows of ``df`` take in memory: its text, and 16 bytes a value."""
+    size = F.lit(0).cast("long")
+    for c in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
+def left_join(facts: DataFrame, dim: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
+    """``facts LEFT JOIN dim USING (keys)`` for a dimension unique on ``keys``: broadcast where its
+    measured size allows, salted otherwise."""
+    if measured_bytes(dim) <= BROADCAST_BYTES:
+        return facts.join(F.broadcast(dim), keys, "left")
+    return salted_left_join(facts, dim, keys, hot_rows or HOT_ROWS)
+
+
 def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, and the number of buckets each needs."""
     counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

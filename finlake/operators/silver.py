@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from finlake.functions.measures import carbon_kept, exact_total, genai_tokens_kept, metric_columns
 from finlake.operators.dedup import dedup_by_key, distinct_rows
-from finlake.operators.joins import HOT_ROWS, hot_keys, salted_left_join
+from finlake.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, measured_bytes, salted_left_join
 
 USAGE_KEY = ["org_id", "service", "usage_date"]
 RESOURCE_KEY = ["org_id", "resource_id", "region", "service"]
@@ -73,15 +73,20 @@ def enrich_events(
     """Events LEFT JOIN organisations (org_id) LEFT JOIN resources (four keys).
 
     Both dimensions are unique on their join keys (cleaned above), so the joins
-    never add rows. No broadcast hint: AQE broadcasts a dimension whose
-    measured size is under the threshold; otherwise the join is a sort-merge
-    join on (key, salt) in which a hot organisation or resource is spread over
-    several tasks (``finlake.operators.joins``).
+    never add rows. A dimension whose measured size allows it is broadcast; the join with
+    a larger one is a sort-merge join on (key, salt), in which a hot
+    organisation or resource is spread over several tasks (``finlake.operators.joins``).
     """
+    small = {name: measured_bytes(dim) <= BROADCAST_BYTES for name, dim in (("orgs", orgs), ("resources", resources))}
     # The org join neither adds nor drops rows, so the hot resource keys can be
     # counted on the events themselves rather than on the joined rows.
-    hot_res = hot_keys(events, RESOURCE_KEY, hot_rows)
-    with_orgs = salted_left_join(events, orgs, ["org_id"], hot_rows)
+    hot_res = None if small["resources"] else hot_keys(events, RESOURCE_KEY, hot_rows)
+    if small["orgs"]:
+        with_orgs = events.join(F.broadcast(orgs), ["org_id"], "left")
+    else:
+        with_orgs = salted_left_join(events, orgs, ["org_id"], hot_rows)
+    if small["resources"]:
+        return with_orgs.join(F.broadcast(resources), RESOURCE_KEY, "left")
     return salted_left_join(with_orgs, resources, RESOURCE_KEY, hot_rows, hot=hot_res)
 
 

@@ -22,7 +22,7 @@ from finlake import schemas
 from finlake.functions import rules
 from finlake.functions.measures import as_double
 from finlake.operators import audit, lookups, marts, quality, silver
-from finlake.operators.joins import salted_left_join
+from finlake.operators.joins import left_join
 from finlake.plans.parallel import run_parallel
 from finlake.session import run_dir
 from finlake.sources import fixtures
@@ -185,13 +185,13 @@ def q_silver_metric_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_join_events_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     orgs = silver.orgs_clean(fixtures.customers_orgs(spark, sf_dir))
     ev = events_good(spark, sf_dir).select("event_id", "org_id")
-    return salted_left_join(ev, orgs, ["org_id"])
+    return left_join(ev, orgs, ["org_id"])
 
 
 def q_join_events_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = silver.resources_clean(fixtures.resources(spark, sf_dir))
     ev = events_good(spark, sf_dir).select("event_id", *silver.RESOURCE_KEY)
-    return salted_left_join(ev, res, silver.RESOURCE_KEY)
+    return left_join(ev, res, silver.RESOURCE_KEY)
 
 
 def q_silver_usage_events_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

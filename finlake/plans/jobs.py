@@ -9,13 +9,17 @@ read back as a DataFrame.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlake.functions import rules
 from finlake.operators import lookups, silver
+from finlake.operators.quality import dedup_arrivals, with_quality_flags
 from finlake.plans import catalog as C
+from finlake.plans import pipeline as P
 from finlake.plans.pipeline import (
     LakePaths,
     build_marts,
@@ -26,10 +30,11 @@ from finlake.plans.pipeline import (
     run_all,
     stage_batch_landing,
     stage_event_landing,
+    update_events,
 )
 from finlake.plans.pipeline import ingest_events as run_event_ingest
 from finlake.session import run_dir
-from finlake.sources import fixtures, landing, lake, serving
+from finlake.sources import fixtures, landing, lake, marks, serving
 from finlake.streaming import ingest
 
 RUN_TS = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -144,9 +149,9 @@ def q_stream_bounded_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.usage_events_raw(spark, sf_dir)
     late = F.coalesce(F.col("timestamp") < F.lit(LATE_BEFORE), F.lit(False))
     landing.write_jsonl(raw.where(~late), paths.landing_stream + "/first")
-    run_event_ingest(spark, paths, bounded=True)
+    run_event_ingest(spark, paths, late="drop")
     landing.write_jsonl(raw.where(late), paths.landing_stream + "/second")
-    run_event_ingest(spark, paths, bounded=True)
+    run_event_ingest(spark, paths, late="drop")
     good = lake.read_bronze_events(spark, paths.bronze_events)
     rows = good.unionByName(lake.read_bronze_events(spark, paths.quarantine))
     return rows.select(*C.EVENT_COLUMNS, *C.FLAG_COLUMNS)
@@ -182,7 +187,7 @@ def q_lake_replay_and_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.usage_events_raw(spark, sf_dir)
     stage_batch_landing(spark, sf_dir, paths)
     landing.write_jsonl(raw, paths.landing_stream + "/first")
-    ingest_all(spark, paths, RUN_TS, bounded=True)
+    ingest_all(spark, paths, RUN_TS, late="drop")
     build_silver(spark, paths, RUN_TS)
     replay = raw.where("CAST(event_id AS BIGINT) % 7 = 0").withColumn(
         "timestamp", F.col("timestamp") + F.expr("interval 40 days")
@@ -192,12 +197,192 @@ def q_lake_replay_and_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = F.when(F.col("org_id").cast("long") % 10 == 3, F.concat("org_name", F.lit(" Ltd")))
     orgs = orgs.withColumn("org_name", F.coalesce(renamed, F.col("org_name")))
     landing.write_csv_table(orgs, paths.landing, "customers_orgs.csv")
-    ingest_all(spark, paths, RUN_TS, bounded=True)
+    ingest_all(spark, paths, RUN_TS, late="drop")
     build_silver(spark, paths, RUN_TS)
     clean = spark.read.parquet(paths.silver("usage_events_clean"))
     return clean.select("event_id", "timestamp", "usage_date", "org_id", "org_name", "quota")
 
 
+class Stopped(RuntimeError):
+    """What stands for a lost driver in ``lake_failed_and_redone``."""
+
+
+@contextmanager
+def stopped_after(writes: int):
+    """Every run of the lake in this block stops once it has made so many writes."""
+    left = [writes]
+    patched = [(lake, "write_table"), (marks, "put"), (P, "_staged")]
+    before = [getattr(module, name) for module, name in patched]
+
+    def counted(call):
+        def run(*args, **kwargs):
+            if not left[0]:
+                raise Stopped(f"after {writes} writes")
+            left[0] -= 1
+            return call(*args, **kwargs)
+
+        return run
+
+    for (module, name), call in zip(patched, before):
+        setattr(module, name, counted(call))
+    try:
+        yield
+    finally:
+        for (module, name), call in zip(patched, before):
+            setattr(module, name, call)
+
+
+def moved_to_earlier_days(spark: SparkSession, sf_dir: str, paths: LakePaths) -> None:
+    """A further micro-batch with copies of a seventh of the events that carry a time three days earlier."""
+    moved = fixtures.usage_events_raw(spark, sf_dir).where("CAST(event_id AS BIGINT) % 7 = 0")
+    moved = moved.withColumn("timestamp", F.col("timestamp") - F.expr("interval 3 days"))
+    stamps = {"ingest_ts": F.lit(RUN_TS), "date": F.lit("20240201"), "source_file": F.lit("moved"), lake.RAW_LINE: F.lit(None).cast("string")}
+    batch = with_quality_flags(dedup_arrivals(moved).withColumns(stamps))
+    last = ingest.last_batch(spark, paths.bronze_events).last_batch_id
+    ingest.write_split_batch(batch, last + 1, paths.bronze_events, paths.quarantine, "drop", id_buckets=paths.id_buckets)
+
+
+#: Writes after which the runs of the entry below stop, one after the other: days staged; intent recorded; then, in
+#: runs that finish the one before, events replaced, but not the rollup; both replaced, but no progress recorded.
+STOPS = (4, 6, 1, 2)
+
+
+def q_lake_failed_and_redone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published usage mart after a run that moves events to earlier days was stopped at
+    several places, each time redone only as far as the next one."""
+    paths = _paths(spark, "redone")
+    run_all(spark, paths, RUN_TS, sf_dir=sf_dir)
+    moved_to_earlier_days(spark, sf_dir, paths)
+    for writes in STOPS:
+        try:
+            with stopped_after(writes):
+                update_events(spark, paths, RUN_TS)
+        except Stopped:
+            continue
+    update_events(spark, paths, RUN_TS)
+    build_marts(spark, paths)
+    publish_all(spark, paths)
+    return serving.read_published(spark, paths.serving, "org_daily_usage_by_service").drop("last_updated")
+
+
+def q_lake_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published usage mart, with its stamp, after the landing files were corrected and everything was
+    built from them again."""
+    paths = _paths(spark, "refresh")
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    stage_batch_landing(spark, sf_dir, paths)
+    landing.write_jsonl(raw.withColumn("cost_usd_increment", F.col("cost_usd_increment") * 2), paths.landing_stream)
+    run_all(spark, paths, RUN_TS - dt.timedelta(days=1))
+    landing.write_jsonl(raw, paths.landing_stream)
+    run_all(spark, LakePaths.of(spark, paths.root), RUN_TS, full_refresh=True)
+    return serving.read_published(spark, paths.serving, "org_daily_usage_by_service")
+
+
+def q_lake_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every gold table as stored, in one shape: its name, its keys as text, its measures in order."""
+    paths = _paths(spark, "gold")
+    run_all(spark, paths, RUN_TS, sf_dir=sf_dir)
+    parts = []
+    for name, (keys, measures) in GOLD_TABLES.items():
+        gold = spark.read.parquet(paths.gold(name))
+        cols = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (3 - len(keys))
+        nums = [F.col(m).cast("double") for m in measures] + [F.lit(None).cast("double")] * (6 - len(measures))
+        named = [c.alias(f"key_{i}") for i, c in enumerate(cols, 1)] + [c.alias(f"measure_{i}") for i, c in enumerate(nums, 1)]
+        parts.append(gold.select(F.lit(name).alias("table_name"), *named))
+    return reduce(DataFrame.unionByName, parts)
+
+
+GOLD_TABLES = {
+    "org_daily_usage_by_service": (["org_id", "service", "usage_date"], [
+        "daily_cost_usd", "total_requests", "total_cpu_hours", "total_storage_gb_hours", "total_genai_tokens", "total_carbon_kg"]),
+    "services_by_cum_cost_by_org": (["org_id", "month_and_year"], ["revenue_usd", "credits_usd", "tax_usd", "fx_applied"]),
+    "critical_tickets_evolution_sla_rate_daily": (["date"], [
+        "breach_count", "solved_count", "critical_ticket_count", "breach_rate"]),
+    "revenue_by_org_month_usd": (["org_id", "month"], ["revenue_usd", "credits_usd", "tax_usd", "fx_applied"]),
+    "genai_tokens_cost_daily": (["usage_date"], ["total_genai_tokens", "total_genai_cost_usd"]),
+    "genai_tokens_cost_daily_by_org": (["org_id", "usage_date"], ["total_genai_tokens", "total_genai_cost_usd"]),
+}
+
+
+def q_lake_silver_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of every batch table's pass-through copy in the silver layer."""
+    paths = _paths(spark, "copies")
+    stage_batch_landing(spark, sf_dir, paths)
+    ingest_batch(spark, paths, RUN_TS)
+    build_silver(spark, paths, RUN_TS)
+    keys = {"customers_orgs": "org_name", "resources": "resource_id", "billing_monthly": "invoice_id",
+            "support_tickets": "ticket_id", "users": "user_id"}
+    parts = []
+    for name, key in keys.items():
+        copy = lake.read_source_partition(spark, paths.silver("batch_data"), f"{name}.csv")
+        parts.append(copy.select("source_file", F.col(key).alias("key"), "org_id"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_stream_old_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs after replays that are older than the state: three drops, the last one of them everything
+    once more, with a state that keeps an id no longer than its own micro-batch."""
+    paths = _paths(spark, "old-replays")
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    keyed = raw.where(F.col("event_id").isNotNull() & F.col("timestamp").isNotNull())
+    day = F.dayofmonth("timestamp")
+    for name, rows in (("a", keyed.where(day <= 15)), ("b", keyed.where(day.between(16, 20))), ("c", raw)):
+        landing.write_jsonl(rows, f"{paths.landing_stream}/{name}")
+        args = (paths.landing_stream, paths.bronze_events, paths.quarantine, paths.stream_checkpoint)
+        ingest.run_ingest_once(spark, *args, state_kept="0 seconds")
+    return _both_outputs(spark, paths)
+
+
+def _both_outputs(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    good = lake.read_bronze_events(spark, paths.bronze_events)
+    rows = good.unionByName(lake.read_bronze_events(spark, paths.quarantine))
+    return rows.select(*C.EVENT_COLUMNS, *C.FLAG_COLUMNS)
+
+
+def q_stream_late_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every event landed when the earlier ones arrive after the later ones, and late rows are put aside."""
+    paths = _paths(spark, "aside")
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    late = F.coalesce(F.col("timestamp") < F.lit(LATE_BEFORE), F.lit(False))
+    for name, rows in (("first", raw.where(~late)), ("second", raw.where(late))):
+        landing.write_jsonl(rows, f"{paths.landing_stream}/{name}")
+        run_event_ingest(spark, paths, late="aside")
+    places = {"good": paths.bronze_events, "quarantine": paths.quarantine, "late": paths.late_events}
+    found = [lake.read_bronze_events(spark, p).withColumn("landed", F.lit(n)) for n, p in places.items()]
+    return reduce(DataFrame.unionByName, found).select(*C.EVENT_COLUMNS, "landed")
+
+
+def q_stream_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine after lines that break off, and measures that are no finite or no plausible number."""
+    paths = _paths(spark, "refused")
+    raw = fixtures.usage_events_raw(spark, sf_dir).dropDuplicates(["event_id"])
+    n = F.col("event_id").cast("long") % 50
+    odd = F.when(n == 7, F.lit(2e20)).when(n == 9, F.lit(float("nan"))).when(n == 11, F.lit(float("-inf"))).otherwise(F.col("value"))
+    landing.write_jsonl(raw.withColumn("value", odd), f"{paths.landing_stream}/events")
+    broken = raw.where(n == 13).select(F.concat(F.lit('{"event_id": "'), "event_id", F.lit('", "value": ')))
+    broken.write.text(f"{paths.landing_stream}/broken")
+    run_event_ingest(spark, paths)
+    bad = lake.read_quarantine(spark, paths.quarantine)
+    kept = bad.where(F.col(lake.RAW_LINE).isNotNull() | ~F.col(rules.MEASURES_SUMMABLE))
+    return kept.select("event_id", lake.RAW_LINE, rules.MEASURES_SUMMABLE, rules.QUARANTINE)
+
+
+def _in_order(df: DataFrame) -> DataFrame:
+    """A lookup's rows with their place in the order that it returns them in."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
+def q_ordered_sla_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _published(spark, sf_dir, "critical_tickets_evolution_sla_rate_daily")
+    return _in_order(lookups.lookup_sla_evolution(table, None, None)).select("place", "date")
+
+
+def q_ordered_genai_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _published(spark, sf_dir, "genai_tokens_cost_daily_by_org")
+    found = lookups.lookup_genai_tokens(table, C.LOOKUP_ORG, None, None)
+    return _in_order(found).select("place", "usage_date", "org_id")
+
+
 def _published(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A mart written as its serving table and read back as a reader does."""
     root = run_dir(spark, "serving")
@@ -256,6 +441,15 @@ JOB_QUERIES = {
     "silver_tickets_written": q_silver_written("tickets"),
     "lake_incremental_marts": q_lake_incremental_marts,
     "lake_replay_and_rename": q_lake_replay_and_rename,
+    "lake_failed_and_redone": q_lake_failed_and_redone,
+    "lake_full_refresh": q_lake_full_refresh,
+    "lake_gold_tables": q_lake_gold_tables,
+    "lake_silver_copies": q_lake_silver_copies,
+    "stream_old_replays": q_stream_old_replays,
+    "stream_late_aside": q_stream_late_aside,
+    "stream_refused": q_stream_refused,
+    "ordered_sla_evolution": q_ordered_sla_evolution,
+    "ordered_genai_tokens": q_ordered_genai_tokens,
     "serve_publish_roundtrip": q_serve_publish_roundtrip,
     **{f"published_{name}": q_published(name) for name in PUBLISHED},
     "published_lookup_costs_daily": q_published_costs_daily,

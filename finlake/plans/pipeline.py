@@ -5,6 +5,12 @@ its own, and every write is idempotent (dynamic partition overwrite, or
 overwrite of a whole derived table). A full refresh replaces every table after
 bronze whole.
 
+A run of silver that stops anywhere is finished by the next one: its rows and days are
+staged, and the intent to apply them is recorded, before any table changes
+(``update_events``). Progress marks are never lost while they are replaced
+(``finlake.sources.marks``), and each names the full build that it goes on from, so that a
+consumer whose mark names another one starts anew.
+
 All paths are under one root, which on a cluster is shared storage (for the
 tests, a folder under ``spark.checkpoint.dir``).
 """
@@ -12,7 +18,8 @@ tests, a folder under ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -31,17 +38,35 @@ from finlake.functions.constants import (
 from finlake.operators import marts, silver
 from finlake.operators.dedup import dedup_by_key
 from finlake.plans.parallel import run_parallel
-from finlake.sources import fixtures, landing, lake, serving
+from finlake.sources import event_ids, fixtures, landing, lake, marks, serving
 from finlake.streaming import ingest
 
 
+GENERATION = "generation int"
+
+
 @dataclass(frozen=True)
 class LakePaths:
+    """Where a lake's tables are; ``id_buckets`` is fixed for a lake's life (``finlake.sources.event_ids``).
+
+    A full refresh from landing starts a new ``generation`` of what the stream writes, its checkpoint
+    included, beside the old one; ``LakePaths.of`` finds the one in use."""
+
     root: str
+    id_buckets: int = event_ids.ID_BUCKETS
+    generation: int = 0
+
+    @staticmethod
+    def of(spark: SparkSession, root: str, id_buckets: int = event_ids.ID_BUCKETS) -> LakePaths:
+        mark = marks.newest(spark, f"{root.rstrip('/')}/_generation", GENERATION)
+        return LakePaths(root, id_buckets, 0 if mark is None else mark.generation)
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    def _streamed(self, *parts: str) -> str:
+        return self._p(*parts) + (f"_generation_{self.generation}" if self.generation else "")
+
     @property
     def landing(self) -> str:
         return self._p("landing")
@@ -56,15 +81,19 @@ class LakePaths:
 
     @property
     def bronze_events(self) -> str:
-        return self._p("bronze", "usage_events")
+        return self._streamed("bronze", "usage_events")
 
     @property
     def quarantine(self) -> str:
-        return self._p("quarantine", "usage_events_errors")
+        return self._streamed("quarantine", "usage_events_errors")
+
+    @property
+    def late_events(self) -> str:
+        return self._streamed("late", "usage_events")
 
     @property
     def stream_checkpoint(self) -> str:
-        return self._p("checkpoints", "usage_events")
+        return self._streamed("checkpoints", "usage_events")
 
     def silver(self, name: str) -> str:
         return self._p("silver", name)
@@ -125,13 +154,10 @@ def ingest_batch(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) ->
     return list(tables)
 
 
-MARK_SCHEMA = "last_batch_id long"
-
-
 def ingest_events(
     spark: SparkSession,
     paths: LakePaths,
-    bounded: bool = False,
+    late: str = "keep",
     max_files_per_trigger: int = ingest.FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Process the event files present now (the checkpoint remembers them)."""
@@ -141,23 +167,13 @@ def ingest_events(
         paths.bronze_events,
         paths.quarantine,
         paths.stream_checkpoint,
-        bounded=bounded,
+        late=late,
+        late_path=paths.late_events,
+        id_buckets=paths.id_buckets,
         max_files_per_trigger=max_files_per_trigger,
     )
 
 
-def _row(spark: SparkSession, path: str, schema: str) -> Row | None:
-    """The one row of a small state table, or None before it is first written."""
-    try:
-        return spark.read.schema(schema).parquet(path).first()
-    except AnalysisException:
-        return None
-
-
-def _put_row(spark: SparkSession, path: str, schema: str, *values) -> None:
-    spark.createDataFrame([values], schema).coalesce(1).write.mode("overwrite").parquet(path)
-
-
 def new_bronze_events(spark: SparkSession, paths: LakePaths, done: int) -> DataFrame:
     """Bronze good events of the micro-batches after ``done``.
 
@@ -167,16 +183,18 @@ def new_bronze_events(spark: SparkSession, paths: LakePaths, done: int) -> DataF
     by a few glob patterns (``lake.range_globs``), and only its folders are listed.
     """
     root = paths.bronze_events
-    mark = _row(spark, ingest.mark_path(root), MARK_SCHEMA)
-    if mark is None or done < 0:
-        return lake.read_bronze_events(spark, root).where(F.col("batch_id") > F.lit(done))
-    globs = ",".join(lake.range_globs(done + 1, mark.last_batch_id))
-    if not globs:
+    mark = ingest.last_batch(spark, root)
+    globs = None if mark is None or done < 0 else ",".join(lake.range_globs(done + 1, mark.last_batch_id))
+    if globs == "":
         return spark.createDataFrame([], lake.BRONZE_EVENT)
     try:
+        if globs is None:
+            return lake.read_bronze_events(spark, root).where(F.col("batch_id") > F.lit(done))
         reader = spark.read.schema(lake.BRONZE_EVENT).option("basePath", root)
         return reader.parquet(f"{root}/batch_id={{{globs}}}")
-    except AnalysisException:  # the batches wrote no folder
+    except AnalysisException as error:  # nothing was ingested, or the batches wrote no folder
+        if not marks.is_missing(error):
+            raise
         return spark.createDataFrame([], lake.BRONZE_EVENT)
 
 
@@ -221,104 +239,183 @@ def build_silver(
     run_parallel({"billing": billing, "tickets": tickets, "events": events, **copies})
 
 
-PROGRESS_SCHEMA = "last_batch_id long, run_no long, run_ts timestamp"
-TOUCHED_SCHEMA = "usage_date date, run_no long"
-RUN_SCHEMA = "run_no long"
+#: What silver has taken from bronze: the run, the full build it goes on from, its last micro-batch.
+PROGRESS = "run_no long, base string, last_batch_id long, run_ts timestamp"
+#: A run that is staged and about to be applied; ``full`` is a build from all of bronze.
+INTENT = f"{PROGRESS}, full boolean"
+#: What gold or serving has taken: the run of silver, and the full build that one goes on from.
+TAKEN = "run_no long, base string"
 BY_DAY = ["usage_date"]
+#: Days that are read by their folders' names; more of them are read with a semi-join.
+MOST_DAYS = 10_000
+DIMENSIONS = {
+    "orgs": ("customers_orgs.csv", silver.orgs_clean, ["org_id"]),
+    "resources": ("resources.csv", silver.resources_clean, silver.RESOURCE_KEY),
+}
 
 
-def _dimensions(spark: SparkSession, paths: LakePaths) -> dict[str, tuple[DataFrame, list[str]]]:
-    """The cleaned dimensions and their keys."""
-    orgs = silver.orgs_clean(bronze_table(spark, paths, "customers_orgs.csv"))
-    resources = silver.resources_clean(bronze_table(spark, paths, "resources.csv"))
-    return {"orgs": (orgs, ["org_id"]), "resources": (resources, silver.RESOURCE_KEY)}
-
-
-def _changed_keys(spark: SparkSession, paths: LakePaths, name: str, dim: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys whose dimension row is not the one that the stored events were enriched with."""
-    before = spark.read.parquet(paths.silver(f"_dimension_{name}")).select(*dim.columns)
-    return dim.exceptAll(before).unionByName(before.exceptAll(dim)).select(*keys).distinct()
+def _staging(paths: LakePaths, run_no: int, name: str) -> str:
+    """A staged table of a run. Runs alternate between two areas, so that the run before, whose dimensions
+    the stored events were enriched with, is still there."""
+    return paths.silver(f"_staging/slot={run_no % 2}/{name}")
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
     """Written beside the tables and read back: the tables it was read from can be overwritten."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _stage_dimensions(spark: SparkSession, paths: LakePaths, run_no: int) -> dict[str, DataFrame]:
+    """The cleaned dimensions as this run uses them."""
+    return run_parallel(
+        {
+            name: lambda name=name, f=file_name, clean=clean: _staged(
+                clean(bronze_table(spark, paths, f)), _staging(paths, run_no, name)
+            )
+            for name, (file_name, clean, _) in DIMENSIONS.items()
+        }
+    )
+
+
+def _days_of_changed_dimensions(spark: SparkSession, paths: LakePaths, run_no: int, dims: dict[str, DataFrame]) -> list[DataFrame]:
+    """The days with events of an organisation or a resource whose row is not the one they were enriched
+    with. The rollup knows them (org, service, day), so the events are not read; where nothing
+    changed, nothing is."""
+    found = []
+    for name, dim in dims.items():
+        before = spark.read.schema(dim.schema).parquet(_staging(paths, run_no - 1, name))
+        changed = dim.exceptAll(before).unionByName(before.exceptAll(dim))
+        keys = [k for k in DIMENSIONS[name][2] if k in silver.USAGE_KEY]
+        changed = changed.select(*keys).distinct()
+        if not changed.isEmpty():
+            daily = spark.read.parquet(paths.silver("daily_usage"))
+            found.append(daily.join(changed, keys, "left_semi").select("usage_date"))
+    return found
+
+
+def _days_of_copies(spark: SparkSession, paths: LakePaths, base: DataFrame) -> DataFrame:
+    """The days that hold a copy of an id of ``base``, from the stream's id index: only the buckets of
+    these ids are read. Without an index (bronze was written by other means) the stored ids are."""
+    if event_ids.has_index(spark, paths.bronze_events, paths.id_buckets):
+        seen = event_ids.known(spark, paths.bronze_events, base, paths.id_buckets)
+    else:
+        seen = spark.read.parquet(paths.silver("usage_events_clean"))
+    if seen is None:
+        return base.select("usage_date").where(F.lit(False))
+    return seen.join(base.select("event_id"), "event_id", "left_semi").select("usage_date")
+
+
+def stored_days(spark: SparkSession, path: str, days: DataFrame, schema=None) -> DataFrame | None:
+    """The rows of a table partitioned by ``usage_date`` on the given days, read from these days' folders
+    alone (None: there are none). More than ``MOST_DAYS`` days are not named to the driver: the table is
+    joined with them."""
+    named = [r.usage_date for r in days.select("usage_date").distinct().limit(MOST_DAYS + 1).collect()]
+    if len(named) > MOST_DAYS:
+        return spark.read.parquet(path).join(days, "usage_date", "left_semi")
+    return lake.read_partitions(spark, path, "usage_date", named, schema)
+
+
 def update_events(
     spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, incremental: bool = True
 ) -> int:
     """Bring silver events and the daily rollup up to date with bronze and the dimensions.
 
-    1. Read the micro-batches after the recorded one.
-    2. Find the usage days to rewrite: those of the new rows, those that hold
+    1. Finish the run before, if it stopped after it had recorded its intent.
+    2. Read the micro-batches after the recorded one.
+    3. Find the usage days to rewrite: those of the new rows, those that hold
        another copy of a new id (a replay can carry another time), and those
        with events whose organisation or resource row changed.
-    3. Merge the days' stored events with the new ones, one row per id, and
-       enrich them again. The result is staged under the lake root, since its
-       inputs are about to be overwritten.
-    4. Replace those days of the events, then of the rollup; append the days to
-       the list that gold and serving consume, each with its own mark; and only then record the
-       batch. A run that fails midway is simply redone.
-
-    A full build (``incremental=False``, or the first one) replaces both tables
-    whole. Either way the result equals a rebuild from all of bronze. Returns
-    the number of new bronze rows.
+    4. Merge the days' stored events with the new ones, one row per id, and
+       enrich them again. Days, rows and dimensions are staged under the lake root.
+    5. Record the intent: from here on the run is finished by whoever comes next.
+    6. Replace those days of the events, then of the rollup; add the days to
+       the list that gold and serving consume, each with its own mark; record the progress.
+
+    A run that stops before 5 has changed nothing and is done anew; one that stops later
+    is applied again from what it staged, with the same result. A full build
+    (``incremental=False``, the first one, or without a mark) replaces both tables whole, under
+    a new name, so that every consumer takes all of it. Either way the result
+    equals a rebuild from all of bronze. Returns the number of new bronze rows.
     """
-    progress = _row(spark, paths.silver("_progress"), PROGRESS_SCHEMA)
-    full = not incremental or progress is None
+    progress = marks.newest(spark, paths.silver("_progress"), PROGRESS)
+    intent = marks.newest(spark, paths.silver("_intent"), INTENT)
+    last_no = max((m.run_no for m in (progress, intent) if m is not None), default=0)
+    stopped = intent is not None and (progress is None or (intent.run_no, intent.base) != (progress.run_no, progress.base))
+    if stopped and not intent.full and progress is not None and incremental:
+        _apply(spark, paths, intent)
+        progress = intent
+    full = not incremental or progress is None or (stopped and intent.full)
     new = new_bronze_events(spark, paths, -1 if full else progress.last_batch_id)
     top = new.agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
     if full and top.b is None:
         return 0
-    dims = _dimensions(spark, paths)
+    run_no = last_no + 1
+    last = int(top.b) if top.b is not None else progress.last_batch_id
+    base_name = uuid.uuid4().hex if full else progress.base
+    dims = _stage_dimensions(spark, paths, run_no)
     base = silver.usage_events_base(new.drop("batch_id", "date"))
-    events_path, daily_path = paths.silver("usage_events_clean"), paths.silver("daily_usage")
-    run_no = 1 if progress is None else progress.run_no + 1
 
     def enriched(events: DataFrame) -> DataFrame:
-        return silver.enrich_events(events, dims["orgs"][0], dims["resources"][0])
+        return silver.enrich_events(events, dims["orgs"], dims["resources"])
 
     if full:
+        marks.advance(spark, paths.silver("_intent"), INTENT, run_no, base_name, last, run_ts, True)
+        events_path = paths.silver("usage_events_clean")
         lake.write_table(enriched(base), events_path, BY_DAY, replace_all=True)
         daily = silver.daily_usage(spark.read.parquet(events_path), run_ts)
-        lake.write_table(daily, daily_path, BY_DAY, replace_all=True)
-        touched = spark.createDataFrame([(None,)], "usage_date date")  # NULL: every day
-    else:
-        stored = spark.read.parquet(events_path)
-        found = [base.select("usage_date"), stored.join(base.select("event_id"), "event_id", "left_semi").select("usage_date")]
-        for name, (dim, keys) in dims.items():
-            changed = _changed_keys(spark, paths, name, dim, keys)
-            found.append(stored.join(changed, keys, "left_semi").select("usage_date"))
-        touched = _staged(reduce(DataFrame.unionByName, found).distinct(), paths.silver("_staging_days"))
-        if touched.isEmpty():
-            return 0
-        old = stored.join(touched, "usage_date", "left_semi").select(*base.columns)
-        merged = dedup_by_key(old.unionByName(base), ["event_id"], order_by=["timestamp"], keep_null_keys=False)
-        days = _staged(enriched(merged), paths.silver("_staging_events"))
-        lake.replace_days(days, events_path, touched)
-        lake.replace_days(silver.daily_usage(days, run_ts), daily_path, touched)
-
-    for name, (dim, _) in dims.items():
-        _staged(dim, paths.silver(f"_dimension_{name}"))
-    touched.coalesce(1).write.mode("overwrite").parquet(paths.silver("_touched") + f"/run_no={run_no}")
-    last = top.b if top.b is not None else progress.last_batch_id
-    _put_row(spark, paths.silver("_progress"), PROGRESS_SCHEMA, int(last), run_no, run_ts)
+        lake.write_table(daily, paths.silver("daily_usage"), BY_DAY, replace_all=True)
+        every = spark.createDataFrame([(None,)], "usage_date date")  # NULL: every day
+        _record(spark, paths, marks.newest(spark, paths.silver("_intent"), INTENT), every)
+        return int(top.n)
+
+    found = _days_of_changed_dimensions(spark, paths, run_no, dims)
+    if top.n:
+        base = _staged(base, _staging(paths, run_no, "new"))
+        found += [base.select("usage_date"), _days_of_copies(spark, paths, base)]
+    if not found:
+        return 0
+    days = _staged(reduce(DataFrame.unionByName, found).distinct().coalesce(1), _staging(paths, run_no, "days"))
+    old = stored_days(spark, paths.silver("usage_events_clean"), days)
+    merged = base if old is None else old.select(*base.columns).unionByName(base)
+    merged = dedup_by_key(merged, ["event_id"], order_by=["timestamp"], keep_null_keys=False)
+    _staged(enriched(merged), _staging(paths, run_no, "events"))
+    marks.advance(spark, paths.silver("_intent"), INTENT, run_no, base_name, last, run_ts, False)
+    _apply(spark, paths, marks.newest(spark, paths.silver("_intent"), INTENT))
     return int(top.n)
 
 
-def touched_between(spark: SparkSession, paths: LakePaths, after: int, upto: int) -> DataFrame | None:
+def _apply(spark: SparkSession, paths: LakePaths, intent: Row) -> None:
+    """Put a staged run's rows in place (again, with the same result, if it was stopped here)."""
+    days = spark.read.parquet(_staging(paths, intent.run_no, "days"))
+    rows = spark.read.parquet(_staging(paths, intent.run_no, "events"))
+    lake.replace_days(rows, paths.silver("usage_events_clean"), days)
+    lake.replace_days(silver.daily_usage(rows, intent.run_ts), paths.silver("daily_usage"), days)
+    _record(spark, paths, intent, days)
+
+
+def _record(spark: SparkSession, paths: LakePaths, intent: Row, days: DataFrame) -> None:
+    """The run's days for its consumers, then its progress."""
+    days.coalesce(1).write.mode("overwrite").parquet(_touched(paths, intent.base) + f"/run_no={intent.run_no}")
+    done = (intent.run_no, intent.base, intent.last_batch_id, intent.run_ts)
+    marks.advance(spark, paths.silver("_progress"), PROGRESS, *done)
+
+
+def _touched(paths: LakePaths, base: str) -> str:
+    return paths.silver(f"_touched/base={base}")
+
+
+def touched_between(spark: SparkSession, paths: LakePaths, base: str, after: int, upto: int) -> DataFrame | None:
     """The days that the silver runs ``after`` (exclusive) to ``upto`` rewrote; None: every day."""
-    runs = spark.read.schema(TOUCHED_SCHEMA).parquet(paths.silver("_touched"))
-    days = runs.where(F.col("run_no").between(after + 1, upto)).select("usage_date").distinct()
+    runs = ",".join(lake.range_globs(after + 1, upto))
+    days = spark.read.schema("usage_date date").parquet(f"{_touched(paths, base)}/run_no={{{runs}}}").distinct()
     return None if days.where(F.col("usage_date").isNull()).count() else days
 
 
 def touched_days(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
     """The days that the last silver run with new data rewrote; None: every day."""
-    run = _row(spark, paths.silver("_progress"), PROGRESS_SCHEMA).run_no
-    return touched_between(spark, paths, run - 1, run)
+    run = marks.newest(spark, paths.silver("_progress"), PROGRESS)
+    return touched_between(spark, paths, run.base, run.run_no - 1, run.run_no)
 
 
 # ------------------------------------------------------------------ gold
@@ -327,14 +424,20 @@ def touched_days(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
 DAY_MARTS = (MART_ORG_DAILY_USAGE, MART_GENAI_DAILY, MART_GENAI_DAILY_BY_ORG)
 
 
-def _days_to_do(spark: SparkSession, paths: LakePaths, mark: str, upto: int, incremental: bool) -> tuple[bool, DataFrame | None]:
-    """Whether anything is to be done since the mark, and the days (None: every day)."""
-    seen = _row(spark, mark, RUN_SCHEMA) if incremental else None
-    if seen is None:
+def _days_to_do(spark: SparkSession, paths: LakePaths, seen: Row | None, source: Row, incremental: bool) -> tuple[bool, DataFrame | None]:
+    """Whether a consumer that has taken ``seen`` has anything to take from ``source``, and which days (None:
+    every day). Another full build than the one it knows, or a run number that went back, is taken whole."""
+    if not incremental or seen is None or seen.base != source.base or seen.run_no > source.run_no:
         return True, None
-    if seen.run_no >= upto:
+    if seen.run_no == source.run_no:
         return False, None
-    return True, touched_between(spark, paths, seen.run_no, upto)
+    return True, touched_between(spark, paths, source.base, seen.run_no, source.run_no)
+
+
+def _on_days(spark: SparkSession, path: str, table: DataFrame, days: DataFrame) -> DataFrame:
+    """The table's rows on these days, from their folders alone."""
+    rows = stored_days(spark, path, days, table.schema)
+    return table.where(F.lit(False)) if rows is None else rows
 
 
 def build_marts(
@@ -349,7 +452,7 @@ def build_marts(
     at every ingest).
     """
     mark = paths.gold("_progress")
-    progress = _row(spark, paths.silver("_progress"), PROGRESS_SCHEMA)
+    progress = marks.newest(spark, paths.silver("_progress"), PROGRESS)
     bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
     tickets = spark.read.parquet(paths.silver("support_tickets_clean"))
     whole = {
@@ -358,11 +461,13 @@ def build_marts(
         MART_REVENUE_MONTH: marts.revenue_by_org_month(bill),
     }
     tasks = {n: lambda n=n, df=df: lake.write_table(df, paths.gold(n)) for n, df in whole.items()}
-    due, days = (False, None) if progress is None else _days_to_do(spark, paths, mark, progress.run_no, incremental)
+    due, days = False, None
+    if progress is not None:
+        due, days = _days_to_do(spark, paths, marks.newest(spark, mark, TAKEN), progress, incremental)
     if due:
         daily = spark.read.parquet(paths.silver("daily_usage"))
         if days is not None:
-            daily = daily.join(days, "usage_date", "left_semi")
+            daily = _on_days(spark, paths.silver("daily_usage"), daily, days)
         by_day = {
             MART_ORG_DAILY_USAGE: marts.org_daily_usage_by_service(daily),
             MART_GENAI_DAILY: marts.genai_tokens_cost_daily(daily),
@@ -372,7 +477,7 @@ def build_marts(
             tasks[n] = lambda n=n, df=df: lake.replace_days(df, paths.gold(n), days)
     run_parallel(tasks)
     if due:
-        _put_row(spark, mark, RUN_SCHEMA, progress.run_no)
+        marks.advance(spark, mark, TAKEN, progress.run_no, progress.base)
     return {name: paths.gold(name) for name in tasks}
 
 
@@ -382,29 +487,31 @@ def build_marts(
 def publish_all(spark: SparkSession, paths: LakePaths, incremental: bool = True) -> list[str]:
     """Every gold mart as a typed serving table (day-keyed ones: the days since serving's own mark)."""
     mark = f"{paths.serving}/_progress"
-    gold = _row(spark, paths.gold("_progress"), RUN_SCHEMA)
-    due, days = (False, None) if gold is None else _days_to_do(spark, paths, mark, gold.run_no, incremental)
+    gold = marks.newest(spark, paths.gold("_progress"), TAKEN)
+    due, days = False, None
+    if gold is not None:
+        due, days = _days_to_do(spark, paths, marks.newest(spark, mark, TAKEN), gold, incremental)
     whole = [MART_REVENUE_MONTH_LABEL, MART_CRITICAL_TICKETS, MART_REVENUE_MONTH]
     names = [*(DAY_MARTS if due else ()), *whole]
 
     def one(name: str) -> None:
         df = spark.read.parquet(paths.gold(name))
         if name in DAY_MARTS and days is not None:
-            df = df.join(days, "usage_date", "left_semi")
+            df = _on_days(spark, paths.gold(name), df, days)
         serving.publish(df, paths.serving, name, days if name in DAY_MARTS else None)
 
     run_parallel({name: lambda name=name: one(name) for name in names})
     if due:
-        _put_row(spark, mark, RUN_SCHEMA, gold.run_no)
+        marks.advance(spark, mark, TAKEN, gold.run_no, gold.base)
     return names
 
 
-def ingest_all(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, bounded: bool = False) -> None:
+def ingest_all(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, late: str = "keep") -> None:
     """Batch tables and the event stream into bronze, side by side."""
     run_parallel(
         {
             "batch": lambda: ingest_batch(spark, paths, run_ts),
-            "events": lambda: ingest_events(spark, paths, bounded=bounded),
+            "events": lambda: ingest_events(spark, paths, late=late),
         }
     )
 
@@ -415,16 +522,23 @@ def run_all(
     run_ts: dt.datetime | None = None,
     sf_dir: str | None = None,
     full_refresh: bool = False,
-) -> None:
+) -> LakePaths:
     """Stage (when ``sf_dir`` is given), ingest, build silver and gold, publish.
 
-    ``full_refresh`` rebuilds every table after bronze from all of bronze and
-    replaces it whole, so days that are gone from bronze go, too.
+    ``full_refresh`` starts from the landing files again: the stream writes a new generation of bronze
+    with a new checkpoint, and every table after bronze is rebuilt from it and replaced
+    whole. The new generation comes into use once silver has been built from it; nothing of the
+    old one is deleted. Returns the paths that are in use now.
     """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    if full_refresh:
+        paths = replace(paths, generation=paths.generation + 1)
     if sf_dir is not None:
         stage_landing(spark, sf_dir, paths)
     ingest_all(spark, paths, run_ts)
     build_silver(spark, paths, run_ts, incremental=not full_refresh)
+    if full_refresh:
+        marks.advance(spark, f"{paths.root.rstrip('/')}/_generation", GENERATION, paths.generation)
     build_marts(spark, paths, incremental=not full_refresh)
     publish_all(spark, paths, incremental=not full_refresh)
+    return paths

@@ -10,6 +10,7 @@ tasks in parallel and a quiet day does not produce a swarm of tiny files.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from pyspark.sql.types import (
 
 from finlake import schemas
 from finlake.functions import rules
+from finlake.sources.marks import is_missing
 
 SOURCE_FILE = "source_file"
 
@@ -52,16 +54,20 @@ def replace_days(df: DataFrame, path: str, days: DataFrame | None, column: str =
 
     Dynamic overwrite leaves a partition alone that the new rows do not hold,
     so a day that has no row any more is overwritten with an empty file. Such
-    days are few (all their events moved to another day), and only they reach the driver.
+    days are few (all their events moved to another day); their names reach the
+    driver one after the other, never as a list.
     """
     if days is None:
         write_table(df, path, [column], replace_all=True)
         return
-    write_table(df, path, [column])
-    gone = days.join(df.select(column).distinct(), column, "left_anti").collect()
-    for row in gone:
+    df.persist(StorageLevel.MEMORY_AND_DISK)  # written, and asked for the days that it holds
+    try:
+        write_table(df, path, [column])
         nothing = df.where(F.lit(False)).drop(column).coalesce(1)
-        nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={row[column]}")
+        for row in days.join(df.select(column).distinct(), column, "left_anti").toLocalIterator():
+            nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={row[column]}")
+    finally:
+        df.unpersist()
 
 
 def range_globs(low: int, high: int) -> list[str]:
@@ -81,7 +87,9 @@ def range_globs(low: int, high: int) -> list[str]:
     return out
 
 
-def read_partitions(spark: SparkSession, root: str, column: str, values: list) -> DataFrame | None:
+def read_partitions(
+    spark: SparkSession, root: str, column: str, values: list, schema: StructType | None = None
+) -> DataFrame | None:
     """The given partitions of a table, or None if none of them exists.
 
     Naming the folders in a brace glob (``basePath`` keeps the partition
@@ -91,9 +99,12 @@ def read_partitions(spark: SparkSession, root: str, column: str, values: list) -
         return None
     try:
         names = ",".join(str(v) for v in values)
-        return spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/{column}={{{names}}}")
-    except AnalysisException:  # none of the folders exists (yet)
-        return None
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.option("basePath", root).parquet(f"{root.rstrip('/')}/{column}={{{names}}}")
+    except AnalysisException as error:  # none of the folders exists (yet)
+        if is_missing(error):
+            return None
+        raise
 
 
 def write_source_partition(df: DataFrame, root: str, file_name: str) -> None:
@@ -146,7 +157,17 @@ BRONZE_EVENT = StructType(
 )
 
 
+#: The text of a line that could not be read; a column of the quarantine table only.
+RAW_LINE = "raw_line"
+QUARANTINED_EVENT = StructType([*BRONZE_EVENT.fields, StructField(RAW_LINE, StringType(), True)])
+
+
 def read_bronze_events(spark: SparkSession, path: str) -> DataFrame:
-    """Good or quarantined events written by the stream, with typed partition columns
+    """Good, quarantined or late events written by the stream, with typed partition columns
     (``date`` stays the ``yyyyMMdd`` string it was written as)."""
     return spark.read.schema(BRONZE_EVENT).parquet(path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Quarantined events with the text of the lines that could not be read."""
+    return spark.read.schema(QUARANTINED_EVENT).parquet(path)

@@ -52,7 +52,7 @@ def test_new_file_adds_only_new_ids(spark, sf_dir):
 def test_bounded_mode_runs(spark, sf_dir):
     paths = LakePaths(run_dir(spark, "t-stream3"))
     landing.write_jsonl(fixtures.usage_events_raw(spark, sf_dir), paths.landing_stream)
-    ingest_events(spark, paths, bounded=True)
+    ingest_events(spark, paths, late="drop")
     good = lake.read_bronze_events(spark, paths.bronze_events)
     assert good.count() == good.select("event_id").distinct().count() > 0
 
@@ -112,12 +112,13 @@ def test_late_rows_kept_by_default_dropped_and_counted_when_bounded(spark, sf_di
     n_late_ids = late.select("event_id").distinct().count()
     counts = {}
     for bounded in (False, True):
+        late_rows = "drop" if bounded else "keep"
         paths = LakePaths(run_dir(spark, f"t-late-{bounded}"))
         landing.write_jsonl(recent, paths.landing_stream + "/drop1")
         args = (paths.landing_stream, paths.bronze_events, paths.quarantine, paths.stream_checkpoint)
-        run_ingest_once(spark, *args, bounded=bounded)
+        run_ingest_once(spark, *args, late=late_rows)
         landing.write_jsonl(late, paths.landing_stream + "/drop2")
-        q = run_ingest_once(spark, *args, bounded=bounded)
+        q = run_ingest_once(spark, *args, late=late_rows)
         out = lake.read_bronze_events(spark, paths.bronze_events).unionByName(
             lake.read_bronze_events(spark, paths.quarantine))
         counts[bounded] = (out.count(), dropped_by_watermark(q))
