@@ -2,13 +2,16 @@
 
 Each text gets base counts and a base verdict. The base failures are summed by
 host (here the ``source`` column), every host's failure rate is shrunk with a
-beta prior fitted to all hosts by the method of moments, and a host whose
-shrunk rate is above ``max_rate`` takes its documents with it.
+beta prior fitted to all hosts by the method of moments, and a host that fails far more often
+than the others, beyond doubt, takes its documents with it: its rate r is
+above ``ratio`` times the pooled rate m even less ``doubt`` standard deviations of its posterior.
 
 Prior: with k failures of n documents per host, m = sum(k) / sum(n) and
 v = sum(n * (k / n - m)^2) / sum(n); strength s = m * (1 - m) / v - 1, held
 between 1 and ``MAX_STRENGTH``; a = m * s, b = (1 - m) * s. The shrunk rate is
-(k + a) / (n + a + b).
+(k + a) / (n + a + b), its variance r * (1 - r) / (n + a + b + 1). A host of a few documents
+is thus near the pooled rate and in doubt, and a host with ordinary rates is kept however many
+documents make its rate certain.
 
 Defined results: a NULL or empty text has no words and fails the base rules; a
 NULL source belongs to no host and gets no host verdict; a NULL ``doc_id``
@@ -31,6 +34,8 @@ SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MAX_STRENGTH = 1e6
+#: A host goes if its failure rate is surely (by DOUBT standard deviations) above RATIO times the pooled one.
+RATIO, DOUBT = 2.0, 3.0
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -87,7 +92,7 @@ def base_counts(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def host_rates(judged: DataFrame) -> DataFrame:
-    """host, n, k, shrunk rate; ``judged`` has host and base_failed."""
+    """host, n, k, shrunk rate, its deviation, pooled rate; ``judged`` has host and base_failed."""
     hosts = (
         judged.where(F.col("host").isNotNull())
         .groupBy("host")
@@ -102,19 +107,28 @@ def host_rates(judged: DataFrame) -> DataFrame:
     strength = F.when(v > 0, F.greatest(F.lit(1.0), F.least(F.lit(MAX_STRENGTH), m * (1 - m) / v - 1)))
     prior = spread.select("m", F.coalesce(strength, F.lit(MAX_STRENGTH)).alias("s"))
     rate = (F.col("k") + F.col("m") * F.col("s")) / (F.col("n") + F.col("s"))
-    return hosts.crossJoin(F.broadcast(prior)).select("host", "n", "k", rate.alias("rate"))
+    rated = hosts.crossJoin(F.broadcast(prior)).withColumn("rate", rate)  # one row, beside the hosts
+    spread_of = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.col("s") + 1))
+    return rated.select("host", "n", "k", "rate", spread_of.alias("deviation"), F.col("m").alias("pooled"))
 
 
 def quality_rules(
-    docs: DataFrame, host: str = "source", min_words: int = 20, max_repeated: int = 30, max_rate: float = 0.5
+    docs: DataFrame,
+    host: str = "source",
+    min_words: int = 20,
+    max_repeated: int = 30,
+    ratio: float = RATIO,
+    doubt: float = DOUBT,
 ) -> DataFrame:
-    """doc_id, the base counts, base_failed, host_rate, kept."""
+    """doc_id, the base counts, base_failed, host_rate, host_failed, kept."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words"))
     judged = stored(base_counts(docs, host).withColumn("base_failed", failed), "rules")
-    rates = host_rates(judged).select(F.col("host").alias("rated"), F.col("rate").alias("host_rate"))
+    sure = F.col("rate") - doubt * F.col("deviation") > ratio * F.col("pooled")
+    rates = host_rates(judged).select(F.col("host").alias("rated"), F.col("rate").alias("host_rate"), sure.alias("sure"))
     joined = judged.join(rates, F.col("host") == F.col("rated"), "left")
-    kept = ~F.col("base_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= max_rate)
-    return joined.select("doc_id", *COUNTS, "base_failed", "host_rate", kept.alias("kept"))
+    host_failed = F.coalesce(F.col("sure"), F.lit(False)).alias("host_failed")
+    kept = ~F.col("base_failed") & ~F.coalesce(F.col("sure"), F.lit(False))
+    return joined.select("doc_id", *COUNTS, "base_failed", "host_rate", host_failed, kept.alias("kept"))
 
 
 SQL = r"""
@@ -158,8 +172,9 @@ spread AS (SELECT max(m) AS m, sum(n * pow(k / n - m, 2)) / sum(n) AS v FROM hos
 prior AS (
   SELECT m, CASE WHEN v > 0 THEN greatest(1, least(1e6, m * (1 - m) / v - 1)) ELSE 1e6 END AS s FROM spread
 ),
-rates AS (SELECT source, (k + m * s) / (n + s) AS rate FROM hosts, prior)
+rates AS (SELECT source, n, m, s, (k + m * s) / (n + s) AS rate FROM hosts, prior),
+verdicts AS (SELECT source, rate - 3 * sqrt(rate * (1 - rate) / (n + s + 1)) > 2 * m AS host_failed FROM rates)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(rate, 0) <= 0.5 AS kept
-FROM judged LEFT JOIN rates USING (source)
+       NOT base_failed AND NOT coalesce(host_failed, FALSE) AS kept
+FROM judged LEFT JOIN verdicts USING (source)
 """
