@@ -2,11 +2,12 @@
 
 A list's history is a set of dated entries: from a day on, a key (a host or one
 of its parent domains) is blocked, or is not. Each entry is valid until the
-next one of its key; the intervals are cut at month ends, so that a capture
-meets only the intervals of its own key and month, and the interval that holds
-at the time of fetching is found with an equality join. A key that a third of
-all captures have is split by Spark's skew join, because its side of intervals
-is small. Every capture is evaluated once per key it has (its host and all
+next one of its key. The as-of join lays a key's intervals and the days on which it is asked for
+in one order by day (union, then the last interval so far, in a window), so neither a far
+date nor a long interval adds a row. Equal questions (key, day) are asked
+once, so a key has a row per day of its history and per day of captures at most, whatever share of
+the captures it has; the answers are stored and joined back on key and day, where Spark's skew
+join splits a hot one. Every capture is evaluated once per key it has (its host and all
 parent domains); the longest key with a valid entry decides.
 
 The test tables have no list and no fetch times, so ``captures`` and
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finlake.llm.common import stored
+
 EPOCH = "2024-01-01"
 DAYS = 730
 FOREVER = "9999-01-01"
@@ -71,12 +74,16 @@ def intervals(found: DataFrame) -> DataFrame:
     return changed.select("key", F.col("from_date").alias("valid_from"), until.alias("valid_to"), "blocked")
 
 
-def by_month(valid: DataFrame, last: Column) -> DataFrame:
-    """An interval as one row for each month that it touches, up to ``last``."""
-    first = F.trunc("valid_from", "month")
-    end = F.trunc(F.least(F.date_sub("valid_to", 1), last), "month")
-    months = F.when(first <= end, F.sequence(first, end, F.expr("interval 1 month"))).otherwise(F.array(first))
-    return valid.withColumn("month", F.explode(months))
+def as_of(asked: DataFrame, valid: DataFrame) -> DataFrame:
+    """key, fetch_date, valid_from, blocked: the interval that holds on each day asked for (key, fetch_date)."""
+    held = F.struct("valid_from", "valid_to", "blocked").alias("held")
+    none = F.lit(None).cast(valid.select(held).schema["held"].dataType)
+    changes = valid.select("key", F.col("valid_from").alias("day"), F.lit(0).alias("kind"), held)
+    days = asked.select("key", F.col("fetch_date").alias("day"), F.lit(1).alias("kind"), none.alias("held")).distinct()
+    order = Window.partitionBy("key").orderBy("day", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = changes.unionByName(days).withColumn("held", F.last("held", ignorenulls=True).over(order))
+    met = met.where((F.col("kind") == 1) & (F.col("day") < F.col("held.valid_to")))
+    return met.select("key", F.col("day").alias("fetch_date"), "held.valid_from", "held.blocked")
 
 
 def suffixes(host: Column) -> Column:
@@ -94,13 +101,11 @@ def filter_urls(fetched: DataFrame, listed: DataFrame) -> DataFrame:
     # equal host and day have one answer: asked once, however many captures they have
     asked = seen.where(F.col("host").isNotNull() & F.col("fetch_date").isNotNull()).select("host", "fetch_date").distinct()
     keyed = asked.select("host", "fetch_date", F.explode(suffixes(F.col("host"))).alias("key"))
-    keyed = keyed.withColumn("month", F.trunc("fetch_date", "month"))
-    last = fetched.agg(F.max("fetch_date")).first()[0]  # one date: open intervals need no months after it
-    valid = by_month(intervals(listed), F.lit(last).cast("date")).select(
-        F.col("key").alias("k"), F.col("month").alias("m"), "valid_from", "valid_to", "blocked"
+    # a table of its own, so that the join deals both sides and Spark can split a hot key
+    found = stored(as_of(keyed, intervals(listed)), "url-answers").select(
+        F.col("key").alias("k"), F.col("fetch_date").alias("asked"), "valid_from", "blocked"
     )
-    held = (F.col("valid_from") <= F.col("fetch_date")) & (F.col("fetch_date") < F.col("valid_to"))
-    met = keyed.join(valid, (F.col("key") == F.col("k")) & (F.col("month") == F.col("m")) & held)
+    met = keyed.join(found, (F.col("key") == F.col("k")) & (F.col("fetch_date") == F.col("asked")))
     answer = F.max_by(F.struct("key", "valid_from", "blocked"), F.struct(F.length("key"), F.col("valid_from")))
     answers = met.groupBy(F.col("host").alias("h"), F.col("fetch_date").alias("d")).agg(answer.alias("a"))
     same = (F.col("host") == F.col("h")) & (F.col("fetch_date") == F.col("d"))
