@@ -117,7 +117,7 @@ def lone_grams(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """set, n_shingles, lone: a lower bound of the class's n-grams that no other class has."""
     # enough n-grams that a set of lone ones shows more than ``allowed`` of them
     share = min(1.0, 2.25 * (100 - percent) / percent)
-    least = np.uint64(int(share * (2**64 - 1)))
+    least = np.uint64(min(int(share * 2**64), 2**64 - 1))
     buckets = 4 * partitions(docs.sparkSession)
 
     def send(batch: pa.RecordBatch):
