@@ -7,7 +7,7 @@ through a logistic curve fitted on labelled rows that the dictionaries have
 not seen. Its value is the score, the probability of label 1.
 
 The fit uses a bounded sample: for each label, the ``SAMPLE`` labelled rows
-with the smallest hash of their id, of at most ``SAMPLE_CHARS`` characters
+with the smallest hash of their id, at most the first ``SAMPLE_CHARS`` characters of
 each (half for the dictionaries, half for the curve). Every text is scored
 whole. Labels are learnt from rows whose ``crc32(doc_id as text) mod 5`` is
 not 0 only.
@@ -15,7 +15,7 @@ not 0 only.
 Defined results: a NULL or empty text gets the curve's value at no difference;
 without both labels every score is the share of label 1 (1/2 without any); if
 an id has several labels, the smallest counts; a NULL ``doc_id`` is never
-learnt from, and is not held out; repeated rows give repeated results; only
+learnt from, and is not held out; of several texts of one id the smallest is learnt from; repeated rows give repeated results; only
 ``doc_id`` and ``text`` are read, and ``quality`` of the labels; an empty table
 gives an empty one.
 """
@@ -50,13 +50,14 @@ def known_labels(labels: DataFrame) -> DataFrame:
 def training_rows(docs: DataFrame, labels: DataFrame) -> list[tuple[int, int, str]]:
     """(quality, half, text) of the bounded sample."""
     known = known_labels(labels).withColumn("at", F.xxhash64("doc_id"))
-    texts = docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS))
+    texts = docs.select("doc_id", "text").where(F.length("text") > 0)
     rows: list[tuple[int, int, str]] = []
     for quality in (0, 1):
         picked = known.where(F.col("quality") == quality).orderBy("at", "doc_id").limit(SAMPLE)
         joined = texts.join(F.broadcast(picked), "doc_id")  # at most SAMPLE rows
-        found = joined.select("quality", F.pmod("at", F.lit(2)).alias("half"), "text", "at", "doc_id")
-        found = found.dropDuplicates(["doc_id"]).collect()
+        part = F.substring("text", 1, SAMPLE_CHARS).alias("text")
+        found = joined.select("quality", F.pmod("at", F.lit(2)).alias("half"), part, "at", "doc_id")
+        found = found.groupBy("quality", "half", "at", "doc_id").agg(F.min("text").alias("text")).collect()
         rows += [(r.quality, int(r.half), r.text) for r in sorted(found, key=lambda r: (r["at"], r.doc_id))]
     return rows
 
