@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 from finlake.llm.common import by_batch, partitions, stored
 from finlake.llm.tokens import TokenIds, default_path, worker_table
 
+#: Different lengths of a pattern, at most; a short one is repeated as often as it fits.
 PARTS = 6
 #: Partners tried per length when patterns are enumerated.
-PARTNERS = 8
+PARTNERS = 24
 CLOSING = b"\0\0\0\0"
 
 
@@ -74,7 +75,7 @@ def pieces(docs: DataFrame, size: int = 2048, path: str | None = None) -> DataFr
 
 def enumerate_patterns(counts: np.ndarray, size: int) -> list[tuple[int, ...]]:
     """Patterns of a few present lengths, longest first: each length with partners
-    spread over what fits beside it, filled up with the longest that still fit."""
+    spread over what fits beside it, filled up with the longest that still fits, as often as it does."""
     present = np.flatnonzero(counts)
     found = set()
     for a in present[::-1]:
@@ -85,16 +86,16 @@ def enumerate_patterns(counts: np.ndarray, size: int) -> list[tuple[int, ...]]:
         at = np.unique(np.r_[len(fits) - 1, np.linspace(0, len(fits) - 1, PARTNERS).astype(int)])
         for b in fits[at]:
             pattern, left = [int(a), int(b)], size - int(a) - int(b)
-            while left and len(pattern) < PARTS:
+            while left and len(set(pattern)) < PARTS:
                 k = int(np.searchsorted(present, left, "right")) - 1
                 if k < 0:
                     break
                 c = int(present[k])
-                need = {**{x: pattern.count(x) for x in pattern}}.get(c, 0) + 1
-                if counts[c] < need:
+                more = min(left // c, int(counts[c]) - pattern.count(c))
+                if more < 1:
                     break
-                pattern.append(c)
-                left -= c
+                pattern += [c] * more
+                left -= more * c
             if size - sum(pattern) <= max(8, size // 64):
                 found.add(tuple(sorted(pattern, reverse=True)))
     return sorted(found, reverse=True)
