@@ -138,6 +138,15 @@ def test_ngram_join_odd_rows(odd, none, clashing):
     assert {r.doc_id for r in kept.where(F.col("text").rlike("[a-z]")).collect()} == worded
 
 
+@pytest.mark.parametrize("percent", [50, 60, 69, 70])
+def test_ngram_join_at_low_similarity(spark, percent):
+    rnd = random.Random(percent)
+    texts = [" ".join(rnd.choice("abcdef") for _ in range(rnd.randint(1, 12))) for _ in range(120)]
+    data = list(enumerate(texts))
+    found = ngram.near_groups(frame(spark, data), n=2, percent=percent)
+    assert rows(found.select("doc_id", "n_shingles", "component_id")) == brute.components(data, 2, percent)
+
+
 def test_components(spark):
     rnd = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rnd.randrange(50), 100 + rnd.randrange(50)) for _ in range(60)]

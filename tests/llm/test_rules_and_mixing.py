@@ -95,12 +95,15 @@ def test_mix_odd_rows(odd, none, clashing):
     times = defaultdict(int)
     for r in mixing.mix_documents(odd).collect():
         times[r.doc_id, r.text] += 1
-    copies = defaultdict(int)
-    texts = {(r[0], len(brute.WORD.findall(r[1] or ""))): r[1] for r in ODD_ROWS}
+    words = lambda text: len(brute.WORD.findall(text or ""))
+    taken = defaultdict(int)
     for r in mixing.mix_rows(odd).collect():
-        copies[r.doc_id, texts[r.doc_id, r.size]] += r.copies
-    worded = lambda d: {k: n for k, n in d.items() if n and brute.WORD.search(k[1] or "")}
-    assert {k for k in worded(times)} <= {k for k in texts.items()} or worded(times)
+        taken[r.doc_id, r.size] += r.copies
+    found = defaultdict(int)
+    for (doc_id, text), n in times.items():
+        found[doc_id, words(text)] += n
+    worded = lambda d: {k: n for k, n in d.items() if n and k[1]}
+    assert worded(found) == worded(taken) and worded(found)
 
 
 def test_mix_is_native(docs, capsys):
@@ -170,6 +173,19 @@ def test_bad_hosts_take_their_documents(spark):
     assert found[2002].host_rate < 1 and found[0].kept
 
 
+def test_host_verdicts_need_a_large_and_sure_difference(spark):
+    """Rates near the pooled one, however sure, and high ones of a few documents, take no host."""
+    good, bad = " ".join(f"word{i}" for i in range(30)), "too short"
+    rates = {"usual": (4000, 10), "little_more": (4000, 8), "few": (3, 2), "worse": (300, 2.5)}
+    data = [(i, bad if i % every < 1 else good, h) for h, (n, every) in rates.items() for i in range(n)]
+    found = rules.quality_rules(spark.createDataFrame(data, "doc_id long, text string, source string"))
+    hosts = {r.h for r in found.where("host_failed").select(F.round("host_rate", 6).alias("h")).distinct().collect()}
+    assert len(hosts) == 1 and 0.35 < hosts.pop() < 0.45
+    rejected = found.where("host_failed")
+    assert rejected.count() == 300 and rejected.where("kept").count() == 0
+    assert found.where("NOT host_failed AND NOT base_failed AND NOT kept").count() == 0
+
+
 # --- urls -------------------------------------------------------------------------
 
 
@@ -191,6 +207,19 @@ def test_list_entries_hold_from_their_day(spark):
     assert rows(found.select("page_id", "blocked")) == sorted(((a[0], a[3]) for a in asked), key=str)
 
 
+def test_far_dates_and_no_captures_add_no_rows(spark):
+    day = dt.date
+    entries = [(f"h{i}.com", day(2024, 1, 1 + k), k % 2 == 0) for i in range(30) for k in range(5)]
+    listed = spark.createDataFrame([*entries, ("z.com", day(1, 1, 1), True)], "key string, from_date date, blocked boolean")
+    asked = [(1, "http://h1.com", day(9998, 12, 31)), (2, "http://h2.com", day(2, 1, 1)), (3, "http://z.com", day(9998, 1, 1))]
+    captured = spark.createDataFrame(asked, "page_id long, url string, fetch_date date")
+    assert {r.page_id: r.blocked for r in urls.filter_urls(captured, listed).collect()} == {1: True, 2: False, 3: True}
+    assert urls.filter_urls(captured.limit(0), listed).count() == 0
+    keyed = captured.select(urls.host_of(F.col("url")).alias("key"), "fetch_date")
+    assert urls.as_of(keyed, urls.intervals(listed)).count() == 2
+    assert urls.as_of(keyed.limit(0), urls.intervals(listed)).count() == 0
+
+
 def test_urls_odd_rows(spark):
     pages = [(1, None, None), (None, "http://x.com/?a", "h"), (2, "", ""), (3, "http://x.com/#b", "h"), (3, "http://x.com/#b", "h")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({c: F.lit(c) for c in ("host", "key", "month")})
@@ -244,6 +273,16 @@ def test_equal_keys_are_decided_one_by_one(spark):
         assert abs(sum(r.taken for r in of) - of[0].target) <= most
 
 
+def test_long_labelled_texts_are_learnt_from_in_part(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_CHARS", 40)
+    data = [(i, ("clean words here " if i % 2 else "$$$ ### ") * 30) for i in range(1, 60)] + [(3, "zz")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, quality int")
+    sample = quality.training_rows(docs, labels)
+    assert len(sample) == labels.where(quality.fold() != 0).count() and max(len(t) for _, _, t in sample) == 40
+    assert sample == quality.training_rows(docs.repartition(7), labels)
+
+
 def test_one_kind_of_label_rejects_nothing(spark, odd):
     labels = spark.createDataFrame([(i, 0) for i in range(1, 14)], "doc_id long, quality int")
     assert quality.keep_good(odd, labels).count() == odd.count()

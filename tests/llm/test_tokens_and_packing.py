@@ -121,5 +121,17 @@ def test_plan_uses_every_piece_once(kind):
     assert n <= {"mixed": 1.01 * least + 2, "equal": 5001, "large": h.sum(), "one": 1}[kind]
 
 
+def test_short_documents_have_patterns():
+    rnd = np.random.default_rng(8)
+    h = np.zeros(2049, np.int64)
+    np.add.at(h, np.clip(rnd.lognormal(4.5, 0.6, 30_000).astype(int), 5, 340), 1)
+    found = packing.enumerate_patterns(h, 2048)
+    assert len(found) > 100 and all(2016 <= sum(p) <= 2048 and len(set(p)) <= packing.PARTS + 1 for p in found)
+    assert packing.fit_repeats(found, h).sum() > 0
+    planned = packing.plan(h, 2048)
+    assert sum(t * sum(p) for p, t in planned) == int((h * np.arange(2049)).sum())
+    assert sum(t for _, t in planned) <= -(-int((h * np.arange(2049)).sum()) // 2048) + 2
+
+
 def test_no_rows_are_lost(odd):
     assert {r.doc_id for r in packing.pack_documents(odd).collect()} == {r[0] for r in ODD_ROWS}
