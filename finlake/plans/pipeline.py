@@ -18,6 +18,7 @@ tests, a folder under ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass, replace
 from functools import reduce
@@ -79,6 +80,10 @@ class LakePaths:
     def bronze_batch(self) -> str:
         return self._p("bronze", "batch_data")
 
+    @property
+    def manifest(self) -> str:
+        return self._p("bronze", "_manifest")
+
     @property
     def bronze_events(self) -> str:
         return self._streamed("bronze", "usage_events")
@@ -142,16 +147,44 @@ def stage_landing(spark: SparkSession, sf_dir: str, paths: LakePaths) -> None:
 # ------------------------------------------------------------------ bronze
 
 
-def ingest_batch(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime) -> list[str]:
-    """Every landing CSV into bronze, one ``source_file`` partition each."""
-    tables = landing.read_landing(spark, paths.landing, run_ts)
+#: Which version of each batch table a layer holds, as JSON: file name -> version. A version is a new name given
+#: at each ingest of the table, so a lost mark makes everything new, never something old current.
+VERSIONS = "tables string"
+
+
+def _versions(spark: SparkSession, path: str) -> dict:
+    mark = marks.newest(spark, path, VERSIONS)
+    return {} if mark is None else json.loads(mark.tables)
+
+
+def _put_versions(spark: SparkSession, path: str, tables: dict) -> None:
+    marks.advance(spark, path, VERSIONS, json.dumps(tables, sort_keys=True))
+
+
+def bronze_versions(spark: SparkSession, paths: LakePaths) -> dict[str, str]:
+    return {name: version for name, (_, version) in _versions(spark, paths.manifest).items()}
+
+
+def ingest_batch(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, incremental: bool = True) -> list[str]:
+    """The landing CSVs into bronze, one ``source_file`` partition each; returns the tables read.
+
+    A manifest keeps the files' paths, lengths and times of the last ingest: a table none of
+    whose files changed since is not read again (all are with ``incremental=False``).
+    """
+    found = landing.manifest(spark, paths.landing)
+    before = _versions(spark, paths.manifest)
+    changed = [n for n in sorted(found) if not incremental or before.get(n, [None])[0] != found[n]]
+    if not changed:
+        return []
+    tables = landing.read_landing(spark, paths.landing, run_ts, changed)
     run_parallel(
         {
             name: lambda name=name, df=df: lake.write_bronze_batch(df, paths.bronze_batch, name)
             for name, df in tables.items()
         }
     )
-    return list(tables)
+    _put_versions(spark, paths.manifest, before | {n: [found[n], uuid.uuid4().hex] for n in changed})
+    return changed
 
 
 def ingest_events(
@@ -214,10 +247,16 @@ def build_silver(
     yet are read, and only the usage days they concern are rewritten
     (``update_events``); otherwise every day is rebuilt from all of bronze.
     The rollup is built from the events just written, so both tables agree on
-    which copy of an event survived. Independent tables are written side by
-    side.
+    which copy of an event survived. A batch table is cleaned again only if it was ingested
+    again. Independent tables are written side by side.
     """
 
+    current = bronze_versions(spark, paths)
+    taken = _versions(spark, paths.silver("_batch")) if incremental else {}
+    # without a manifest (bronze was written by other means) every table counts as changed
+    names = list(current) or landing.discover_batch_files(spark, paths.landing)
+    changed = [n for n in names if n not in current or taken.get(n) != current[n]]
+
     def billing() -> None:
         bill = silver.billing_usd(bronze_table(spark, paths, "billing_monthly.csv"))
         lake.write_table(bill, paths.silver("billing_monthly_clean"))
@@ -227,16 +266,23 @@ def build_silver(
         lake.write_table(t, paths.silver("support_tickets_clean"))
 
     def events() -> None:
-        update_events(spark, paths, run_ts, incremental)
+        dimensions = any(file_name in changed for file_name, _, _ in DIMENSIONS.values())
+        update_events(spark, paths, run_ts, incremental, dimensions)
 
     # Pass-through copy of every batch table, for readers of the silver layer.
-    copies = {
+    tasks = {
         f"copy:{name}": lambda name=name: lake.write_source_partition(
             bronze_table(spark, paths, name), paths.silver("batch_data"), name
         )
-        for name in landing.discover_batch_files(spark, paths.landing)
+        for name in changed
     }
-    run_parallel({"billing": billing, "tickets": tickets, "events": events, **copies})
+    if "billing_monthly.csv" in changed:
+        tasks["billing"] = billing
+    if "support_tickets.csv" in changed:
+        tasks["tickets"] = tickets
+    run_parallel({"events": events, **tasks})
+    if changed:
+        _put_versions(spark, paths.silver("_batch"), current)
 
 
 #: What silver has taken from bronze: the run, the full build it goes on from, its last micro-batch.
@@ -317,7 +363,11 @@ def stored_days(spark: SparkSession, path: str, days: DataFrame, schema=None) ->
 
 
 def update_events(
-    spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, incremental: bool = True
+    spark: SparkSession,
+    paths: LakePaths,
+    run_ts: dt.datetime,
+    incremental: bool = True,
+    dimensions_changed: bool = True,
 ) -> int:
     """Bring silver events and the daily rollup up to date with bronze and the dimensions.
 
@@ -336,7 +386,8 @@ def update_events(
     is applied again from what it staged, with the same result. A full build
     (``incremental=False``, the first one, or without a mark) replaces both tables whole, under
     a new name, so that every consumer takes all of it. Either way the result
-    equals a rebuild from all of bronze. Returns the number of new bronze rows.
+    equals a rebuild from all of bronze. ``dimensions_changed=False`` says that neither dimension was
+    ingested anew since the last run, so they need not be compared. Returns the number of new bronze rows.
     """
     progress = marks.newest(spark, paths.silver("_progress"), PROGRESS)
     intent = marks.newest(spark, paths.silver("_intent"), INTENT)
@@ -350,6 +401,8 @@ def update_events(
     top = new.agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n")).first()
     if full and top.b is None:
         return 0
+    if not full and not top.n and not dimensions_changed:
+        return 0
     run_no = last_no + 1
     last = int(top.b) if top.b is not None else progress.last_batch_id
     base_name = uuid.uuid4().hex if full else progress.base
@@ -369,7 +422,7 @@ def update_events(
         _record(spark, paths, marks.newest(spark, paths.silver("_intent"), INTENT), every)
         return int(top.n)
 
-    found = _days_of_changed_dimensions(spark, paths, run_no, dims)
+    found = _days_of_changed_dimensions(spark, paths, run_no, dims) if dimensions_changed else []
     if top.n:
         base = _staged(base, _staging(paths, run_no, "new"))
         found += [base.select("usage_date"), _days_of_copies(spark, paths, base)]
@@ -421,6 +474,19 @@ def touched_days(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
 # ------------------------------------------------------------------ gold
 
 
+#: The marts that are built from a batch table, and which.
+BATCH_MARTS = {
+    MART_REVENUE_MONTH_LABEL: "billing_monthly.csv",
+    MART_CRITICAL_TICKETS: "support_tickets.csv",
+    MART_REVENUE_MONTH: "billing_monthly.csv",
+}
+
+
+def _changed(name: str, current: dict, taken: dict) -> bool:
+    """Whether a layer has not taken the current version of a batch table (unknown versions are new)."""
+    return name not in current or taken.get(name) != current[name]
+
+
 DAY_MARTS = (MART_ORG_DAILY_USAGE, MART_GENAI_DAILY, MART_GENAI_DAILY_BY_ORG)
 
 
@@ -448,8 +514,7 @@ def build_marts(
     The marts keyed by day are partitioned by ``usage_date``; with
     ``incremental`` the days of all silver runs since gold's own mark are
     recomputed and replaced, and the mark is advanced last. The marts built
-    from the batch tables are rebuilt whole (the batch tables are replaced whole
-    at every ingest).
+    from a batch table are rebuilt whole, when that table was ingested anew.
     """
     mark = paths.gold("_progress")
     progress = marks.newest(spark, paths.silver("_progress"), PROGRESS)
@@ -460,6 +525,9 @@ def build_marts(
         MART_CRITICAL_TICKETS: marts.critical_tickets_sla_daily(tickets),
         MART_REVENUE_MONTH: marts.revenue_by_org_month(bill),
     }
+    cleaned = _versions(spark, paths.silver("_batch"))
+    taken = _versions(spark, paths.gold("_batch")) if incremental else {}
+    whole = {n: df for n, df in whole.items() if _changed(BATCH_MARTS[n], cleaned, taken)}
     tasks = {n: lambda n=n, df=df: lake.write_table(df, paths.gold(n)) for n, df in whole.items()}
     due, days = False, None
     if progress is not None:
@@ -478,6 +546,8 @@ def build_marts(
     run_parallel(tasks)
     if due:
         marks.advance(spark, mark, TAKEN, progress.run_no, progress.base)
+    if whole:
+        _put_versions(spark, paths.gold("_batch"), cleaned)
     return {name: paths.gold(name) for name in tasks}
 
 
@@ -491,7 +561,9 @@ def publish_all(spark: SparkSession, paths: LakePaths, incremental: bool = True)
     due, days = False, None
     if gold is not None:
         due, days = _days_to_do(spark, paths, marks.newest(spark, mark, TAKEN), gold, incremental)
-    whole = [MART_REVENUE_MONTH_LABEL, MART_CRITICAL_TICKETS, MART_REVENUE_MONTH]
+    built = _versions(spark, paths.gold("_batch"))
+    taken = _versions(spark, f"{paths.serving}/_batch") if incremental else {}
+    whole = [n for n, table in BATCH_MARTS.items() if _changed(table, built, taken)]
     names = [*(DAY_MARTS if due else ()), *whole]
 
     def one(name: str) -> None:
@@ -503,14 +575,18 @@ def publish_all(spark: SparkSession, paths: LakePaths, incremental: bool = True)
     run_parallel({name: lambda name=name: one(name) for name in names})
     if due:
         marks.advance(spark, mark, TAKEN, gold.run_no, gold.base)
+    if whole:
+        _put_versions(spark, f"{paths.serving}/_batch", built)
     return names
 
 
-def ingest_all(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, late: str = "keep") -> None:
+def ingest_all(
+    spark: SparkSession, paths: LakePaths, run_ts: dt.datetime, late: str = "keep", incremental: bool = True
+) -> None:
     """Batch tables and the event stream into bronze, side by side."""
     run_parallel(
         {
-            "batch": lambda: ingest_batch(spark, paths, run_ts),
+            "batch": lambda: ingest_batch(spark, paths, run_ts, incremental),
             "events": lambda: ingest_events(spark, paths, late=late),
         }
     )
@@ -535,7 +611,7 @@ def run_all(
         paths = replace(paths, generation=paths.generation + 1)
     if sf_dir is not None:
         stage_landing(spark, sf_dir, paths)
-    ingest_all(spark, paths, run_ts)
+    ingest_all(spark, paths, run_ts, incremental=not full_refresh)
     build_silver(spark, paths, run_ts, incremental=not full_refresh)
     if full_refresh:
         marks.advance(spark, f"{paths.root.rstrip('/')}/_generation", GENERATION, paths.generation)

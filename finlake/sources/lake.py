@@ -35,13 +35,16 @@ def write_table(
     path: str,
     partition_by: list[str] | None = None,
     replace_all: bool = False,
+    dealt: bool = False,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Write parquet; with ``partition_by``, replace only the partitions written.
 
-    ``replace_all`` replaces the whole table (a full refresh of that table).
+    ``replace_all`` replaces the whole table (a full refresh of that table); ``dealt`` says
+    that the rows are dealt and ordered by partition already.
     """
-    writer_df = df.hint("rebalance", *partition_by) if partition_by else df
-    w = writer_df.write.mode("overwrite")
+    writer_df = df.hint("rebalance", *partition_by) if partition_by and not dealt else df
+    w = writer_df.write.mode("overwrite").options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by).option(
             "partitionOverwriteMode", "static" if replace_all else "dynamic"
@@ -49,7 +52,9 @@ def write_table(
     w.parquet(path)
 
 
-def replace_days(df: DataFrame, path: str, days: DataFrame | None, column: str = "usage_date") -> None:
+def replace_days(
+    df: DataFrame, path: str, days: DataFrame | None, column: str = "usage_date", options: dict[str, str] | None = None
+) -> None:
     """Replace the given days of a table by ``df``; None replaces the whole table.
 
     Dynamic overwrite leaves a partition alone that the new rows do not hold,
@@ -62,7 +67,7 @@ def replace_days(df: DataFrame, path: str, days: DataFrame | None, column: str =
         return
     df.persist(StorageLevel.MEMORY_AND_DISK)  # written, and asked for the days that it holds
     try:
-        write_table(df, path, [column])
+        write_table(df, path, [column], options=options)
         nothing = df.where(F.lit(False)).drop(column).coalesce(1)
         for row in days.join(df.select(column).distinct(), column, "left_anti").toLocalIterator():
             nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={row[column]}")

@@ -17,18 +17,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from finlake import schemas
+from finlake.sources.marks import is_missing
 
 # Timestamps keep their microseconds through text files.
 TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def discover_batch_files(spark: SparkSession, landing: str) -> list[str]:
-    """Names of the ``*.csv`` entries directly under ``landing`` (suffix match).
+def batch_files(spark: SparkSession, landing: str) -> DataFrame | None:
+    """name (the table), path, length, modificationTime of every file of the ``*.csv`` entries directly
+    under ``landing`` (suffix match); None without any.
 
     The path is the glob ``<landing>/*.csv``, so only matching top-level
     entries are expanded; the stream's drop folder, which may hold millions
-    of files, is never listed. The ``binaryFile`` scan selects only the path,
-    so no file is opened; the distinct table names (a handful) are collected.
+    of files, is never listed. The ``binaryFile`` scan selects no content,
+    so no file is opened.
     """
     root = landing.rstrip("/")
     try:
@@ -37,16 +39,34 @@ def discover_batch_files(spark: SparkSession, landing: str) -> list[str]:
             .option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.csv")
             .load(f"{root}/*.csv")
-            .select("path")
+            .select("path", "length", "modificationTime")
         )
-    except AnalysisException:  # nothing matches the glob
-        return []
+    except AnalysisException as error:  # nothing matches the glob
+        if is_missing(error):
+            return None
+        raise
     # Paths come back as URIs; the first element under the root is the table.
     bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", root)
     relative = F.regexp_replace("path", "^.*?" + re.escape(bare) + "/", "")
-    names = files.select(F.element_at(F.split(relative, "/"), 1).alias("name"))
-    names = names.where(F.col("name").endswith(".csv")).distinct()
-    return sorted(r.name for r in names.collect())
+    named = files.select(F.element_at(F.split(relative, "/"), 1).alias("name"), *files.columns)
+    return named.where(F.col("name").endswith(".csv"))
+
+
+def discover_batch_files(spark: SparkSession, landing: str) -> list[str]:
+    """Names of the batch tables in the landing zone (a handful)."""
+    files = batch_files(spark, landing)
+    return [] if files is None else sorted(r.name for r in files.select("name").distinct().collect())
+
+
+def manifest(spark: SparkSession, landing: str) -> dict[str, str]:
+    """Per batch table a fingerprint of its files' paths, lengths and times: equal as long as no file was
+    added, removed or written again. One row per table is collected."""
+    files = batch_files(spark, landing)
+    if files is None:
+        return {}
+    one = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    prints = files.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"), F.sum(one).alias("h"))
+    return {r.name: f"{r.n}-{r.size}-{r.h}" for r in prints.collect()}
 
 
 def read_batch_table(
@@ -88,13 +108,11 @@ def read_batch_table(
 
 
 def read_landing(
-    spark: SparkSession, landing: str, run_ts: dt.datetime | None = None
+    spark: SparkSession, landing: str, run_ts: dt.datetime | None = None, names: list[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Every batch table found in the landing zone, by file name."""
-    return {
-        name: read_batch_table(spark, landing, name, run_ts=run_ts)
-        for name in discover_batch_files(spark, landing)
-    }
+    """Every batch table found in the landing zone (or those named), by file name."""
+    names = discover_batch_files(spark, landing) if names is None else names
+    return {name: read_batch_table(spark, landing, name, run_ts=run_ts) for name in names}
 
 
 def write_csv_table(df: DataFrame, landing: str, file_name: str) -> None:

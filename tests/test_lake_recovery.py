@@ -152,3 +152,42 @@ def test_measures_that_cannot_be_summed_fail_a_rule(spark):
         "cost_usd_increment": F.lit(0.0), "carbon_kg": F.lit(None).cast("double")})
     got = [r.is_measure_summable for r in quality.with_quality_flags(df).orderBy("event_id").collect()]
     assert got == [True] * 4 + [False] * 5
+
+
+def test_unchanged_landing_tables_are_not_read_again(spark, sf_dir):
+    paths = P.LakePaths(run_dir(spark, "t-manifest"))
+    P.stage_batch_landing(spark, sf_dir, paths)
+    everything = sorted(f"{n}.csv" for n in P.BATCH_INPUTS)
+    assert P.ingest_batch(spark, paths, RUN) == everything
+    P.build_silver(spark, paths, RUN)
+    first = P.bronze_versions(spark, paths)
+    assert P.ingest_batch(spark, paths, RUN + dt.timedelta(days=1)) == []
+    bills = fixtures.billing_monthly(spark, sf_dir)
+    landing.write_csv_table(bills.withColumn("subtotal", F.col("subtotal") + 1), paths.landing, "billing_monthly.csv")
+    later = RUN + dt.timedelta(days=2)
+    assert P.ingest_batch(spark, paths, later) == ["billing_monthly.csv"]
+    assert P.bronze_table(spark, paths, "billing_monthly.csv").select("ingest_ts").distinct().first()[0] == later
+    assert P.bronze_table(spark, paths, "users.csv").select("ingest_ts").distinct().first()[0] == RUN
+    second = P.bronze_versions(spark, paths)
+    assert {n for n in second if second[n] != first[n]} == {"billing_monthly.csv"}
+    clean = lambda name: spark.read.parquet(paths.silver(name)).inputFiles()
+    tickets, bill = clean("support_tickets_clean"), clean("billing_monthly_clean")
+    P.build_silver(spark, paths, later)
+    assert clean("support_tickets_clean") == tickets and clean("billing_monthly_clean") != bill
+    assert P.build_marts(spark, paths).keys() >= {"revenue_by_org_month_usd"}
+    assert P.build_marts(spark, paths) == {}  # nothing new
+    assert P.ingest_batch(spark, paths, later, incremental=False) == everything
+
+
+def test_published_rows_are_ordered_by_organisation(spark, sf_dir):
+    import pyarrow.parquet as pq
+
+    mart = jobs.C.mart_frames(spark, sf_dir)["org_daily_usage_by_service"]
+    root = run_dir(spark, "t-layout")
+    serving.publish(mart, root, "org_daily_usage_by_service")
+    files = serving.read_published(spark, root, "org_daily_usage_by_service").inputFiles()
+    for f in files[:10]:
+        ids = pq.ParquetFile(f.removeprefix("file://")).read(columns=["org_id"]).column(0).to_pylist()
+        assert ids == sorted(ids)
+    days = {f.split("usage_date=")[1].split("/")[0] for f in files}
+    assert len(files) < 2 * len(days)  # a file a day, not one per task
