@@ -24,7 +24,7 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # reliable checkpoints (incremental silver) are removed once unreferenced
+    # reliable checkpoints are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -72,7 +72,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.conf.get("spark.master", "local")
+        master = spark.conf.get("spark.master", "")  # a session that does not tell may be on a cluster
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder there that the driver and all executors share"
