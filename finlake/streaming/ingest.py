@@ -60,6 +60,8 @@ ROWS_PER_FILE = 250_000
 #: How long after its arrival an id stays in the state (older copies meet the index).
 STATE_KEPT = "24 hours"
 LATE = ("keep", "aside", "drop")
+#: Progress reports that a query keeps (Spark's default).
+RECENT_REPORTS = 100
 MARK = "last_batch_id long, latest timestamp"
 _ARRIVED = "_arrived"
 
@@ -297,6 +299,10 @@ def run_ingest_once(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
     spark.streams.addListener(counter)
     try:
         q = _finished(start_ingest(spark, *args, **kwargs))
+        recent = q.recentProgress
+        if len(recent) < RECENT_REPORTS:  # a short run: the query itself still has every report
+            q.dropped_rows = sum(dropped_rows(p) for p in recent)
+            return q
         last, run, waited = q.lastProgress, str(q.runId), 0.0
         while last is not None and counter.last_batch.get(run, -1) < last.batchId and waited < 10:
             time.sleep(0.05)  # reports reach a listener a little later
