@@ -24,9 +24,11 @@ from finlake.plans.pipeline import (
     LakePaths,
     build_marts,
     build_silver,
+    compact_bronze,
     ingest_all,
     ingest_batch,
     publish_all,
+    quarantined_events,
     run_all,
     stage_batch_landing,
     stage_event_landing,
@@ -203,6 +205,36 @@ def q_lake_replay_and_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("event_id", "timestamp", "usage_date", "org_id", "org_name", "quota")
 
 
+def q_lake_compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usage rollup, and the quarantine beside it, after five micro-batches that were compacted three
+    times: when silver had read a part of them, when it had read none of the new ones, and after all."""
+    paths = _paths(spark, "compacted")
+    raw = fixtures.usage_events_raw(spark, sf_dir)
+    stage_batch_landing(spark, sf_dir, paths)
+    ingest_batch(spark, paths, RUN_TS)
+    part = F.pmod(F.xxhash64(F.coalesce("event_id", F.lit(""))), F.lit(5))
+    for i in range(5):
+        landing.write_jsonl(raw.where(part == i), f"{paths.landing_stream}/part{i}")
+        run_event_ingest(spark, paths)
+        if i == 1:
+            build_silver(spark, paths, RUN_TS)
+        if i in (2, 3, 4):
+            compact_bronze(spark, paths)
+        if i in (3, 4):
+            build_silver(spark, paths, RUN_TS)
+    usage = spark.read.parquet(paths.silver("daily_usage"))
+    day, cost = F.col("usage_date").cast("string"), F.col("daily_cost_usd").cast("double")
+    bad = quarantined_events(spark, paths)
+    no_day, bad_cost = F.lit(None).cast("string"), F.col("cost_usd_increment")
+    return usage.select(
+        F.lit("usage").alias("kind"), "org_id", "service", day.alias("usage_date"), cost.alias("daily_cost_usd")
+    ).unionByName(
+        bad.select(
+            F.lit("quarantine").alias("kind"), "org_id", "service", no_day.alias("usage_date"), bad_cost.alias("daily_cost_usd")
+        )
+    )
+
+
 class Stopped(RuntimeError):
     """What stands for a lost driver in ``lake_failed_and_redone``."""
 
@@ -442,6 +474,7 @@ JOB_QUERIES = {
     "lake_incremental_marts": q_lake_incremental_marts,
     "lake_replay_and_rename": q_lake_replay_and_rename,
     "lake_failed_and_redone": q_lake_failed_and_redone,
+    "lake_compacted_bronze": q_lake_compacted_bronze,
     "lake_full_refresh": q_lake_full_refresh,
     "lake_gold_tables": q_lake_gold_tables,
     "lake_silver_copies": q_lake_silver_copies,

@@ -39,7 +39,7 @@ from finlake.functions.constants import (
 from finlake.operators import marts, silver
 from finlake.operators.dedup import dedup_by_key
 from finlake.plans.parallel import run_parallel
-from finlake.sources import event_ids, fixtures, landing, lake, marks, serving
+from finlake.sources import compaction, event_ids, fixtures, landing, lake, marks, serving
 from finlake.streaming import ingest
 
 
@@ -211,26 +211,46 @@ def new_bronze_events(spark: SparkSession, paths: LakePaths, done: int) -> DataF
     """Bronze good events of the micro-batches after ``done``.
 
     The stream itself records its last complete micro-batch (whichever way it
-    was started), so the batches to read are a range of ids. A path read lists
-    every file under it before partition pruning; the range is therefore named
-    by a few glob patterns (``lake.range_globs``), and only its folders are listed.
+    was started), so the batches to read are a range of ids: compacted segments that
+    hold any of them, and the folders of the rest, named by a few glob patterns
+    (``finlake.sources.compaction``).
     """
     root = paths.bronze_events
     mark = ingest.last_batch(spark, root)
-    globs = None if mark is None or done < 0 else ",".join(lake.range_globs(done + 1, mark.last_batch_id))
-    if globs == "":
-        return spark.createDataFrame([], lake.BRONZE_EVENT)
+    if mark is not None:
+        return compaction.read(spark, root, lake.BRONZE_EVENT, max(done, -1), mark.last_batch_id)
     try:
-        if globs is None:
-            return lake.read_bronze_events(spark, root).where(F.col("batch_id") > F.lit(done))
-        reader = spark.read.schema(lake.BRONZE_EVENT).option("basePath", root)
-        return reader.parquet(f"{root}/batch_id={{{globs}}}")
-    except AnalysisException as error:  # nothing was ingested, or the batches wrote no folder
+        return lake.read_bronze_events(spark, root).where(F.col("batch_id") > F.lit(done))
+    except AnalysisException as error:  # nothing was ingested
         if not marks.is_missing(error):
             raise
         return spark.createDataFrame([], lake.BRONZE_EVENT)
 
 
+def compact_bronze(spark: SparkSession, paths: LakePaths, segment_rows: int = compaction.SEGMENT_ROWS) -> None:
+    """Merge the folders of finished micro-batches of the good and of the quarantined events. Not to be run beside
+    another ``compact_bronze``; the stream and silver can run meanwhile."""
+    mark = ingest.last_batch(spark, paths.bronze_events)
+    if mark is None:
+        return
+    tables = {paths.bronze_events: lake.BRONZE_EVENT, paths.quarantine: lake.QUARANTINED_EVENT}
+    run_parallel(
+        {
+            table: lambda table=table, schema=schema: compaction.compact(
+                spark, table, schema, mark.last_batch_id, segment_rows
+            )
+            for table, schema in tables.items()
+        }
+    )
+
+
+def quarantined_events(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Every quarantined event, compacted or not."""
+    mark = ingest.last_batch(spark, paths.bronze_events)
+    last = -1 if mark is None else mark.last_batch_id
+    return compaction.read(spark, paths.quarantine, lake.QUARANTINED_EVENT, -1, last)
+
+
 # ------------------------------------------------------------------ silver
 
 

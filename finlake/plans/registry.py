@@ -30,6 +30,13 @@ SELECT * EXCLUDE (event_count) FROM (
          count(*) AS event_count
   FROM events_clean GROUP BY ALL)
 WHERE total_requests IS NOT NULL AND total_cpu_hours IS NOT NULL AND total_storage_gb_hours IS NOT NULL
+""",
+    "lake_compacted_bronze": """
+SELECT 'usage' AS kind, org_id, service, CAST(usage_date AS VARCHAR) AS usage_date,
+       CAST(daily_cost_usd AS DOUBLE) AS daily_cost_usd
+FROM daily_usage
+UNION ALL
+SELECT 'quarantine', org_id, service, CAST(NULL AS VARCHAR), cost_usd_increment FROM events_flagged WHERE is_quarantine
 """,
     "lake_full_refresh": f"SELECT *, TIMESTAMP '{jobs.RUN_TS}' AS last_updated FROM mart_org_daily",
     "lake_gold_tables": _gold_sql(),
