@@ -84,33 +84,50 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[:-rest], v[rest:]) if rest else v
 
 
-def fragments(body: bytes, size: int) -> Iterator[tuple[int, int, int, int, int]]:
-    """(key, digest, start, count, at): ``count`` windows from ``start`` on share the anchor
-    ``at`` bytes further, whose content the key stands for."""
+def fragments(body: bytes, size: int) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(key, digest, start, count, at, times): ``count`` windows from ``start`` on share the anchor
+    ``at`` bytes further, whose content the key stands for. Equal neighbours (text that repeats itself
+    within a window) are one fragment with ``times``, each ``count`` bytes after the one before."""
+    held = None
+    for fragment in _single_fragments(body, size):
+        if held is not None:
+            key, digest, start, count, at, times = held
+            if fragment[2] == start + count * times and (fragment[0], fragment[1], *fragment[3:]) == (key, digest, count, at):
+                held = (key, digest, start, count, at, times + 1)
+                continue
+            yield held
+        held = (*fragment, 1)
+    if held is not None:
+        yield held
+
+
+def _single_fragments(body: bytes, size: int) -> Iterator[tuple[int, int, int, int, int]]:
     for low in range(0, len(body) - size + 1, STEP):
         data = np.frombuffer(body, np.uint8)[low : low + STEP + size - 1]
         h = gram_hash(data)
         v = (h & ~_LOW) | np.arange(len(h), dtype=np.uint64)
         anchor = (sliding_min(v, size - GRAM + 1) & _LOW).astype(np.int64)
         starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-        counts = np.diff(np.r_[starts, len(anchor)]).tolist()
-        keys = h[anchor[starts]].view(np.int64).tolist()
-        ats = (anchor[starts] - starts).tolist()
-        for key, start, count, at in zip(keys, (starts + low).tolist(), counts, ats):
-            piece = body[start : start + count + size - 1]
-            yield key, xxhash.xxh3_64_intdigest(piece, at) - 2**63, start, count, at
+        counts = np.diff(np.r_[starts, len(anchor)])
+        for first in range(0, len(starts), 1 << 16):  # a few at a time as Python values
+            part = slice(first, first + (1 << 16))
+            keys = h[anchor[starts[part]]].view(np.int64).tolist()
+            ats = (anchor[starts[part]] - starts[part]).tolist()
+            for key, start, count, at in zip(keys, (starts[part] + low).tolist(), counts[part].tolist(), ats):
+                piece = body[start : start + count + size - 1]
+                yield key, xxhash.xxh3_64_intdigest(piece, at) - 2**63, start, count, at
 
 
 #: Ranges of windows that a group with too many fragments is split into, one after the other.
 RANGES = (64, 16, 4, 1)
 
-_ANCHOR = "struct<key:long,digest:long,start:long,count:int,at:int>"
+_ANCHOR = "struct<key:long,digest:long,start:long,count:int,at:int,times:long>"
 
 
 def texts(docs: DataFrame, size: int) -> DataFrame:
     """text (number), weight (rows that have it), id and own (of one of them), anchors of every distinct text."""
     key = docs.schema["doc_id"].dataType.simpleString()
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
 
     def work(batch: pa.RecordBatch):
         for low in range(0, batch.num_rows, 256):
@@ -119,9 +136,9 @@ def texts(docs: DataFrame, size: int) -> DataFrame:
             for body in part.column("body"):
                 found += fragments(body.as_py(), size)
                 offsets.append(len(found))
-            columns = list(zip(*found)) if found else [()] * 5
+            columns = list(zip(*found)) if found else [()] * 6
             structs = pa.StructArray.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds)], ["key", "digest", "start", "count", "at"]
+                [pa.array(c, t) for c, t in zip(columns, kinds)], ["key", "digest", "start", "count", "at", "times"]
             )
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("own"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)],
@@ -292,17 +309,18 @@ def repeated_spans(docs: DataFrame, size: int = 400, many: int = MANY) -> DataFr
     """own (digest of a text), spans (array of lo, hi; they may overlap) of the texts that repeat something."""
     found = stored(texts(docs, size), "texts")
     each = found.select("text", "weight", F.explode("anchors").alias("a")).select("text", "weight", "a.*")
-    often = each.groupBy("key").agg(F.sum("weight").alias("n")).where("n > 1").select(F.col("key").alias("k"))
+    rows = F.sum(F.col("weight") * F.col("times"))
+    often = each.groupBy("key").agg(rows.alias("n")).where("n > 1").select(F.col("key").alias("k"))
     # a table of its own, so that the join deals both sides and Spark can split a hot anchor
     often = stored(often, "often")
     each = stored(each.join(often, F.col("key") == F.col("k"), "left_semi"), "anchors")
     one = F.min(F.struct("text", "start", "count", "at")).alias("one")
-    kinds = each.groupBy("key", "digest").agg(F.sum("weight").alias("weight"), one)
+    kinds = each.groupBy("key", "digest").agg(rows.alias("weight"), one)
     wanted = kinds.groupBy(F.col("one.text").alias("t")).agg(
         F.collect_list(F.struct("key", "digest", "weight", "one.start", "one.count", "one.at")).alias("wanted")
     )  # as many as the text has anchors, at most
     where = found.join(wanted, F.col("text") == F.col("t")).select("id", F.col("own").alias("mark"), "wanted")
-    rows = bodies(docs).join(where, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("mark")))
+    holders = bodies(docs).join(where, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("mark")))
 
     def cut(batch: pa.RecordBatch):
         for low in range(0, batch.num_rows, 64):
@@ -314,10 +332,12 @@ def repeated_spans(docs: DataFrame, size: int = 400, many: int = MANY) -> DataFr
                     out.append((w["key"], w["digest"], w["weight"], w["at"], piece))
             yield as_batch(out, _FRAGMENT)
 
-    pieces = stored(by_batch(rows.select("body", "wanted"), cut, _FRAGMENT), "fragments")
+    pieces = stored(by_batch(holders.select("body", "wanted"), cut, _FRAGMENT), "fragments")
     solved = solve(pieces, size, many).withColumnsRenamed({"key": "k", "digest": "d"})
     met = each.join(solved, (F.col("key") == F.col("k")) & (F.col("digest") == F.col("d")))
-    span = F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
+    # a fragment that stands there several times repeats as a whole: what lies between the first and the last goes, too
+    more = (F.col("times") - 1) * F.col("count")
+    span = F.struct((F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi") + more).alias("hi"))
     spans = met.groupBy("text").agg(F.collect_set(span).alias("spans"))  # of one text
     return spans.join(found.select(F.col("text").alias("t"), "own"), F.col("text") == F.col("t")).select("own", "spans")
 

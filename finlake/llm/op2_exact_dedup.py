@@ -4,10 +4,11 @@ Texts are compared without white space, byte by byte. Every task first puts
 the texts of its own partition into a compressed radix trie; equal texts meet
 in one terminal node, which keeps the owner (most code points in the original
 text, then smallest id) and the number of rows. So a text that a third of all
-rows have leaves a task as one row. These rows are dealt by (length, hash of
-the content), and a trie per such part merges them. A trie that grows over
-``TRIE_BYTES`` spills its largest subtree under the root: the subtree's
-terminals leave as rows and meet their equals in the part's trie, so memory is
+rows have leaves a task as one row. These rows are dealt by length (its power of two) and
+some bits of the content's hash, and a trie per such part, of many texts, merges them. A trie that
+grows over ``trie_bytes`` spills: in the first tries the largest subtree under the root goes, whose
+terminals leave as rows and meet their equals in the part's trie; in a part's trie, whose texts come
+in the order of their hashes, every subtree is complete when the next hash comes, and all go. So memory is
 bounded whatever a partition holds. Parts come sorted, so only one trie is
 open at a time.
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from finlake.llm.common import SPACE, packed
+from finlake.llm.common import SPACE, packed, partitions
 
 TRIE_BYTES = 32 << 20
 #: Memory of a node beside its label.
@@ -161,7 +162,7 @@ def normal_text(text: str = "text") -> F.Column:
     return F.coalesce(F.regexp_replace(text, SPACE + "+", ""), F.lit("")).cast("binary")
 
 
-def owners(docs: DataFrame) -> DataFrame:
+def owners(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """text_sha256, keep_id, keep_chars, group_size, ties (rows with the owner's id and length)."""
     key = docs.schema["doc_id"].dataType
     local = f"norm binary, chars long, doc_id {key.simpleString()}, rows long, ties long"
@@ -173,7 +174,7 @@ def owners(docs: DataFrame) -> DataFrame:
             trie = Trie()
             for norm, chars, doc_id in _rows(batches, ("norm", "chars", "doc_id")):
                 trie.insert(norm, Owner(chars, doc_id, 1, 1))
-                while trie.bytes > TRIE_BYTES and trie.under:
+                while trie.bytes > trie_bytes and trie.under:
                     yield from spilled(trie.spill())
             yield from spilled(trie.drain())
 
@@ -186,13 +187,14 @@ def owners(docs: DataFrame) -> DataFrame:
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
-            trie, part = Trie(), None
-            for norm, n, h, chars, doc_id, rows, ties in _rows(
-                batches, ("norm", "n", "h", "chars", "doc_id", "rows", "ties")
+            trie, part, hash_ = Trie(), None, None
+            for norm, n, deal, h, chars, doc_id, rows, ties in _rows(
+                batches, ("norm", "n", "deal", "h", "chars", "doc_id", "rows", "ties")
             ):
-                if (n, h) != part:  # the parts come one after the other
+                # the parts come one after the other, in each the hashes: all but the texts of the hash at hand are complete
+                if (n, deal) != part or (h != hash_ and trie.bytes > trie_bytes):
                     yield from ended(trie)
-                    part = (n, h)
+                part, hash_ = (n, deal), h
                 trie.insert(norm, Owner(chars, doc_id, rows, ties))
             yield from ended(trie)
 
@@ -207,15 +209,17 @@ def owners(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         normal_text().alias("norm"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars"), "doc_id"
     )
+    deals = 4 * partitions(docs.sparkSession)
     parts = rows.mapInArrow(combine, local).withColumns(
-        {"n": F.octet_length("norm").cast("long"), "h": F.xxhash64("norm")}
+        {"n": F.length(F.bin(F.octet_length("norm"))), "h": F.xxhash64("norm")}
     )
-    parts = parts.repartition("n", "h").sortWithinPartitions("n", "h")
+    parts = parts.withColumn("deal", F.pmod("h", F.lit(deals)).cast("int"))
+    parts = parts.repartition("n", "deal").sortWithinPartitions("n", "deal", "h")
     schema = f"text_sha256 string, keep_id {key.simpleString()}, keep_chars long, group_size long, ties long"
     return parts.mapInArrow(merge, schema)
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
+def exact_groups(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: a row for each of ``docs``."""
     rows = docs.select(
         "doc_id",
@@ -223,7 +227,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         F.sha2(normal_text(), 256).alias("text_sha256"),
     )
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
-    return rows.join(owners(docs), "text_sha256").select(
+    return rows.join(owners(docs, trie_bytes), "text_sha256").select(
         "doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256"
     )
 

@@ -138,10 +138,12 @@ class PrefixCounts(WordTable):
     ends that word there, so its last token is one with the word-end mark.
     Words share prefixes, so the table of prefixes is shared, too.
 
-    Pieces (between white space) whose prefixes do not have the piece's own
-    words, for instance text not in the normal form NFC or special strings,
-    are encoded prefix by prefix: exact, but the work grows with the square of
-    such a piece's length.
+    Pieces (between white space) that are not in the normal form NFC, or that lower case makes longer, are
+    normalised in clusters (a code point and those after it that can combine with it). The prefixes of what
+    comes out are counted as above; a prefix that ends inside a cluster goes on from the
+    state before the cluster with what its own few code points give (``_clustered``). Pieces with special strings or
+    apostrophes beside such text are encoded prefix by prefix: exact, but the work grows with the
+    square of such a piece's length.
     """
 
     gaps = True
@@ -200,11 +202,16 @@ class PrefixCounts(WordTable):
             return b"\0\0" * len(word)
         if word[0] == "'" and len(word) > 1 and word[1].isalpha():  # its shorter prefixes are two words
             return self._odd(word)
+        states, ends = self._states(word)
+        return _differences([0, *(states[j][2] for j in ends)])
+
+    def _states(self, word: str) -> tuple[list[tuple[int, str, int]], list[int]]:
+        """Per prefix of the word's symbols: count, last token, count if the word ended there (else 0);
+        and the symbols up to each code point."""
         symbols, prefixes = self._level(word), self._prefixes
-        ends = range(1, len(word) + 1) if word is symbols else np.cumsum([len(c.encode()) for c in word]).tolist()
+        ends = list(range(1, len(word) + 1)) if word is symbols else np.cumsum([len(c.encode()) for c in word]).tolist()
         room = len(prefixes) < TABLE_SIZE
         states: list[tuple[int, str, int]] = [(0, "", 0)]
-        counts = [0]
         for j in ends:
             for at in range(len(states), j + 1):
                 text = symbols[:at] if at <= 24 else ""  # longer ones are hardly shared
@@ -216,14 +223,79 @@ class PrefixCounts(WordTable):
                     if text and room:
                         prefixes[text] = state
                 states.append(state)
-            counts.append(states[j][2])
-        return _differences(counts)
+        return states, ends
 
     def _odd(self, piece: str) -> bytes:
-        counts = [0]
-        for i in range(1, len(piece) + 1):
-            counts.append(len(self.tokenizer.encode(piece[:i], add_special_tokens=False).ids))
-        return _differences(counts)
+        known = self._find_latin is not None and not _ODD.search(piece) and "'" not in piece
+        if known and not piece.isspace() and not any(s in piece for s in self._special):
+            counts = self._clustered(piece)
+        else:
+            counts = [len(self.tokenizer.encode(piece[:i], add_special_tokens=False).ids) for i in range(1, len(piece) + 1)]
+        return _differences([0, *counts])
+
+    def _clustered(self, piece: str) -> list[int]:
+        """The count of every prefix of a piece without white space, special strings and apostrophes."""
+        starts = [i for i, c in enumerate(piece) if not i or _stands_alone(c)]
+        clusters = [piece[i:j] for i, j in zip(starts, [*starts[1:], len(piece)])]
+        normal = [_normal(c) for c in clusters]
+        text = "".join(normal)
+        if "'" in text or re.search(r"\s", text):
+            return [len(self.tokenizer.encode(piece[:i], add_special_tokens=False).ids) for i in range(1, len(piece) + 1)]
+        words = self._find(text)
+        total = np.cumsum(np.frombuffer(b"".join(map(self.__getitem__, words)), "<i2"), dtype=np.int64).tolist()
+        ends = np.cumsum([len(w) for w in words]).tolist()
+        counts, at, k, held = [], 0, 0, None
+        for cluster, made in zip(clusters, normal):
+            while k < len(ends) and ends[k] < at:
+                k += 1  # the word that the code point before the cluster is in
+            for i in range(1, len(cluster) + 1):
+                part = made if i == len(cluster) else _normal(cluster[:i])
+                if made.startswith(part):
+                    counts.append(total[at + len(part) - 1])
+                    continue
+                # words of what precedes the cluster, with this part after it
+                low = ends[k - 1] if k else 0
+                before = total[low - 1] if low else 0
+                first, *rest = self._find(text[at - 1 : at] + part)
+                if at and len(first) > 1:  # the word goes on
+                    if held is None or held[0] != k:
+                        held = (k, *self._states(words[k]), self._level(words[k]))
+                    _, states, symbols, level = held
+                    n = symbols[at - low - 1]
+                    near = max(0, n - self._longest - 1)  # no token reaches further back
+                    before += self._goes_on(states[near : n + 1], level[near:n], self._level(first[1:]))
+                elif at:
+                    before = total[at - 1]
+                else:
+                    rest = [first, *rest]
+                for word in rest:
+                    before += int(np.frombuffer(self[word], "<i2").sum(dtype=np.int64))
+                counts.append(before)
+            at += len(made)
+        return counts
+
+    def _goes_on(self, states: list[tuple[int, str, int]], word: str, more: str) -> int:
+        """The count of the word that has ``more`` symbols after ``word``, whose states are given."""
+        longer = word + more
+        for at in range(len(word) + 1, len(longer) + 1):
+            states.append((*self._step(longer, at, states, False, len(states[-1][1]) + 1), 0))
+        states.pop()
+        return self._step(longer, len(longer), states, True, 1)[0]
+
+
+def _stands_alone(c: str) -> bool:
+    """Whether nothing before a code point can change with it in the normal form: no mark, and no Hangul vowel or
+    final (nor a vowel of a script added to Unicode since)."""
+    if c < "\u0300":
+        return True
+    if unicodedata.category(c) in ("Mn", "Mc", "Me", "Cn") or unicodedata.combining(c):
+        return False
+    return not ("\u1160" <= c <= "\u11ff" or "\U00016d40" <= c <= "\U00016d7f")
+
+
+def _normal(text: str) -> str:
+    """As the tokenizer's normaliser makes it: NFC, then lower case code point by code point."""
+    return "".join(map(str.lower, unicodedata.normalize("NFC", text)))
 
 
 _TABLES: dict[tuple[type, str], WordTable] = {}

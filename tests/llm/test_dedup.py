@@ -63,6 +63,19 @@ def test_suffix_dedup_odd_rows(odd, none, clashing):
     assert suffix.suffix_dedup(none).count() == 0
 
 
+def test_suffix_dedup_of_text_that_repeats_itself(spark):
+    pairs = [(1, "ab" * 900), (2, "x" * 1300 + "unlike" + "x" * 700), (3, "abc " * 300 + "q" + "bab" * 200),
+             (4, "x" * 399), (5, "0123456789" * 45 + "z" + "y" * 450), (6, "y" * 401)]
+    assert rows(suffix.suffix_dedup(frame(spark, pairs))) == brute.spans_removed(pairs, 400)
+
+
+def test_fragments_of_one_byte_are_few():
+    body = b" " * (5 << 20) + bytes(range(65, 91)) * 40
+    found = list(suffix.fragments(body, 400))
+    assert len(found) < 100
+    assert sum(f[3] * f[5] for f in found) == len(body) - 399  # every window, once
+
+
 def test_trie_spills_and_merges():
     trie = exact.Trie()
     keys = [b"", b"a", b"ab", b"abc", b"abd", b"b", b"ab", b"", b"abc" * 500, b"abc" * 500 + b"x"]
@@ -77,7 +90,16 @@ def test_trie_spills_and_merges():
     assert trie.bytes == 0
 
 
-def test_exact_groups_equal_brute_force(spark, odd, none, clashing, monkeypatch):
+def test_exact_groups_with_tries_that_spill(spark):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("ab ") for _ in range(rnd.randint(0, 9))) for _ in range(600)]
+    texts += ["same beginning " * 30 + str(rnd.randrange(40)) for _ in range(200)]
+    pairs = list(enumerate(texts))
+    for trie_bytes in (1, 20_000, exact.TRIE_BYTES):
+        assert rows(exact.exact_groups(frame(spark, pairs), trie_bytes)) == brute.exact(pairs)
+
+
+def test_exact_groups_equal_brute_force(spark, odd, none, clashing):
     assert rows(exact.exact_groups(odd)) == brute.exact(ODD)
     assert rows(exact.exact_groups(clashing)) == brute.exact(ODD)
     assert exact.exact_groups(none).count() == 0
