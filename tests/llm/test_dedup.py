@@ -224,6 +224,48 @@ def test_chunk_dedup_finds_short_passages_whole(spark):
         assert found[i].owner_ids == ([i - 1] if i % 2 else [])
 
 
+def repeated_bytes(texts, least):
+    """Per text, a mask of the bytes in strings of ``least`` bytes that also start elsewhere in ``texts``."""
+    places = {}
+    for i, text in enumerate(texts):
+        for at in range(len(text) - least + 1):
+            places.setdefault(text[at : at + least], []).append((i, at))
+    masks = [np.zeros(len(t), bool) for t in texts]
+    for met in places.values():
+        for i, at in met if len(met) > 1 else ():
+            masks[i][at : at + least] = True
+    return masks
+
+
+def test_chunk_dedup_against_all_repeated_strings(docs):
+    """On the documents table: of the bytes in repeated strings, at least 99.5% are found, in every document that has
+    any, and no document without one has more than a few bytes removed."""
+    held = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    true = dict(zip((r.doc_id for r in held), repeated_bytes([(r.text or "").encode() for r in held], chunk.MIN_RUN)))
+    found = {r.doc_id: r for r in chunk.chunk_dedup(docs).collect()}
+    total = sum(int(m.sum()) for m in true.values())
+    caught = sum(min(found[i].n_repeated, int(m.sum())) for i, m in true.items())
+    assert total > 0 and caught >= 0.995 * total
+    assert all(found[i].n_repeated > 0 for i, m in true.items() if m.any())
+    gone = np.array([(found[i].n_removed, sum(int(m[s.start : s.end].sum()) for s in found[i].spans)) for i, m in true.items()])
+    removed, rightly = gone.sum(axis=0)
+    print(f"{total} bytes in repeats, {caught} found, {removed} removed, {removed - rightly} of them in no repeat")
+    assert 0 < removed and removed - rightly <= 0.005 * removed
+
+
+def test_digests_met_in_other_batches(spark):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("ab") for _ in range(rnd.randint(0, 400))) for _ in range(60)]
+    pairs = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t[5:]) for i, t in enumerate(texts[:20])]
+    packs = chunk.chunked(frame(spark, pairs)).cache()
+    assert packs.count() > 1
+    covers = [t.encode()[e - chunk.COVER : e] for _, t in pairs for e in chunk.cuts(t.encode()) if e >= chunk.COVER]
+    more = sorted(c for c in covers if covers.count(c) > 1)
+    met = chunk.met_chunks(packs).collect()
+    by_id = dict(pairs)
+    assert sorted(by_id[r.doc_id].encode()[r.end - chunk.COVER : r.end] for r in met) == more
+
+
 def test_chunk_dedup_odd_rows(odd, none, clashing):
     found = rows(chunk.chunk_dedup(odd).select("doc_id", "n_bytes", "n_chunks", "n_repeated", "n_removed"))
     assert len(found) == len(ODD)
