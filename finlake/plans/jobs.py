@@ -314,8 +314,13 @@ def q_lake_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every gold table as stored, in one shape: its name, its keys as text, its measures in order."""
     paths = _paths(spark, "gold")
     run_all(spark, paths, RUN_TS, sf_dir=sf_dir)
+    return _in_one_shape(spark, paths, list(GOLD_TABLES))
+
+
+def _in_one_shape(spark: SparkSession, paths: LakePaths, names: list[str]) -> DataFrame:
     parts = []
-    for name, (keys, measures) in GOLD_TABLES.items():
+    for name in names:
+        keys, measures = GOLD_TABLES[name]
         gold = spark.read.parquet(paths.gold(name))
         cols = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (3 - len(keys))
         nums = [F.col(m).cast("double") for m in measures] + [F.lit(None).cast("double")] * (6 - len(measures))
@@ -324,6 +329,48 @@ def q_lake_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+REVENUE_TABLES = ["services_by_cum_cost_by_org", "revenue_by_org_month_usd"]
+
+
+def other_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The billing table before its corrections: other amounts in two months, without a third, and with a month
+    that the corrections empty."""
+    bill = fixtures.billing_monthly(spark, sf_dir)
+    wrong = F.col("month").isin(dt.date(1995, 1, 1), dt.date(1995, 2, 1)) & (F.col("org_id").cast("long") % 3 == 0)
+    bill = bill.withColumn("subtotal", F.when(wrong, F.col("subtotal") + 100.0).otherwise(F.col("subtotal")))
+    gone = bill.where(F.col("month") == dt.date(1996, 5, 1)).withColumn("month", F.lit(dt.date(2031, 1, 1)))
+    return bill.where(F.col("month") != dt.date(1998, 7, 1)).unionByName(gone)
+
+
+def q_lake_corrected_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold revenue tables after invoices were corrected: a run that stops while it replaces months, billing
+    corrected once more, and a run that finishes both."""
+    paths = _paths(spark, "corrected")
+    name = "billing_monthly.csv"
+    wrong = other_billing(spark, sf_dir)
+    stage_batch_landing(spark, sf_dir, paths)
+    landing.write_csv_table(wrong, paths.landing, name)
+
+    def built() -> None:
+        ingest_batch(spark, paths, RUN_TS)
+        build_silver(spark, paths, RUN_TS)
+
+    built()
+    build_marts(spark, paths)
+    half = wrong.withColumn("taxes", F.when(F.col("month") == dt.date(1997, 3, 1), 0.0).otherwise(F.col("taxes")))
+    landing.write_csv_table(half, paths.landing, name)
+    built()
+    try:
+        with stopped_after(4):  # the digests, the periods, the mark and one mart are written
+            build_marts(spark, paths)
+    except Stopped:
+        pass
+    landing.write_csv_table(fixtures.billing_monthly(spark, sf_dir), paths.landing, name)
+    built()
+    build_marts(spark, paths)
+    return _in_one_shape(spark, paths, REVENUE_TABLES)
+
+
 GOLD_TABLES = {
     "org_daily_usage_by_service": (["org_id", "service", "usage_date"], [
         "daily_cost_usd", "total_requests", "total_cpu_hours", "total_storage_gb_hours", "total_genai_tokens", "total_carbon_kg"]),
@@ -477,6 +524,7 @@ JOB_QUERIES = {
     "lake_compacted_bronze": q_lake_compacted_bronze,
     "lake_full_refresh": q_lake_full_refresh,
     "lake_gold_tables": q_lake_gold_tables,
+    "lake_corrected_billing": q_lake_corrected_billing,
     "lake_silver_copies": q_lake_silver_copies,
     "stream_old_replays": q_stream_old_replays,
     "stream_late_aside": q_stream_late_aside,

@@ -36,7 +36,7 @@ from finlake.functions.constants import (
     MART_REVENUE_MONTH,
     MART_REVENUE_MONTH_LABEL,
 )
-from finlake.operators import marts, silver
+from finlake.operators import changes, marts, silver
 from finlake.operators.dedup import dedup_by_key
 from finlake.plans.parallel import run_parallel
 from finlake.sources import compaction, event_ids, fixtures, landing, lake, marks, serving
@@ -526,6 +526,35 @@ def _on_days(spark: SparkSession, path: str, table: DataFrame, days: DataFrame)
     return table.where(F.lit(False)) if rows is None else rows
 
 
+#: What the revenue marts were built from: the table of digests, and the runs whose months may be half written.
+REVENUE = "digests string, unfinished string"
+
+
+def _revenue_periods(spark: SparkSession, paths: LakePaths, bill: DataFrame, incremental: bool) -> tuple[str, DataFrame | None]:
+    """A name for this run's digests of billing, and the periods to rewrite (None: all).
+
+    The periods are recorded before anything is replaced, and stay recorded until both marts are written: a run that
+    stops in between leaves them to the next one, whatever billing holds by then.
+    """
+    mark, name = paths.gold("_revenue"), uuid.uuid4().hex
+    seen = marks.newest(spark, mark, REVENUE) if incremental else None
+    now = _staged(changes.group_digests(bill), _digests(paths, name))
+    if seen is None or not seen.digests:
+        marks.advance(spark, mark, REVENUE, "", "")
+        return name, None
+    before = spark.read.schema(now.schema).parquet(_digests(paths, seen.digests))
+    periods = _staged(changes.changed_periods(before, now), _digests(paths, name, "periods"))
+    unfinished = [n for n in seen.unfinished.split(",") if n]
+    marks.advance(spark, mark, REVENUE, seen.digests, ",".join([*unfinished, name]))
+    for other in unfinished:
+        periods = periods.union(spark.read.schema(periods.schema).parquet(_digests(paths, other, "periods")))
+    return name, periods.distinct()
+
+
+def _digests(paths: LakePaths, name: str, what: str = "groups") -> str:
+    return paths.gold(f"_revenue_digests/{name}/{what}")
+
+
 def build_marts(
     spark: SparkSession, paths: LakePaths, incremental: bool = True
 ) -> dict[str, str]:
@@ -534,21 +563,31 @@ def build_marts(
     The marts keyed by day are partitioned by ``usage_date``; with
     ``incremental`` the days of all silver runs since gold's own mark are
     recomputed and replaced, and the mark is advanced last. The marts built
-    from a batch table are rebuilt whole, when that table was ingested anew.
+    from a batch table are rebuilt when that table was ingested anew: of the revenue marts, which are
+    partitioned by month, only the months with an (organisation, month) group that changed.
     """
     mark = paths.gold("_progress")
     progress = marks.newest(spark, paths.silver("_progress"), PROGRESS)
     bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
     tickets = spark.read.parquet(paths.silver("support_tickets_clean"))
-    whole = {
-        MART_REVENUE_MONTH_LABEL: marts.revenue_by_org_month_label(bill),
-        MART_CRITICAL_TICKETS: marts.critical_tickets_sla_daily(tickets),
-        MART_REVENUE_MONTH: marts.revenue_by_org_month(bill),
-    }
     cleaned = _versions(spark, paths.silver("_batch"))
     taken = _versions(spark, paths.gold("_batch")) if incremental else {}
-    whole = {n: df for n, df in whole.items() if _changed(BATCH_MARTS[n], cleaned, taken)}
-    tasks = {n: lambda n=n, df=df: lake.write_table(df, paths.gold(n)) for n, df in whole.items()}
+    todo = [n for n, table in BATCH_MARTS.items() if _changed(table, cleaned, taken)]
+    tasks, digests = {}, None
+    if MART_CRITICAL_TICKETS in todo:
+        tasks[MART_CRITICAL_TICKETS] = lambda: lake.write_table(
+            marts.critical_tickets_sla_daily(tickets), paths.gold(MART_CRITICAL_TICKETS)
+        )
+    if MART_REVENUE_MONTH in todo:
+        digests, periods = _revenue_periods(spark, paths, bill, incremental)
+        if periods is not None:
+            bill = changes.with_period(bill).join(periods, changes.PERIOD, "left_semi").drop(changes.PERIOD)
+        revenue = {
+            MART_REVENUE_MONTH_LABEL: changes.with_period(marts.revenue_by_org_month_label(bill), "month_and_year"),
+            MART_REVENUE_MONTH: changes.with_period(marts.revenue_by_org_month(bill)),
+        }
+        for n, df in revenue.items():
+            tasks[n] = lambda n=n, df=df: lake.replace_days(df, paths.gold(n), periods, changes.PERIOD)
     due, days = False, None
     if progress is not None:
         due, days = _days_to_do(spark, paths, marks.newest(spark, mark, TAKEN), progress, incremental)
@@ -566,7 +605,9 @@ def build_marts(
     run_parallel(tasks)
     if due:
         marks.advance(spark, mark, TAKEN, progress.run_no, progress.base)
-    if whole:
+    if digests:
+        marks.advance(spark, paths.gold("_revenue"), REVENUE, digests, "")
+    if todo:
         _put_versions(spark, paths.gold("_batch"), cleaned)
     return {name: paths.gold(name) for name in tasks}
 

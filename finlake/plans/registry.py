@@ -5,11 +5,12 @@ from __future__ import annotations
 from finlake.plans import catalog, jobs, oracle
 from finlake.plans.oracle_views import with_views
 
-def _gold_sql() -> str:
-    """Every mart in one shape (``jobs.GOLD_TABLES``)."""
+def _gold_sql(tables: list[str]) -> str:
+    """These marts in one shape (``jobs.GOLD_TABLES``)."""
     views = {**{name: view for name, (view, _) in oracle.MART_VIEWS.items()}, "genai_tokens_cost_daily_by_org": "mart_genai_by_org"}
     parts = []
-    for name, (keys, measures) in jobs.GOLD_TABLES.items():
+    for name in tables:
+        keys, measures = jobs.GOLD_TABLES[name]
         texts = [f"CAST({k} AS VARCHAR)" for k in keys] + ["CAST(NULL AS VARCHAR)"] * (3 - len(keys))
         nums = [f"CAST({m} AS DOUBLE)" for m in measures] + ["CAST(NULL AS DOUBLE)"] * (6 - len(measures))
         cols = [f"{x} AS key_{i}" for i, x in enumerate(texts, 1)] + [f"{x} AS measure_{i}" for i, x in enumerate(nums, 1)]
@@ -39,7 +40,8 @@ UNION ALL
 SELECT 'quarantine', org_id, service, CAST(NULL AS VARCHAR), cost_usd_increment FROM events_flagged WHERE is_quarantine
 """,
     "lake_full_refresh": f"SELECT *, TIMESTAMP '{jobs.RUN_TS}' AS last_updated FROM mart_org_daily",
-    "lake_gold_tables": _gold_sql(),
+    "lake_gold_tables": _gold_sql(list(jobs.GOLD_TABLES)),
+    "lake_corrected_billing": _gold_sql(jobs.REVENUE_TABLES),
     "lake_silver_copies": """
 SELECT 'customers_orgs.csv' AS source_file, org_name AS key, org_id FROM customers_orgs
 UNION ALL SELECT 'resources.csv', resource_id, org_id FROM resources
