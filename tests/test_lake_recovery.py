@@ -191,3 +191,25 @@ def test_published_rows_are_ordered_by_organisation(spark, sf_dir):
         assert ids == sorted(ids)
     days = {f.split("usage_date=")[1].split("/")[0] for f in files}
     assert len(files) < 2 * len(days)  # a file a day, not one per task
+
+
+def test_new_ids_are_joined_before_the_files_are_written(spark, sf_dir, monkeypatch):
+    paths = P.LakePaths(run_dir(spark, "t-joined"))
+    landing.write_jsonl(fixtures.usage_events_raw(spark, sf_dir).where("event_id % 2 = 0"), paths.landing_stream)
+    P.ingest_events(spark, paths)
+    stored = []
+    write = ingest.event_ids.add
+    memory = spark.sparkContext._jsc.sc()
+
+    def add(rows, *args):
+        stored.append([(i.numPartitions(), i.numCachedPartitions()) for i in memory.getRDDStorageInfo()])
+        write(rows, *args)
+
+    monkeypatch.setattr(ingest.event_ids, "add", add)
+    new = fixtures.usage_events_raw(spark, sf_dir).where("event_id IS NOT NULL AND timestamp IS NOT NULL")
+    last = ingest.last_batch(spark, paths.bronze_events).last_batch_id
+    stamps = {"ingest_ts": F.lit(RUN), "date": F.lit("20240201"), "source_file": F.lit("x"),
+              lake.RAW_LINE: F.lit(None).cast("string")}
+    batch = quality.with_quality_flags(quality.dedup_arrivals(new).withColumns(stamps))
+    ingest.write_split_batch(batch, last + 1, paths.bronze_events, paths.quarantine)
+    assert len(stored[0]) >= 2 and all(n == cached for n, cached in stored[0])  # the batch, and what the index left of it
