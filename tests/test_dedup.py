@@ -26,3 +26,23 @@ def test_hot_key_combines_before_shuffle(spark):
     assert out.where("key = 'hot'").first().t == 0
     plan = plan_text(out)
     assert "partial_min" in plan  # map-side combine: a hot key leaves each task as one row
+
+
+def test_few_copies_equals_the_plain_form_and_shuffles_only_copies(spark, monkeypatch):
+    from finlake.operators import dedup
+
+    rows = [(str(i % 90), i % 7, None if i % 3 else 1.5) for i in range(100)] + [(None, 1, 2.0), (None, 1, 2.0), ("x", None, -0.0), ("x", None, 0.0)]
+    df = spark.createDataFrame(rows, "k string, a int, b double")
+    seen = []
+
+    def one_a_key(part):
+        seen.append(part)
+        return dedup.dedup_by_key(part, ["k"])
+
+    for keys, unique in ((["k"], one_a_key), (df.columns, dedup.distinct_rows)):
+        for most in (dedup.MOST_REPEATED, 0):
+            monkeypatch.setattr(dedup, "MOST_REPEATED", most)
+            got = dedup.few_copies(df, keys, unique)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, unique(df).collect()))
+        monkeypatch.undo()
+    assert seen[0].count() == 24 and seen[2].count() == len(rows)  # the rows with a copy; all of them

@@ -111,3 +111,26 @@ def test_replace_days_empties_days_that_lost_their_rows(spark):
     lake.replace_days(df.where("id = 3"), path, days)
     left = spark.read.schema(df.schema).parquet(path)
     assert sorted(r.id for r in left.collect()) == [2, 3, 5, 8]
+
+
+def test_orders_are_staged_compressed_with_exact_sums_of_their_lines(spark, sf_dir):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from finlake.plans.pipeline import LakePaths, stage_batch_landing
+    from finlake.sources import fixtures
+
+    paths = LakePaths(run_dir(spark, "t-orders"))
+    stage_batch_landing(spark, sf_dir, paths)
+    for name in ("billing_monthly", "support_tickets"):
+        assert glob.glob(f"{paths.landing}/{name}.csv/*.csv.gz") and not glob.glob(f"{paths.landing}/{name}.csv/*.csv")
+        staged = landing.read_batch_table(spark, paths.landing, f"{name}.csv", run_ts=RUN).drop("ingest_ts", "source_file")
+        alone = fixtures.BUILDERS[name](spark, sf_dir).select(*staged.columns)
+        assert staged.exceptAll(alone).isEmpty() and alone.exceptAll(staged).isEmpty()
+    assert f"{len(glob.glob(paths.landing + '/users.csv/*.csv.gz'))}-" == landing.manifest(spark, paths.landing)["users.csv"].split("-")[0] + "-"
+    cents = lambda c, t: F.col(c).cast(t)
+    want = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey").agg(
+        F.sum(cents("l_extendedprice", "decimal(12,2)") * cents("l_tax", "decimal(4,2)")).cast("double").alias("taxes"))
+    got = fixtures.orders_with_lines(spark, sf_dir).where("taxes IS NOT NULL").select(F.col("o_orderkey").alias("l_orderkey"), "taxes")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -81,3 +81,8 @@ def test_a_stopped_run_is_finished_whatever_billing_holds_then(spark, sf_dir, pa
         _take(spark, paths, bill)  # as before the stopped run: the digests alone would find nothing to do
         P.build_marts(spark, paths)
         _assert_equals_rebuild(spark, paths)
+
+
+def test_digests_have_one_row_per_month(spark, paths):
+    bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
+    assert changes.group_digests(bill).count() == bill.select("month").distinct().count()
