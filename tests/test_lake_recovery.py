@@ -213,3 +213,24 @@ def test_new_ids_are_joined_before_the_files_are_written(spark, sf_dir, monkeypa
     batch = quality.with_quality_flags(quality.dedup_arrivals(new).withColumns(stamps))
     ingest.write_split_batch(batch, last + 1, paths.bronze_events, paths.quarantine)
     assert len(stored[0]) >= 2 and all(n == cached for n, cached in stored[0])  # the batch, and what the index left of it
+
+
+def test_stored_days_are_not_dealt_again(spark, sf_dir, built, monkeypatch):
+    import glob
+
+    good = quality.ingest_events_split(fixtures.usage_events_raw(spark, sf_dir))[0].select(*jobs.C.EVENT_COLUMNS)
+    moved = good.where(F.col("event_id").cast("long") % 13 == 4)
+    _add_batch(spark, built, moved.withColumn("timestamp", F.col("timestamp") - F.expr("interval 2 days")))
+    asked, replaced = [], lake.replace_days
+    monkeypatch.setattr(lake, "replace_days", lambda df, path, *a, **kw: asked.append((path, kw.get("dealt", False))) or replaced(df, path, *a, **kw))
+    P.update_events(spark, built, RUN)
+    assert glob.glob(built.silver("_staging/slot=*/events/usage_date=*"))
+    _assert_equals_rebuild(spark, built)
+    P.build_marts(spark, built)
+    assert {path for path, dealt in asked if dealt} >= {built.silver("usage_events_clean"), built.gold("org_daily_usage_by_service")}
+    mart = spark.read.parquet(built.gold("org_daily_usage_by_service"))
+    assert "Exchange" not in serving.clustered(mart, ["usage_date"], dealt=True)._jdf.queryExecution().toString()
+    P.publish_all(spark, built)
+    published = serving.read_published(spark, built.serving, "org_daily_usage_by_service")
+    assert _rows(published.select("org_id", "daily_cost_usd", "usage_date")) == _rows(mart.select("org_id", "daily_cost_usd", "usage_date"))
+    assert len(published.inputFiles()) <= len(mart.inputFiles()) + 8  # a file is read by one task, or split among few
