@@ -86,3 +86,28 @@ def test_a_stopped_run_is_finished_whatever_billing_holds_then(spark, sf_dir, pa
 def test_digests_have_one_row_per_month(spark, paths):
     bill = spark.read.parquet(paths.silver("billing_monthly_clean"))
     assert changes.group_digests(bill).count() == bill.select("month").distinct().count()
+
+
+def test_both_marts_come_from_one_rollup(spark, monkeypatch):
+    """Rolled up once where a month has one date in every group, each on its own otherwise; the same rows either way."""
+    cols = "org_id string, month date, subtotal_usd double, credits_usd double, taxes_usd double, exchange_rate_to_usd double"
+    rows = [(o, dt.date(2024, m, 1), 1.1 * i, None, 2.0, 1.0) for i, o in enumerate(("a", "b", None, "a")) for m in (1, 2, 3)]
+    rows += [("a", None, 1.0, None, 2.0, 1.0)]
+    calls = []
+    by_label = marts.revenue_by_org_month_label
+    monkeypatch.setattr(marts, "revenue_by_org_month_label", lambda bill, totals=None: calls.append(totals) or by_label(bill, totals))
+    for n, more in enumerate(([], [("b", dt.date(2024, 3, 9), 5.0, 1.0, None, None)])):
+        paths = P.LakePaths(run_dir(spark, f"t-rollup{n}"))
+        bill = spark.createDataFrame(rows + more, cols)
+        bill.write.parquet(paths.silver("billing_monthly_clean"))
+        tickets = "severity string, created_at date, sla_breached boolean, resolved_at timestamp"
+        spark.createDataFrame([], tickets).write.parquet(paths.silver("support_tickets_clean"))
+        totals = marts.revenue_totals(bill)
+        assert marts.one_date_a_label(totals) is (not more)
+        if not more:
+            assert _rows(marts.revenue_by_org_month(bill, totals)) == _rows(marts.revenue_by_org_month(bill))
+        assert _rows(by_label(bill, totals)) == _rows(by_label(bill))
+        P.build_marts(spark, paths)
+        assert calls[n] is not None
+        for name, mart in ((P.MART_REVENUE_MONTH, marts.revenue_by_org_month), (P.MART_REVENUE_MONTH_LABEL, by_label)):
+            assert _rows(spark.read.parquet(paths.gold(name)).drop(changes.PERIOD)) == _rows(mart(bill))
