@@ -2,9 +2,9 @@
 
 import datetime as dt
 
-from finlake.plans.pipeline import LakePaths, ingest_batch, stage_batch_landing
+from finlake.plans.pipeline import LakePaths, ingest_batch, stage_batch_landing, stage_event_landing
 from finlake.session import run_dir
-from finlake.sources import lake, landing
+from finlake.sources import fixtures, lake, landing
 
 RUN = dt.datetime(2024, 2, 1)
 
@@ -134,3 +134,14 @@ def test_orders_are_staged_compressed_with_exact_sums_of_their_lines(spark, sf_d
         F.sum(cents("l_extendedprice", "decimal(12,2)") * cents("l_tax", "decimal(4,2)")).cast("double").alias("taxes"))
     got = fixtures.orders_with_lines(spark, sf_dir).where("taxes IS NOT NULL").select(F.col("o_orderkey").alias("l_orderkey"), "taxes")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_staged_events_are_compressed_and_read_by_several_tasks(spark, sf_dir, monkeypatch):
+    import glob
+
+    monkeypatch.setattr(landing, "JSONL_ROWS", 400)
+    paths = LakePaths(run_dir(spark, "t-jsonl"))
+    stage_event_landing(spark, sf_dir, paths)
+    files = glob.glob(paths.landing_stream + "/part-*")
+    assert len(files) > 1 and all(f.endswith(".json.gz") for f in files)
+    assert spark.read.json(paths.landing_stream).count() == fixtures.usage_events_raw(spark, sf_dir).count()
