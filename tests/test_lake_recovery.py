@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_text
 from finlake.operators import joins, quality, silver
 from finlake.plans import jobs
 from finlake.plans import pipeline as P
@@ -234,3 +235,13 @@ def test_stored_days_are_not_dealt_again(spark, sf_dir, built, monkeypatch):
     published = serving.read_published(spark, built.serving, "org_daily_usage_by_service")
     assert _rows(published.select("org_id", "daily_cost_usd", "usage_date")) == _rows(mart.select("org_id", "daily_cost_usd", "usage_date"))
     assert len(published.inputFiles()) <= len(mart.inputFiles()) + 8  # a file is read by one task, or split among few
+
+
+def test_changed_rows_are_those_of_except_all_and_shuffled_once(spark):
+    cols = "org_id string, org_name string, quota double"
+    before = spark.createDataFrame([("a", "A", 1.0), ("a", "A", 1.0), ("b", None, float("nan")), (None, "C", 0.0), ("d", "D", 2.0)], cols)
+    now = spark.createDataFrame([("a", "A", 1.0), ("b", None, float("nan")), (None, "C", 0.0), ("d", "D", 3.0), ("e", None, None)], cols)
+    found = P._changed_rows(before, now)
+    both = now.exceptAll(before).unionByName(before.exceptAll(now)).distinct()
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, both.collect())) and found.count() == 4
+    assert plan_text(P._changed_rows(before, now), "formatted").count(") Exchange\n") == 1
