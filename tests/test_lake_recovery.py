@@ -245,3 +245,22 @@ def test_changed_rows_are_those_of_except_all_and_shuffled_once(spark):
     both = now.exceptAll(before).unionByName(before.exceptAll(now)).distinct()
     assert sorted(map(repr, found.collect())) == sorted(map(repr, both.collect())) and found.count() == 4
     assert plan_text(P._changed_rows(before, now), "formatted").count(") Exchange\n") == 1
+
+
+def test_events_are_merged_for_the_write_alone(spark, sf_dir, built, monkeypatch):
+    """The dimension rows that an increment asks for are found from the keys of the stored rows, before they are merged."""
+    monkeypatch.setattr(silver, "BROADCAST_BYTES", 0)
+    counted, enrich = [], silver.enrich_events
+
+    def seen(events, *args, **kwargs):
+        out = enrich(events, *args, **kwargs)
+        counted.append(plan_text(kwargs["kept"][2], "extended"))
+        return out
+
+    monkeypatch.setattr(silver, "enrich_events", seen)
+    good = quality.ingest_events_split(fixtures.usage_events_raw(spark, sf_dir))[0].select(*jobs.C.EVENT_COLUMNS)
+    again = good.where(F.col("event_id").cast("long") % 13 == 2).withColumn("timestamp", F.col("timestamp") - F.expr("interval 9 days"))
+    _add_batch(spark, built, again)
+    P.update_events(spark, built, RUN)
+    assert len(counted) == 1 and "min(struct" not in counted[0]
+    _assert_equals_rebuild(spark, built)

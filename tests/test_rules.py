@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from finlake import schemas
 from finlake.functions import rules
-from finlake.operators import marts, quality, silver
+from finlake.operators import dedup, marts, quality, silver
 
 T = dt.datetime(2024, 1, 2, 3, 4, 5)
 
@@ -128,3 +128,18 @@ def test_tickets_bad_date_text_is_null(spark):
                               "resolved_at timestamp, sla_breached boolean")
     assert silver.tickets_clean(t).first().created_at is None
     assert F is not None
+
+
+def test_few_copies_of_tickets_are_merged_alone(spark, monkeypatch):
+    rows = [(str(i % 90), "o", "critical", T, T if i % 3 else None, i % 2 == 0) for i in range(100)]
+    t = spark.createDataFrame([*rows, (None, "o", "low", T, None, True)], schemas.SUPPORT_TICKETS)
+    merged = []
+
+    def seen(df, *args, **kwargs):
+        merged.append(df)
+        return dedup.dedup_by_key(df, *args, **kwargs)
+
+    monkeypatch.setattr(silver, "dedup_by_key", seen)
+    got, want = silver.tickets_clean(t, few=True), silver.tickets_clean(t)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert [df.count() for df in merged] == [20, 100]
